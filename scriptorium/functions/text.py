@@ -6,13 +6,11 @@ from pyspark.sql import functions as F
 
 # The characters that Python counts as white space.
 WHITESPACE = (
-    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0 "
-    "           "
-    "    　"
-)
-WORD = (
-    r"[^\s\x0b\x1c-\x1f\x85\xa0  -     　]+"
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
 )
+WORD = "[^" + WHITESPACE + "]+"
 
 # Line ends and the integer format of a page number line.
 LINE_END = "\r\n|\n|\r"
