@@ -219,9 +219,9 @@ _RUN = {
     "v_texts": "select * from v_corrected",
     "v_people": f"""
   select distinct on (t.doc_id, j.doc_id) t.doc_id, concat('C', j.doc_id) as entity,
-    concat('wrote ', j.turns, ' letters') as explanation, min(t.at) over (partition by t.doc_id,
-      j.doc_id) as at
-  from (select doc_id, line_no * 1000000 + pos as at, lower(word) as word from (
+    concat('wrote ', j.turns, ' letters') as explanation, min(t.place) over (partition by t.doc_id,
+      j.doc_id) as first_at
+  from (select doc_id, line_no * 1000000 + pos as place, lower(word) as word from (
       select doc_id, line_no, pos, {_BARE.format("token")} as word from v_repaired)) t
   join v_jobs j on t.word = concat('c', j.doc_id)""",
 }
@@ -445,7 +445,8 @@ from v_jobs where timed_out""", **_RUN),
 select doc_id, page_number, letter_no, letter from v_split join v_page_numbers using (doc_id)""",
                             **_RUN),
     "i5_run_explanations": _with(_RUN_VIEWS, """
-select doc_id, 'People' as category, row_number() over (partition by doc_id order by at) as ord,
+select doc_id, 'People' as category, row_number() over (partition by doc_id order by first_at)
+    as ord,
   entity, explanation from v_people""", **_RUN),
     "i6_apply_model": """
 select doc_id, trim(text, ' ' || chr(10)) as response, cast(null as varchar) as error

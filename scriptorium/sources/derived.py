@@ -163,7 +163,7 @@ def v_poll(spark, sf_dir):
 
 def versions(df, key, text):
     """Three runs per text: 0 as read, 1 corrected, 2 corrected again with another mistake."""
-    variants = F.array(F.replace(text, F.lit("th"), F.lit("tb")), F.col(text),
+    variants = F.array(F.replace(text, F.lit("th"), F.lit("tb")), text,
                        F.replace(text, F.lit("an"), F.lit("am")))
     return df.select(key, F.posexplode(variants).alias("run", "text"))
 
