@@ -10,7 +10,6 @@ WHITESPACE = (
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
-WORD = "[^" + WHITESPACE + "]+"
 
 # Line ends and the integer format of a page number line.
 LINE_END = "\r\n|\n|\r"
@@ -41,7 +40,8 @@ def parse_page_number(text):
 
 def word_count(text):
     """Number of maximal runs without white space."""
-    return F.regexp_count(text, F.lit(WORD)).cast("bigint")
+    blanks = F.translate(text, WHITESPACE, " " * len(WHITESPACE))
+    return F.size(F.filter(F.split(blanks, " "), lambda w: w != "")).cast("bigint")
 
 
 def rewrite_suffix(path, old, new):

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 from scriptorium.functions.replies import CATEGORIES, EXPLAINED_CATEGORIES
 from scriptorium.operators.correct import bare, tokens
 
+# Words of a text that are looked up per row.
+PIECE = 1000
+
 # The date formats that are found in a text.
 _MONTH = ("(?:January|February|March|April|May|June|July|August|September|October|November"
           "|December)")
@@ -36,16 +39,27 @@ def name_index(gazetteer):
 
 
 def _phrases(df, key, text, lengths):
-    """Every run of words of one of the given lengths, with its position."""
+    """Every run of words of one of the given lengths, with its position.
+
+    A text goes through in pieces that overlap by the longest run, so that a row stays small
+    however long its text is.
+    """
+    overlap = max(lengths) - 1
+    pieces = F.transform(
+        F.when(F.size("_w") > 0, F.sequence(F.lit(0), F.size("_w") - 1, F.lit(PIECE))),
+        lambda at: F.struct(at.alias("at"), F.slice("_w", at + 1, PIECE + overlap).alias("words")))
+    cut = (df.select(key, _words(F.col(text)).alias("_w"))
+           .select(key, F.explode(pieces).alias("_piece")).select(key, "_piece.*"))
+
     def runs(n):
-        starts = F.when(F.size("_w") >= n, F.sequence(F.lit(1), F.size("_w") - (n - 1)))
+        last = F.least(F.size("words") - (n - 1), F.lit(PIECE))
         return F.transform(
-            F.coalesce(starts, F.expr("array()").cast("array<int>")),
-            lambda i: F.struct(i.alias("pos"), F.lit(n).alias("n_words"),
-                               F.array_join(F.slice("_w", i, n), " ").alias("phrase")))
-    return (df.select(key, _words(F.col(text)).alias("_w"))
-            .select(key, F.explode(F.concat(*[runs(n) for n in lengths])).alias("_p"))
-            .select(key, "_p.*"))
+            F.when(last >= 1, F.sequence(F.lit(1), last)),
+            lambda i: F.struct((F.col("at") + i).alias("pos"), F.lit(n).alias("n_words"),
+                               F.array_join(F.slice("words", i, n), " ").alias("phrase")))
+
+    found = F.flatten(F.filter(F.array(*[runs(n) for n in lengths]), lambda r: r.isNotNull()))
+    return cut.select(key, F.explode(found).alias("_p")).select(key, "_p.*")
 
 
 def extract_entities(df, gazetteer, key="doc_id", text="text"):
@@ -55,7 +69,8 @@ def extract_entities(df, gazetteer, key="doc_id", text="text"):
     the lengths that occur in the gazetteer, and only matches are shuffled by ``key``.
     """
     index = name_index(gazetteer)
-    lengths = sorted(index.agg(F.collect_set("n_words")).first()[0])
+    sizes = gazetteer.agg(F.collect_set(F.size(_words(F.col("name")))).alias("n")).first()["n"]
+    lengths = sorted(n for n in sizes if n > 0)
     dates = F.array_distinct(F.regexp_extract_all(F.col(text), F.lit(DATES), F.lit(0)))
     if not lengths:
         empty = {c: _strings() for c in EXPLAINED_CATEGORIES}
@@ -124,9 +139,14 @@ def explain_entities(entities, knowledge=None, explain=None, categories=EXPLAINE
 
 
 def latest_explanations(explanations, key="doc_id"):
-    """One row per (key, category, entity): of repeated entities the explanation that comes last."""
+    """One row per (key, category, entity): of repeated entities the explanation that comes last.
+
+    The rows come from a lookup by (category, entity), and a grouping that contains these columns
+    would run inside its partitions, so that AQE could not split an entity most documents
+    name. Partitioning by document first leaves it free to, and serves the maps as well.
+    """
     last = F.max_by("explanation", F.struct("ord", "explanation"))
-    return (explanations.where(F.col("explanation").isNotNull())
+    return (explanations.where(F.col("explanation").isNotNull()).repartition(key)
             .groupBy(key, "category", "entity").agg(last.alias("explanation")))
 
 

@@ -19,16 +19,20 @@ def edit_distance(df, a, b):
 def line_distance(df, a, b, key="doc_id"):
     """Per document the edit distance line by line: ``distance``, ``lines`` and ``changed_lines``.
 
-    Lines are paired by number; a line without a partner counts with its whole length. The
-    work of a document is spread over its lines, so no text is compared as a whole.
+    Lines are paired by number; a line without a partner counts with its whole length. Only
+    lines that differ are measured, so no text is compared as a whole.
     """
-    pairs = F.arrays_zip(F.split(a, "\n").alias("a"), F.split(b, "\n").alias("b"))
-    lines = df.select(key, F.explode(pairs).alias("p")).select(
-        key, F.coalesce("p.a", F.lit("")).alias("a"), F.coalesce("p.b", F.lit("")).alias("b"))
-    measured = lines.withColumn("d", text_distance(F.col("a"), F.col("b")))
-    return measured.groupBy(key).agg(
-        F.sum("d").alias("distance"), F.count("*").alias("lines"),
-        F.count_if(F.col("d") > 0).alias("changed_lines"))
+    pairs = F.transform(
+        F.arrays_zip(F.split(a, "\n").alias("a"), F.split(b, "\n").alias("b")),
+        lambda p: F.struct(F.coalesce(p["a"], F.lit("")).alias("a"),
+                           F.coalesce(p["b"], F.lit("")).alias("b")))
+    changed = (df.select(key, pairs.alias("_pairs"))
+               .select(key, F.size("_pairs").cast("bigint").alias("lines"),
+                       F.explode_outer(F.filter("_pairs", lambda p: p["a"] != p["b"])).alias("p")))
+    measured = changed.withColumn("d", text_distance(F.col("p.a"), F.col("p.b")))
+    return measured.groupBy(key, "lines").agg(
+        F.coalesce(F.sum("d"), F.lit(0)).cast("bigint").alias("distance"),
+        F.count("d").alias("changed_lines")).select(key, "distance", "lines", "changed_lines")
 
 
 def word_counts(df, raw, corrected):
@@ -48,8 +52,11 @@ def run_consistency(runs, key="doc_id", run="run", text="text"):
     variants = runs.groupBy(key, text).agg(
         F.count("*").alias("n"), F.min(run).alias("first_run"))
     first = variants.groupBy(key).agg(F.min_by(text, "first_run").alias("_base"))
+    # The explicit repartition lets AQE split a document with very many variants in the join;
+    # grouping by the join key right away would tie it to one task.
     measured = (variants.join(first, key)
-                .withColumn("d", text_distance(F.col(text), F.col("_base"))))
+                .select(key, "n", text_distance(F.col(text), F.col("_base")).alias("d"))
+                .repartition(key, "d"))
     total = F.sum("n")
     pairs = total * (total - 1)
     same = F.sum(F.col("n") * (F.col("n") - 1))

@@ -18,9 +18,14 @@ def ocr_words(blocks):
 
 
 def number_pages(df, array_col, page_col="page", item_col="item"):
-    """One row per array element, numbered from 1; a NULL array counts as empty."""
+    """One row per array element, numbered from 1; a NULL array counts as empty.
+
+    The outer explode keeps Spark from adding a filter on the size of the array, which would
+    compute an array that is itself an expression a second time.
+    """
     others = [c for c in df.columns if c != array_col]
-    return (df.select(*others, F.posexplode(array_col).alias("_pos", item_col))
+    return (df.select(*others, F.posexplode_outer(array_col).alias("_pos", item_col))
+            .where(F.col("_pos").isNotNull())
             .select(*others, (F.col("_pos") + 1).alias(page_col), item_col))
 
 
@@ -31,22 +36,15 @@ def flatten_layout(df, pages="pages", key="doc_id"):
     starts at 1; ``line_no`` counts lines through the whole document from 0. NULL pages or lines
     count as empty. Only explodes: no shuffle.
     """
-    # Lines on earlier pages, so that line_no runs through the document without a window.
-    sizes = F.transform(F.col(pages), lambda p: F.coalesce(F.size(p["lines"]), F.lit(0)))
-    before = F.aggregate(
-        sizes, F.array(F.lit(0)),
-        lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + F.greatest(n, F.lit(0)))))
-    numbered = number_pages(
-        df.select(key, F.arrays_zip(F.col(pages).alias("page"),
-                                    F.slice(before, 1, F.size(pages)).alias("before")).alias("_p")),
-        "_p", "page", "_item")
-    lines = F.posexplode("_item.page.lines").alias("_pos", "_line")
-    return numbered.select(key, "page", F.col("_item.before").alias("_before"), lines).select(
-        key, "page",
-        (F.col("_before") + F.col("_pos")).alias("line_no"),
-        F.col("_line.content").alias("text"),
-        F.coalesce(F.col("_line.polygon"), F.expr("array()").cast("array<double>")).alias("polygon"),
-    )
+    none = F.expr("array()")
+    numbered = F.transform(
+        F.coalesce(F.col(pages), none.cast(df.schema[pages].dataType)),
+        lambda page, i: F.transform(page["lines"], lambda line: F.struct(
+            (i + 1).alias("page"), line["content"].alias("text"),
+            F.coalesce(line["polygon"], none.cast("array<double>")).alias("polygon"))))
+    lines = F.flatten(F.filter(numbered, lambda page: page.isNotNull()))
+    return (df.select(key, F.posexplode(lines).alias("line_no", "_line"))
+            .select(key, "_line.page", "line_no", "_line.text", "_line.polygon"))
 
 
 def ordered_items(order, value):
@@ -73,7 +71,7 @@ def with_empty_documents(files, raw, key="doc_id"):
 
 def empty_documents(files, lines, key="doc_id"):
     """Documents for which no line was read."""
-    return files.join(lines.select(key), key, "left_anti")
+    return files.join(lines.select(key).distinct(), key, "left_anti")
 
 
 def collect_boxes(words, key="doc_id", order=("page", "line_no", "word_no"),

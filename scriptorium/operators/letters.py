@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from scriptorium.functions.text import parse_page_number, py_strip
+from scriptorium.operators.layout import number_pages
 
 # How a letter opens and how it is signed off.
 GREETING = r"^(Dear|Friend|Gentlemen)"
@@ -64,7 +65,12 @@ def letter_arrays(df, text="text", greeting=GREETING, signoff=SIGN_OFF, letters=
 
 def split_letters(df, key="doc_id", text="text", greeting=GREETING, signoff=SIGN_OFF):
     """One row per letter: key, page number, letter number from 1 and the letter."""
-    arrays = letter_arrays(df, text, greeting, signoff)
-    return arrays.select(key, parse_page_number(F.col(text)).alias("page_number"),
-                         F.posexplode("letters").alias("_pos", "letter")).select(
-        key, "page_number", (F.col("_pos") + 1).cast("bigint").alias("letter_no"), "letter")
+    arrays = letter_arrays(df, text, greeting, signoff).select(
+        key, parse_page_number(F.col(text)).alias("page_number"), "letters")
+    return letter_rows(arrays)
+
+
+def letter_rows(records, letters="letters"):
+    """Records with a letter list to one row per letter, numbered from 1."""
+    rows = number_pages(records, letters, "letter_no", "letter")
+    return rows.withColumn("letter_no", F.col("letter_no").cast("bigint"))

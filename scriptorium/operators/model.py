@@ -34,8 +34,12 @@ register_backend("echo", echo_backend)
 
 
 def attach_prompt(df, prompts):
-    """Add the prompt of every row's task. The catalog has one row per task."""
-    return df.join(F.broadcast(prompts.where(F.col("task").isin(*TASKS))), "task")
+    """Add the prompt of every row's task.
+
+    The catalog is cut to one row for each of the four tasks, which bounds the broadcast.
+    """
+    catalog = prompts.where(F.col("task").isin(*TASKS)).dropDuplicates(["task"])
+    return df.join(F.broadcast(catalog), "task")
 
 
 def entity_text(category, entity):
@@ -65,7 +69,7 @@ def apply_model(requests, backend, parallelism=None, attempts=1, known=None):
     """Send every distinct request once: rows (request_id, response, error, attempt).
 
     ``backend`` is a registered name or a factory. A failed call is data: ``response`` is NULL and
-    ``error`` says why. ``parallelism`` bounds how many tasks call the model at a time. Requests
+    ``error`` says why. ``parallelism`` fixes the number of tasks that call the model. Requests
     whose reply is in ``known`` are not sent again. Rows stream through in Arrow batches.
     """
     factory = _BACKENDS[backend] if isinstance(backend, str) else backend

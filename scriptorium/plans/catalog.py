@@ -14,7 +14,9 @@ from scriptorium.functions.text import (
 from scriptorium.operators import (
     correct, entities, evaluate, layout, letters, model, numbering, status)
 from scriptorium.plans.document_run import RunConfig, document_run
-from scriptorium.session import work_dir
+from scriptorium.plans.model_tasks import (
+    Model, ask, correct_with_model, explain_with_model, extract_with_model, split_with_model)
+from scriptorium.session import cut_lineage, work_dir
 from scriptorium.sources import derived, documents, ocr, sinks
 from scriptorium.streaming.incremental import incremental_run
 from scriptorium.streaming.tracker import track_jobs
@@ -90,8 +92,7 @@ def a7_write_json(spark, sf_dir):
         "conv_id", parse_page_number(F.col("body")).alias("page_number"), "letters")
     sinks.write_json(combined, path)
     back = spark.read.schema("conv_id bigint, page_number bigint, letters array<string>").json(path)
-    return back.select("conv_id", "page_number", F.posexplode("letters").alias("_pos", "letter")).select(
-        "conv_id", "page_number", (F.col("_pos") + 1).cast("bigint").alias("letter_no"), "letter")
+    return letters.letter_rows(back)
 
 
 def b1_is_supported_file(spark, sf_dir):
@@ -348,7 +349,8 @@ def h11_split_lines(spark, sf_dir):
 
 def i1_correct_text(spark, sf_dir):
     pairs = derived.v_pairs(spark, sf_dir).select("doc_id", "raw", "target")
-    lexicon = correct.paired_lexicon(pairs, "raw", "target")
+    # Written first: the join is then planned with the true size of the lexicon.
+    lexicon = cut_lineage(correct.paired_lexicon(pairs, "raw", "target"), "lexicon")
     return correct.correct_text(pairs.select("doc_id", "raw"), lexicon, text="raw").select(
         "doc_id", "corrected_text")
 
@@ -380,9 +382,9 @@ def _run(spark, sf_dir):
     misread = F.replace("body", F.lit("th"), F.lit("tb"))
     lines = bodies.select("doc_id", F.posexplode(split_lines(misread)).alias("line_no", "text"))
     turns = derived.table(spark, sf_dir, "conversations")
-    lexicon = correct.paired_lexicon(
+    lexicon = cut_lineage(correct.paired_lexicon(
         turns.select(F.replace("text", F.lit("th"), F.lit("tb")).alias("raw"),
-                     F.col("text").alias("corrected")))
+                     F.col("text").alias("corrected"))), "lexicon")
     conversations = turns.groupBy(F.col("conv_id").alias("doc_id")).agg(
         F.max(F.length("text")).alias("longest"), F.count("*").alias("turns"))
     jobs = conversations.select("doc_id", F.when(F.col("longest") > 4000, "TIMED_OUT")
@@ -411,12 +413,39 @@ def i5_run_explanations(spark, sf_dir):
 
 def i6_apply_model(spark, sf_dir):
     texts = derived.table(spark, sf_dir, "documents").select(
-        "doc_id", F.lit("correct_text").alias("task"), _padded(F.col("text")).alias("text"))
-    requests = model.render_prompt(
-        model.attach_prompt(texts, documents.read_prompts(spark)), "system_and_user")
-    replies = model.apply_model(requests, "echo", parallelism=8)
-    return model.attach_responses(requests.select("doc_id", "request_id"), replies).select(
-        "doc_id", "response", "error")
+        "doc_id", _padded(F.col("text")).alias("text"))
+    return ask(texts, "correct_text", _echo(spark)).select("doc_id", "response", "error")
+
+
+def _echo(spark):
+    """A model that replies with the text it gets, so that replies are known."""
+    return Model("echo", documents.read_prompts(spark))
+
+
+def i1_model_correction(spark, sf_dir):
+    texts = derived.table(spark, sf_dir, "documents").select(
+        "doc_id", _padded(F.col("text")).alias("text"))
+    return correct_with_model(texts, _echo(spark)).select("doc_id", "corrected_text")
+
+
+def i2_model_extraction(spark, sf_dir):
+    texts = derived.v_responses(spark, sf_dir).select(
+        F.col("request_id").alias("doc_id"), F.col("response").alias("text"))
+    records = extract_with_model(texts, _echo(spark))
+    return records.select("doc_id", F.col("entity_status").alias("status"),
+                          *[F.array_join(c, "|").alias(c.lower()) for c in CATEGORIES])
+
+
+def i3_model_explanations(spark, sf_dir):
+    requests = entities.distinct_requests(derived.v_entities(spark, sf_dir))
+    return explain_with_model(requests, _echo(spark))
+
+
+def i4_model_letters(spark, sf_dir):
+    texts = derived.v_letters(spark, sf_dir).select(F.col("conv_id").alias("doc_id"),
+                                                    F.col("body").alias("text"))
+    parted = split_with_model(texts, _echo(spark))
+    return letters.letter_rows(parted.select("doc_id", "page_number", "letter_status", "letters"))
 
 
 def j1_incremental_run(spark, sf_dir):
@@ -469,7 +498,10 @@ def k1_line_distance(spark, sf_dir):
 
 def k1_document_distance(spark, sf_dir):
     """Whole documents; too slow in plain SQL, so the helper is tested against brute force."""
-    measured = evaluate.edit_distance(derived.v_pairs(spark, sf_dir), "raw", "target")
+    # The work grows with the square of a text, so texts are spread first.
+    texts = derived.table(spark, sf_dir, "documents").select("doc_id", "text").repartition("doc_id")
+    pairs = texts.withColumn("raw", F.replace("text", F.lit("th"), F.lit("tb")))
+    measured = evaluate.edit_distance(pairs, "raw", "text")
     return measured.select("doc_id", "distance", F.round("similarity", 6).alias("similarity"))
 
 
@@ -499,7 +531,8 @@ QUERIES = {f.__name__: f for f in (
     h1_py_strip, h2_parse_page_number, h3_strict_json, h4_validate_entities, h5_parse_letters,
     h6_render_prompt, h7_to_json_record, h8_rewrite_suffix, h9_format_elapsed,
     h10_format_run_stamp, h11_split_lines, i1_correct_text, i1_corpus_lexicon,
-    i2_extract_entities, i3_explain_entities, i4_split_letters, i5_document_run, i5_run_letters,
+    i1_model_correction, i2_extract_entities, i2_model_extraction, i3_explain_entities,
+    i3_model_explanations, i4_split_letters, i4_model_letters, i5_document_run, i5_run_letters,
     i5_run_explanations, i6_apply_model, j1_incremental_run, j2_job_tracker, k1_edit_distance,
     k1_line_distance, k1_document_distance, k2_word_count, k3_run_consistency,
 )}

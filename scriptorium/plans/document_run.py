@@ -12,8 +12,10 @@ from scriptorium.operators.correct import correct_text, effective_text
 from scriptorium.operators.entities import (
     explain_entities, extract_entities, unpivot_entities)
 from scriptorium.operators.layout import assemble_text, with_empty_documents
-from scriptorium.operators.letters import GREETING, SIGN_OFF, letter_arrays
+from scriptorium.operators.letters import GREETING, SIGN_OFF, letter_arrays, letter_rows
 from scriptorium.operators.status import SUCCEEDED, failed_documents
+from scriptorium.plans.model_tasks import (
+    correct_with_model, explain_with_model, extract_with_model, split_with_model)
 from scriptorium.session import cut_lineage
 from scriptorium.sources.sinks import write_table
 
@@ -30,28 +32,40 @@ class RunConfig:
     materialise: bool = False
 
 
-def understand(raw, lexicon, gazetteer, config=RunConfig(), corrected=None):
-    """Per document raw, corrected and effective text, entity lists, page number and letters.
+def _with_effective_text(docs):
+    return docs.withColumn("text", effective_text(F.col("raw_text"), F.col("corrected_text")))
 
-    ``corrected(key, corrected_text)`` replaces the lexicon, for instance with the replies of a
-    model; a document without a reply, or with a NULL one, goes on with its raw text.
-    """
+
+def understand(raw, lexicon, gazetteer, config=RunConfig()):
+    """Per document raw, corrected and effective text, entity lists, page number and letters."""
     key = config.key
-    if corrected is None:
-        docs = correct_text(raw, lexicon, key, "raw_text")
-    else:
-        docs = raw.join(corrected.select(key, "corrected_text"), key, "left")
-    docs = docs.withColumn("text", effective_text(F.col("raw_text"), F.col("corrected_text")))
+    docs = _with_effective_text(correct_text(raw, lexicon, key, "raw_text"))
     docs = extract_entities(docs, gazetteer, key)
     docs = letter_arrays(docs, "text", config.greeting, config.signoff)
     return docs.withColumn("page_number", parse_page_number(F.col("text")))
 
 
-def document_run(files, lines, lexicon, gazetteer, knowledge, config=RunConfig(), corrected=None,
-                 jobs=None):
+def understand_with_model(raw, model, config=RunConfig()):
+    """The same columns as :func:`understand`, from the replies of a model.
+
+    Every step goes on when a call fails: without a correction the raw text is used, without
+    valid entities the lists are empty, without valid letters there are none.
+    """
+    key = config.key
+    corrected = correct_with_model(raw.select(key, F.col("raw_text").alias("text")), model, key)
+    docs = _with_effective_text(raw.join(corrected.drop("error"), key, "left"))
+    docs = cut_lineage(docs, "corrected")
+    texts = docs.select(key, "text")
+    return (docs.join(extract_with_model(texts, model, key).drop("entity_status"), key)
+            .join(split_with_model(texts, model, key).drop("letter_status"), key))
+
+
+def document_run(files, lines, lexicon=None, gazetteer=None, knowledge=None, config=RunConfig(),
+                 jobs=None, model=None):
     """Result tables of a run, by name.
 
-    ``files`` has one row per document and ``lines`` one per OCR line. ``jobs(key, outcome)``,
+    The text tasks follow the rules with ``lexicon``, ``gazetteer`` and ``knowledge``, or go to
+    ``model`` (:class:`plans.model_tasks.Model`) when one is given. ``files`` has one row per document and ``lines`` one per OCR line. ``jobs(key, outcome)``,
     if given, keeps documents whose OCR did not succeed out of every later step; they are reported
     as failed. Each document has one row up to the exploded tables, so steps share the
     partitioning by document.
@@ -63,18 +77,20 @@ def document_run(files, lines, lexicon, gazetteer, knowledge, config=RunConfig()
         files = files.join(failed.select(key), key, "left_anti")
     # Lines of documents that are not in files are dropped by the join on files.
     raw = with_empty_documents(files, assemble_text(lines, key, config.order), key)
-    docs = understand(raw, lexicon, gazetteer, config, corrected)
+    if model is None:
+        docs = understand(raw, lexicon, gazetteer, config)
+    else:
+        docs = understand_with_model(raw, model, config)
     if config.materialise:
         docs = cut_lineage(docs, "documents")
     entities = unpivot_entities(docs.select(key, *CATEGORIES), key)
-    letters = docs.select(key, "page_number", F.posexplode("letters").alias("_pos", "letter")).select(
-        key, "page_number", (F.col("_pos") + 1).cast("bigint").alias("letter_no"), "letter")
+    explain = None if model is None else lambda wanted: explain_with_model(wanted, model)
     return {
         "raw_text": docs.select(key, "raw_text"),
         "corrected": docs.select(key, "corrected_text"),
         "entities": entities,
-        "explanations": explain_entities(entities, knowledge),
-        "letters": letters,
+        "explanations": explain_entities(entities, knowledge, explain),
+        "letters": letter_rows(docs.select(key, "page_number", "letters")),
         "doc_status": _doc_status(docs, failed, config),
     }
 

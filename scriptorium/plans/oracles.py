@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from scriptorium.functions.replies import CATEGORIES, EXPLAINED_CATEGORIES
-from scriptorium.operators.model import ALWAYS_SINGLE, TASKS
-from scriptorium.plans.catalog import BATCH_SIZE, DOCUMENT_TASKS, MAX_POLLS
-
 import json
 from pathlib import Path
 
+from scriptorium.functions.replies import CATEGORIES
+from scriptorium.operators.model import ALWAYS_SINGLE, TASKS
+from scriptorium.plans.catalog import BATCH_SIZE, DOCUMENT_TASKS, MAX_POLLS
 from scriptorium.sources import documents as _documents
 
 _PROMPTS = json.loads(
@@ -256,8 +255,16 @@ _ENTITY_LISTS = ", ".join(
     f"case status when 'parsed' then coalesce(array_to_string(json_extract_string(response, "
     f"'$.{c}[*]'), '|'), '') when 'defaulted' then '' end as {c.lower()}" for c in CATEGORIES)
 
+_MODEL_LISTS = ", ".join(
+    f"case status when 'parsed' then coalesce(array_to_string(json_extract_string(response, "
+    f"'$.{c}[*]'), '|'), '') else '' end as {c.lower()}" for c in CATEGORIES)
+_CHECKED = f"""
+  select request_id, response, case when not json_valid(response) then 'defaulted'
+    when {_ENTITIES_VALID} then 'parsed' else 'invalid' end as status
+  from v_responses"""
+
 _SYSTEM = "case when single then null else prompt end"
-_USER = f"case when single then concat(prompt, chr(10), 'Text:', chr(10), text) else text end"
+_USER = "case when single then concat(prompt, chr(10), 'Text:', chr(10), text) else text end"
 
 _TERMINAL_ELAPSED = """concat(cast(floor(s / 3600) as bigint), 'h ',
     cast(floor((s % 3600) / 60) as bigint), 'm ', cast(s % 60 as bigint), 's')"""
@@ -371,12 +378,8 @@ select distinct category, entity from v_entities where category <> 'Dates'"""),
 select doc_id as conv_id, page_number from v_page_numbers""", v_texts=_LETTER_TEXTS),
     "h3_strict_json": _with("v_responses", """
 select request_id, coalesce(json_valid(response), false) as is_json from v_responses"""),
-    "h4_validate_entities": _with("v_responses", f"""
-select request_id, status, {_ENTITY_LISTS}
-from (select request_id, response, case when not json_valid(response) then 'defaulted'
-    when {_ENTITIES_VALID} then 'parsed' else 'invalid' end as status
-  from (select request_id, response from v_responses where json_valid(response)
-        union all select request_id, response from v_responses where not json_valid(response)))"""),
+    "h4_validate_entities": _with("v_responses v_checked", f"""
+select request_id, status, {_ENTITY_LISTS} from v_checked""", v_checked=_CHECKED),
     "h5_parse_letters": _with("v_responses", f"""
 select request_id, case when not json_valid(response) then 'whole_text'
     when json_type(response) <> 'ARRAY' then 'whole_text'
@@ -451,6 +454,16 @@ select doc_id, 'People' as category, row_number() over (partition by doc_id orde
     "i6_apply_model": """
 select doc_id, trim(text, ' ' || chr(10)) as response, cast(null as varchar) as error
 from documents""",
+    "i1_model_correction": """
+select doc_id, trim(text, ' ' || chr(10)) as corrected_text from documents""",
+    "i2_model_extraction": _with("v_responses v_checked", f"""
+select request_id as doc_id, status, {_MODEL_LISTS} from v_checked""", v_checked=_CHECKED),
+    "i3_model_explanations": _with("v_entities", """
+select distinct category, entity, concat('Category: ', category, chr(10), 'Entity: ', entity)
+  as explanation from v_entities where category <> 'Dates'"""),
+    "i4_model_letters": _with("v_letters v_texts v_page_numbers", """
+select doc_id, page_number, 'whole_text' as letter_status, cast(1 as bigint) as letter_no,
+  text as letter from v_texts join v_page_numbers using (doc_id)""", v_texts=_LETTER_TEXTS),
     "j1_incremental_run": _SPLIT_LETTERS,
     "j2_job_tracker": _with("v_poll v_outcomes", "select * from v_outcomes"),
     "k1_edit_distance": _with("v_turns", f"""

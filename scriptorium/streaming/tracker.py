@@ -22,8 +22,6 @@ def track_jobs(stream, max_retries=MAX_RETRIES, deadline_seconds=MAX_RETRIES * D
     """
     events = stream.select("job_id", "event_id", F.col("ts").cast("timestamp").alias("ts"), "status")
     with_deadline = deadline_seconds is not None
-    if with_deadline:
-        events = events.withWatermark("ts", watermark)
 
     def first_of_each_job(batches):
         # Whatever is not among the first polls of its own Arrow batch cannot be among the
@@ -65,11 +63,11 @@ def track_jobs(stream, max_retries=MAX_RETRIES, deadline_seconds=MAX_RETRIES * D
         if outcome:
             yield pd.DataFrame({"job_id": [key[0]], "outcome": [outcome], "polls": [seen]})
 
+    first = events.mapInPandas(first_of_each_job, events.schema)
+    if with_deadline:
+        first = first.withWatermark("ts", watermark)
     job_type = stream.schema["job_id"].dataType.simpleString()
-    return (events.mapInPandas(first_of_each_job, events.schema)
-            .groupBy("job_id")
-            .applyInPandasWithState(
-                follow, f"job_id {job_type}, outcome string, polls bigint",
-                "seen int, done boolean, first_ms bigint", "append",
-                GroupStateTimeout.EventTimeTimeout if with_deadline
-                else GroupStateTimeout.NoTimeout))
+    return first.groupBy("job_id").applyInPandasWithState(
+        follow, f"job_id {job_type}, outcome string, polls bigint",
+        "seen int, done boolean, first_ms bigint", "append",
+        GroupStateTimeout.EventTimeTimeout if with_deadline else GroupStateTimeout.NoTimeout)
