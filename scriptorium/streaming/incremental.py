@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from scriptorium.sources.sinks import write_table
 
+# A file stream needs its schema named; this is the one of the binary file source.
+BINARY_FILES = "path string, modificationTime timestamp, length bigint, content binary"
+
 
 def incremental_run(spark, source, out, checkpoint, process, batch_size=5, fmt="binaryFile",
                     schema=None, options=None):
@@ -16,6 +19,8 @@ def incremental_run(spark, source, out, checkpoint, process, batch_size=5, fmt="
     reader = spark.readStream.format(fmt).option("maxFilesPerTrigger", batch_size)
     for key, value in (options or {}).items():
         reader = reader.option(key, value)
+    if schema is None and fmt == "binaryFile":
+        schema = BINARY_FILES
     if schema is not None:
         reader = reader.schema(schema)
 

@@ -30,3 +30,11 @@ def value(spark):
         return row.select(function(*[F.col(f"c{i}") for i in range(len(arguments))])
                           .alias("v")).first()["v"]
     return evaluate
+
+
+@pytest.fixture(scope="session")
+def sf_dir():
+    path = Path("/root/testdata/sf0.001")
+    if not path.is_dir():
+        pytest.skip("no test tables")
+    return str(path)
