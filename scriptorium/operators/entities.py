@@ -71,10 +71,11 @@ def extract_entities(df, gazetteer, key="doc_id", text="text"):
     index = name_index(gazetteer)
     sizes = gazetteer.agg(F.collect_set(F.size(_words(F.col("name")))).alias("n")).first()["n"]
     lengths = sorted(n for n in sizes if n > 0)
-    dates = F.array_distinct(F.regexp_extract_all(F.col(text), F.lit(DATES), F.lit(0)))
+    # Found before the join, so that a caller who wants only the lists joins without the texts.
+    dated = df.withColumn("Dates", F.array_distinct(
+        F.regexp_extract_all(F.col(text), F.lit(DATES), F.lit(0))))
     if not lengths:
-        empty = {c: _strings() for c in EXPLAINED_CATEGORIES}
-        return df.withColumns({**empty, "Dates": dates})
+        return dated.withColumns({c: _strings() for c in EXPLAINED_CATEGORIES})
     matches = _phrases(df, key, text, lengths).join(index, ["phrase", "n_words"])
     # Sorted by position and length: the last match at a position is the longest one there.
     hits = matches.groupBy(key).agg(
@@ -89,7 +90,7 @@ def extract_entities(df, gazetteer, key="doc_id", text="text"):
         return F.array_distinct(F.transform(mine, lambda e: e["name"]))
 
     lists = {c: names(c) for c in EXPLAINED_CATEGORIES}
-    return df.join(found, key, "left").withColumns({**lists, "Dates": dates}).drop("_found")
+    return dated.join(found, key, "left").withColumns(lists).drop("_found")
 
 
 def unpivot_entities(records, key="doc_id", categories=CATEGORIES):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -65,12 +67,13 @@ def render_prompt(df, layout="system_and_user", model="echo"):
         "request_id", F.sha2(F.concat_ws("\u0001", "model", "task", "system", "user"), 256))
 
 
-def apply_model(requests, backend, parallelism=None, attempts=1, known=None):
+def apply_model(requests, backend, parallelism=None, attempts=1, known=None, threads=1):
     """Send every distinct request once: rows (request_id, response, error, attempt).
 
     ``backend`` is a registered name or a factory. A failed call is data: ``response`` is NULL and
-    ``error`` says why. ``parallelism`` fixes the number of tasks that call the model. Requests
-    whose reply is in ``known`` are not sent again. Rows stream through in Arrow batches.
+    ``error`` says why. ``parallelism`` fixes the number of tasks that call the model, and
+    ``threads`` how many calls each of them waits for at a time. Requests whose reply is in
+    ``known`` are not sent again. Rows stream through in Arrow batches.
     """
     factory = _BACKENDS[backend] if isinstance(backend, str) else backend
     todo = requests.select("request_id", "task", "system", "user").dropDuplicates(["request_id"])
@@ -92,8 +95,9 @@ def apply_model(requests, backend, parallelism=None, attempts=1, known=None):
         call = factory()
         for batch in batches:
             batch = batch.astype(object).where(batch.notna(), None)
-            replies = [ask(call, *row) for row in
-                       zip(batch["task"], batch["system"], batch["user"])]
+            rows = zip(batch["task"], batch["system"], batch["user"])
+            with ThreadPoolExecutor(threads) as pool:
+                replies = list(pool.map(lambda row: ask(call, *row), rows))
             yield pd.DataFrame(replies, columns=["response", "error", "attempt"]).assign(
                 request_id=batch["request_id"].to_numpy())[
                 ["request_id", "response", "error", "attempt"]]

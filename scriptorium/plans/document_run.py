@@ -6,23 +6,30 @@ from dataclasses import dataclass
 
 from pyspark.sql import functions as F
 
-from scriptorium.functions.replies import CATEGORIES
+from scriptorium.functions.replies import CATEGORIES, EXPLAINED_CATEGORIES
 from scriptorium.functions.text import parse_page_number
 from scriptorium.operators.correct import correct_text, effective_text
 from scriptorium.operators.entities import (
-    explain_entities, extract_entities, unpivot_entities)
+    explain_entities, explanation_maps, extract_entities, unpivot_entities)
 from scriptorium.operators.layout import assemble_text, with_empty_documents
 from scriptorium.operators.letters import GREETING, SIGN_OFF, letter_arrays, letter_rows
-from scriptorium.operators.status import SUCCEEDED, failed_documents
+from scriptorium.operators.status import FAILED, SUCCEEDED, failed_documents
 from scriptorium.plans.model_tasks import (
     correct_with_model, explain_with_model, extract_with_model, split_with_model)
 from scriptorium.session import cut_lineage
-from scriptorium.sources.sinks import write_table
+from scriptorium.sources.sinks import write_json, write_table
+
+# Endings of the files that a document is said to have.
+RAW, CORRECTED, COMBINED = ".raw.txt", ".corrected.txt", ".combined_output.json"
 
 
 @dataclass(frozen=True)
 class RunConfig:
-    """Options of a run. ``materialise`` writes the documents once, before the result tables."""
+    """Options of a run.
+
+    ``materialise`` writes raw texts, corrected texts and entity records once, so that the result
+    tables read them instead of computing them again, also after the loss of an executor.
+    """
 
     key: str = "doc_id"
     order: tuple = ("page", "line_no")
@@ -32,94 +39,97 @@ class RunConfig:
     materialise: bool = False
 
 
-def _with_effective_text(docs):
-    return docs.withColumn("text", effective_text(F.col("raw_text"), F.col("corrected_text")))
-
-
-def understand(raw, lexicon, gazetteer, config=RunConfig()):
-    """Per document raw, corrected and effective text, entity lists, page number and letters."""
-    key = config.key
-    docs = _with_effective_text(correct_text(raw, lexicon, key, "raw_text"))
-    docs = extract_entities(docs, gazetteer, key)
-    docs = letter_arrays(docs, "text", config.greeting, config.signoff)
-    return docs.withColumn("page_number", parse_page_number(F.col("text")))
-
-
-def understand_with_model(raw, model, config=RunConfig()):
-    """The same columns as :func:`understand`, from the replies of a model.
-
-    Every step goes on when a call fails: without a correction the raw text is used, without
-    valid entities the lists are empty, without valid letters there are none.
-    """
-    key = config.key
-    corrected = correct_with_model(raw.select(key, F.col("raw_text").alias("text")), model, key)
-    docs = _with_effective_text(raw.join(corrected.drop("error"), key, "left"))
-    docs = cut_lineage(docs, "corrected")
-    texts = docs.select(key, "text")
-    return (docs.join(extract_with_model(texts, model, key).drop("entity_status"), key)
-            .join(split_with_model(texts, model, key).drop("letter_status"), key))
-
-
 def document_run(files, lines, lexicon=None, gazetteer=None, knowledge=None, config=RunConfig(),
                  jobs=None, model=None):
     """Result tables of a run, by name.
 
-    The text tasks follow the rules with ``lexicon``, ``gazetteer`` and ``knowledge``, or go to
-    ``model`` (:class:`plans.model_tasks.Model`) when one is given. ``files`` has one row per document and ``lines`` one per OCR line. ``jobs(key, outcome)``,
-    if given, keeps documents whose OCR did not succeed out of every later step; they are reported
-    as failed. Each document has one row up to the exploded tables, so steps share the
-    partitioning by document.
+    ``files`` has one row per document and ``lines`` one per OCR line. The text tasks follow the
+    rules with ``lexicon``, ``gazetteer`` and ``knowledge``, or go to ``model``
+    (:class:`plans.model_tasks.Model`) when one is given. ``jobs(key, outcome)``, if given, keeps
+    documents whose OCR did not succeed out of every later step; they are reported as failed.
     """
     key = config.key
+    keep = cut_lineage if config.materialise else lambda df, label: df
     failed = None
     if jobs is not None:
         failed = failed_documents(jobs.select(key, "outcome"))
         files = files.join(failed.select(key), key, "left_anti")
     # Lines of documents that are not in files are dropped by the join on files.
-    raw = with_empty_documents(files, assemble_text(lines, key, config.order), key)
+    raw = keep(with_empty_documents(files, assemble_text(lines, key, config.order), key), "raw")
+    docs = keep(_corrected(raw, lexicon, model, key), "corrected").withColumn(
+        "text", effective_text(F.col("raw_text"), F.col("corrected_text")))
+    texts = docs.select(key, "text")
     if model is None:
-        docs = understand(raw, lexicon, gazetteer, config)
+        explain = None
+        records = extract_entities(texts, gazetteer, key)
+        combined = letter_arrays(texts, "text", config.greeting, config.signoff).select(
+            key, parse_page_number(F.col("text")).alias("page_number"), "letters")
     else:
-        docs = understand_with_model(raw, model, config)
-    if config.materialise:
-        docs = cut_lineage(docs, "documents")
-    entities = unpivot_entities(docs.select(key, *CATEGORIES), key)
-    explain = None if model is None else lambda wanted: explain_with_model(wanted, model)
+        explain = lambda wanted: explain_with_model(wanted, model)
+        records = extract_with_model(texts, model, key)
+        combined = split_with_model(texts, model, key).select(key, "page_number", "letters")
+    records = keep(records.select(key, *CATEGORIES), "records")
+    entities = unpivot_entities(records, key)
     return {
         "raw_text": docs.select(key, "raw_text"),
         "corrected": docs.select(key, "corrected_text"),
         "entities": entities,
         "explanations": explain_entities(entities, knowledge, explain),
-        "letters": letter_rows(docs.select(key, "page_number", "letters")),
-        "doc_status": _doc_status(docs, failed, config),
+        "letters": letter_rows(combined),
+        "doc_status": _doc_status(docs, records, combined, failed, config),
+        "entity_records": records,
+        "combined": combined,
     }
 
 
-def _doc_status(docs, failed, config):
+def _corrected(raw, lexicon, model, key):
+    if model is None:
+        return correct_text(raw, lexicon, key, "raw_text")
+    replies = correct_with_model(raw.select(key, F.col("raw_text").alias("text")), model, key)
+    return raw.join(replies.select(key, "corrected_text"), key, "left")
+
+
+def _doc_status(docs, records, combined, failed, config):
+    """One row per document: what it became, where, and how much of it there is."""
     key = config.key
-    folder = F.concat(F.lit(config.output + "/"), F.col(key).cast("string"), F.lit("/"),
-                      F.col(key).cast("string"))
+    name = F.col(key).cast("string")
+    file = lambda ending: F.concat(F.lit(config.output + "/"), name, F.lit("/"), name, F.lit(ending))
     n_entities = sum((F.size(c) for c in CATEGORIES), F.lit(0))
-    nothing = F.lit(None).cast("string")
+    # Only counts and paths go through the joins, not texts.
     status = docs.select(
         key, F.lit(SUCCEEDED).alias("status"),
         F.when(F.col("raw_text") == "", "no_text").alias("reason"),
-        F.concat(folder, F.lit(".raw.txt")).alias("raw_path"),
-        F.when(F.col("corrected_text").isNotNull(),
-               F.concat(folder, F.lit(".corrected.txt"))).alias("corrected_path"),
-        F.concat(folder, F.lit(".combined_output.json")).alias("combined_path"),
-        "n_lines", "page_number",
-        n_entities.cast("bigint").alias("n_entities"),
-        F.size("letters").cast("bigint").alias("n_letters"))
+        file(RAW).alias("raw_path"),
+        F.when(F.col("corrected_text").isNotNull(), file(CORRECTED)).alias("corrected_path"),
+        file(COMBINED).alias("combined_path"), "n_lines",
+    ).join(records.select(key, n_entities.cast("bigint").alias("n_entities")), key).join(
+        combined.select(key, "page_number", F.size("letters").cast("bigint").alias("n_letters")), key)
     if failed is None:
         return status
-    counts = ["n_lines", "page_number", "n_entities", "n_letters"]
-    return status.unionByName(failed.select(
-        key, F.lit("FAILED").alias("status"), "reason",
-        *[nothing.alias(p) for p in ("raw_path", "corrected_path", "combined_path")],
-        *[F.lit(None).cast("bigint").alias(c) for c in counts]))
+    paths = [F.lit(None).cast("string").alias(p)
+             for p in ("raw_path", "corrected_path", "combined_path")]
+    counts = [F.lit(None).cast("bigint").alias(c)
+              for c in ("n_lines", "n_entities", "page_number", "n_letters")]
+    return status.unionByName(
+        failed.select(key, F.lit(FAILED).alias("status"), "reason", *paths, *counts))
+
+
+def explanation_records(tables, key="doc_id"):
+    """One record per document with one map per category, empty where nothing is explained."""
+    maps = explanation_maps(tables["explanations"], key)
+    none = F.expr("map()").cast("map<string,string>")
+    return tables["entity_records"].select(key).join(maps, key, "left").select(
+        key, *[F.coalesce(c, none).alias(c) for c in EXPLAINED_CATEGORIES])
 
 
 def write_document_run(tables, out, batch_id=None):
+    """Write every result table below ``out``."""
     for name, table in tables.items():
         write_table(table, f"{out}/{name}", batch_id)
+
+
+def write_json_records(tables, out, key="doc_id"):
+    """Write the nested records of all documents as JSON lines: entities, explanations, letters."""
+    write_json(tables["entity_records"], f"{out}/entities_json")
+    write_json(explanation_records(tables, key), f"{out}/entities_explained_json")
+    write_json(tables["combined"], f"{out}/combined_output_json")

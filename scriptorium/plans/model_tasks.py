@@ -27,6 +27,7 @@ class Model:
     name: str = "echo"
     attempts: int = 1
     parallelism: int | None = None
+    threads: int = 1
     known: DataFrame | None = None
 
 
@@ -40,7 +41,8 @@ def ask(texts, task, model):
     tasked = texts.withColumn("task", F.explode(F.array(F.lit(task))))
     requests = render_prompt(attach_prompt(tasked, model.prompts), model.layout, model.name)
     replies = cut_lineage(
-        apply_model(requests, model.backend, model.parallelism, model.attempts, model.known),
+        apply_model(requests, model.backend, model.parallelism, model.attempts, model.known,
+                    model.threads),
         "replies")
     if model.known is not None:
         replies = replies.unionByName(

@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from scriptorium.operators import model
-from scriptorium.plans.document_run import RunConfig, document_run, write_document_run
+from scriptorium.plans.document_run import (
+    RunConfig, document_run, write_document_run, write_json_records)
 from scriptorium.plans.model_tasks import Model, ask, split_with_model
 from scriptorium.sources.documents import read_prompts
 
@@ -48,6 +49,21 @@ def test_equal_requests_are_sent_once_and_known_ones_never(spark):
     assert [r.request_id for r in got] == ["r1"] and calls.value == 1
 
 
+def test_threads_wait_together(spark):
+    def slow():
+        import threading
+        meet = threading.Barrier(4)
+
+        def call(task, system, user):
+            meet.wait(timeout=20)
+            return user
+        return call
+
+    got = model.apply_model(requests(spark, list("abcd")), slow, parallelism=1, threads=4).collect()
+    assert sorted((r.request_id, r.response, r.error) for r in got) == [
+        ("r0", "a", None), ("r1", "b", None), ("r2", "c", None), ("r3", "d", None)]
+
+
 def test_parallelism_sets_the_number_of_tasks(spark):
     df = model.apply_model(requests(spark, list("abcdefgh")), "echo", parallelism=3)
     assert df.rdd.getNumPartitions() == 3
@@ -131,6 +147,11 @@ def test_document_run_with_a_model(spark, tmp_path):
     assert status[2].corrected_path is None and status[2].raw_path == "output/2/2.raw.txt"
     assert status[4].reason == "no_text" and status[4].n_letters == 0
     write_document_run(tables, str(tmp_path / "out"))
+    write_json_records(tables, str(tmp_path / "out"))
+    explained = spark.read.json(str(tmp_path / "out" / "entities_explained_json"))
+    assert explained.count() == 4 and explained.where("doc_id = 1").first().People.Ann == "about Ann"
+    combined = spark.read.json(str(tmp_path / "out" / "combined_output_json"))
+    assert combined.where("doc_id = 4").first().letters == []
     assert spark.read.parquet(str(tmp_path / "out" / "letters")).count() == 3
 
 
