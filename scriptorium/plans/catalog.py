@@ -492,16 +492,19 @@ def k1_edit_distance(spark, sf_dir):
     return measured.select("doc_id", "distance", F.round("similarity", 6).alias("similarity"))
 
 
+def _spread_pairs(spark, sf_dir):
+    """Texts and their misread form. Measuring costs far more than reading, so texts are spread."""
+    texts = derived.table(spark, sf_dir, "documents").select("doc_id", "text").repartition("doc_id")
+    return texts.withColumn("raw", F.replace("text", F.lit("th"), F.lit("tb")))
+
+
 def k1_line_distance(spark, sf_dir):
-    return evaluate.line_distance(derived.v_pairs(spark, sf_dir), "raw", "target")
+    return evaluate.line_distance(_spread_pairs(spark, sf_dir), "raw", "text")
 
 
 def k1_document_distance(spark, sf_dir):
     """Whole documents; too slow in plain SQL, so the helper is tested against brute force."""
-    # The work grows with the square of a text, so texts are spread first.
-    texts = derived.table(spark, sf_dir, "documents").select("doc_id", "text").repartition("doc_id")
-    pairs = texts.withColumn("raw", F.replace("text", F.lit("th"), F.lit("tb")))
-    measured = evaluate.edit_distance(pairs, "raw", "text")
+    measured = evaluate.edit_distance(_spread_pairs(spark, sf_dir), "raw", "text")
     return measured.select("doc_id", "distance", F.round("similarity", 6).alias("similarity"))
 
 
