@@ -10,7 +10,10 @@ from scriptorium.functions.text import py_strip
 CATEGORIES = ("People", "Productions", "Companies", "Theaters", "Dates")
 EXPLAINED_CATEGORIES = ("People", "Productions", "Companies", "Theaters")
 
-_EMPTY = "array()"
+
+def _bind(value, body):
+    """``body(value)`` with the value computed once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def strict_json(reply):
@@ -38,7 +41,7 @@ def _as_strings(items):
 
 
 def _empty_list():
-    return F.expr(_EMPTY).cast("array<string>")
+    return F.expr("array()").cast("array<string>")
 
 
 def validate_entities(reply):
@@ -47,17 +50,25 @@ def validate_entities(reply):
     ``parsed``: all five keys hold lists of strings (other keys are ignored). ``defaulted``: not
     JSON, all lists are empty. ``invalid``: JSON of another shape, all lists are NULL.
     """
+    def read(value):
+        return F.struct(value.isNull().alias("broken"),
+                        *[_items(value, f"$.{c}").alias(c) for c in CATEGORIES])
+
+    def check(lists):
+        valid = F.lit(True)
+        for category in CATEGORIES:
+            valid = valid & _all_strings(lists[category])
+        return F.struct(valid.alias("valid"), lists.alias("lists"))
+
+    def record(checked):
+        lists, valid, broken = checked["lists"], checked["valid"], checked["lists"]["broken"]
+        status = F.when(broken, "defaulted").when(valid, "parsed").otherwise("invalid")
+        return F.struct(status.alias("status"), *[
+            F.when(broken, _empty_list()).when(valid, _as_strings(lists[c])).alias(c)
+            for c in CATEGORIES])
+
     value = strict_json(py_strip(reply))
-    lists = {c: _items(value, f"$.{c}") for c in CATEGORIES}
-    valid = F.lit(True)
-    for items in lists.values():
-        valid = valid & _all_strings(items)
-    status = (F.when(value.isNull(), "defaulted").when(valid, "parsed").otherwise("invalid"))
-    fields = [
-        F.when(value.isNull(), _empty_list()).when(valid, _as_strings(items)).alias(category)
-        for category, items in lists.items()
-    ]
-    return F.struct(status.alias("status"), *fields)
+    return _bind(value, lambda v: _bind(read(v), lambda lists: _bind(check(lists), record)))
 
 
 def parse_letters(reply, full_text):
@@ -66,13 +77,14 @@ def parse_letters(reply, full_text):
     A JSON list of strings gives its items, a list with anything else fails, and every other
     reply falls back to the full text as the only letter.
     """
-    value = strict_json(py_strip(reply))
-    items = _items(value, "$")
-    status = (F.when(items.isNull(), "whole_text")
-              .when(_all_strings(items), "parsed").otherwise("failed"))
-    letters = (F.when(items.isNull(), F.array(full_text))
-               .when(_all_strings(items), _as_strings(items)))
-    return F.struct(status.alias("status"), letters.alias("letters"))
+    def record(items):
+        status = (F.when(items.isNull(), "whole_text")
+                  .when(_all_strings(items), "parsed").otherwise("failed"))
+        letters = (F.when(items.isNull(), F.array(full_text))
+                   .when(_all_strings(items), _as_strings(items)))
+        return F.struct(status.alias("status"), letters.alias("letters"))
+
+    return _bind(_items(strict_json(py_strip(reply)), "$"), record)
 
 
 def to_json_record(*cols):

@@ -56,7 +56,8 @@ def ordered_items(order, value):
 def assemble_text(lines, key="doc_id", order=("page", "line_no"), text="text", sep="\n"):
     """One row per document: its lines joined in order, as ``raw_text``.
 
-    The collected group is the text of one document, which has to fit in one cell anyway.
+    The collected group is the text of one document, which has to fit in one cell anyway. ``key``
+    may be several columns, for instance document and page.
     """
     joined = F.array_join(ordered_items(order, text), sep)
     return lines.groupBy(key).agg(joined.alias("raw_text"), F.count("*").alias("n_lines"))

@@ -32,9 +32,12 @@ def track_jobs(stream, max_retries=MAX_RETRIES, deadline_seconds=MAX_RETRIES * D
     def follow(key, batches, state):
         seen, done, first_ms = state.get if state.exists else (0, False, None)
         if state.hasTimedOut:
-            state.remove()
-            if not done:
-                yield pd.DataFrame({"job_id": [key[0]], "outcome": [TIMED_OUT], "polls": [seen]})
+            if done:
+                state.remove()
+                return
+            state.update((seen, True, first_ms))
+            state.setTimeoutTimestamp(state.getCurrentWatermarkMs() + deadline_seconds * 1000)
+            yield pd.DataFrame({"job_id": [key[0]], "outcome": [TIMED_OUT], "polls": [seen]})
             return
         polls = None
         for batch in batches:
@@ -57,7 +60,7 @@ def track_jobs(stream, max_retries=MAX_RETRIES, deadline_seconds=MAX_RETRIES * D
             done = outcome is not None
         state.update((seen, done, first_ms))
         if with_deadline and first_ms is not None:
-            # An ended job is remembered until its deadline, then forgotten.
+            # An ended job is remembered for one more deadline, then forgotten.
             ends = first_ms + deadline_seconds * 1000
             state.setTimeoutTimestamp(max(ends, state.getCurrentWatermarkMs() + 1))
         if outcome:

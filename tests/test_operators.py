@@ -33,6 +33,13 @@ def test_assemble_text_keeps_order_blank_lines_and_empty_documents(spark):
     assert rows(layout.empty_documents(files, lines)) == [(2,)]
 
 
+def test_assemble_text_by_page(spark):
+    lines = spark.createDataFrame([(1, 1, 0, "a"), (1, 2, 1, "c"), (1, 1, 1, "b")],
+                                  "doc_id int, page int, line_no int, text string")
+    pages = layout.assemble_text(lines, ["doc_id", "page"], ["line_no"])
+    assert rows(pages) == [(1, 1, "a\nb", 2), (1, 2, "c", 1)]
+
+
 def test_assemble_pages_reads_lines_only(spark):
     schema = "job_id string, page_ord int, Blocks array<struct<BlockType:string,Text:string>>"
     pages = spark.createDataFrame([

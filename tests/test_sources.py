@@ -1,5 +1,7 @@
 import json
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from scriptorium.operators import layout
@@ -87,6 +89,14 @@ def test_sinks(spark, tmp_path):
     assert sorted(r.text for r in got.collect()) == ["\n", "é\n1\n"]
 
 
+def test_work_dir_is_never_local_on_a_cluster():
+    from types import SimpleNamespace
+    context = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
+    session = SimpleNamespace(sparkContext=context, conf={})
+    with pytest.raises(RuntimeError):
+        work_dir(session, "x")
+
+
 def test_work_dir_follows_the_session(spark):
     first, second = work_dir(spark, "x"), work_dir(spark, "x")
     assert first != second and first.startswith(spark.sparkContext.getCheckpointDir())

@@ -94,3 +94,12 @@ def test_deadline_ends_silent_jobs(spark, tmp_path):
     assert ("quiet", "TIMED_OUT", 1) in got and ("done", "SUCCEEDED", 1) in got
     assert [g for g in got if g[0] == "done"] == [("done", "SUCCEEDED", 1)]
     assert ("last", "SUCCEEDED", 1) in got
+
+
+def test_events_after_the_deadline_are_ignored(spark, tmp_path):
+    wait = "IN_PROGRESS"
+    got = play(spark, tmp_path, [
+        [("slow", 1, 0, wait)], [("other", 2, 700, wait)], [("other", 3, 710, wait)],
+        [("slow", 4, 720, "SUCCEEDED")],
+    ], max_retries=5, deadline_seconds=600, watermark="10 seconds")
+    assert [g for g in got if g[0] == "slow"] == [("slow", "TIMED_OUT", 1)]
