@@ -387,7 +387,7 @@ def _run(spark, sf_dir):
                      F.col("text").alias("corrected"))), "lexicon")
     conversations = turns.groupBy(F.col("conv_id").alias("doc_id")).agg(
         F.max(F.length("text")).alias("longest"), F.count("*").alias("turns"))
-    jobs = conversations.select("doc_id", F.when(F.col("longest") > 4000, "TIMED_OUT")
+    jobs = conversations.select("doc_id", F.when(F.col("longest") > 1700, "TIMED_OUT")
                                 .otherwise("SUCCEEDED").alias("outcome"))
     person = F.concat(F.lit("C"), F.col("doc_id").cast("string")).alias("name")
     people = conversations.select(F.lit("People").alias("category"), person, "turns")

@@ -209,7 +209,7 @@ from v_split join v_page_numbers using (doc_id)""", v_texts=_LETTER_TEXTS)
 
 _RUN = {
     "v_jobs": """
-  select conv_id as doc_id, max(length(text)) > 4000 as timed_out, count(*) as turns
+  select conv_id as doc_id, max(length(text)) > 1700 as timed_out, count(*) as turns
   from conversations group by conv_id""",
     "v_aligned": "select replace(text, 'th', 'tb') as raw, text as target from conversations",
     "v_raw": """
