@@ -41,7 +41,7 @@ def work_dir(spark, label):
     if context.getCheckpointDir() is None:
         configured = spark.conf.get("spark.checkpoint.dir", None)
         if configured is None:
-            if not context.master.startswith("local"):
+            if context.master != "local" and not context.master.startswith("local["):
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
             configured = tempfile.mkdtemp(prefix="scriptorium-")
         context.setCheckpointDir(configured)
