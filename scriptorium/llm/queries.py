@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from scriptorium.llm import language, mixing, urls
+from scriptorium.llm import decontaminate, language, mixing, urls
 
 # The rules of the URL filter query.
 URL_RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
@@ -39,12 +39,22 @@ def op4_url_filter(spark, sf_dir):
     return urls.filter_urls(_table(spark, sf_dir, "pages"), rules)
 
 
+def op6_decontamination(spark, sf_dir):
+    found = decontaminate.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items",
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_source_mix": op2_source_mix,
     "op4_url_filter": op4_url_filter,
+    "op6_decontamination": op6_decontamination,
 }
 
+_WORDS = r"""coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), [])"""
+
 _RULE_ROWS = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
 
 ORACLES = {
@@ -64,4 +74,22 @@ ORACLES = {
             group by n)
         select page_id, host, path, best.r as rule, coalesce(best.v, 'allow') as verdict
         from parts left join fit using (n)""",
+    "op6_decontamination": f"""
+        with docs as (select row_number() over () as n, doc_id, {_WORDS} as words from documents),
+        items as (select cast(item_id as varchar) as item, words, least(10, len(words)) as size
+                  from (select item_id, {_WORDS} as words from benchmark) where len(words) > 0 and item_id is not null),
+        windows as (select distinct item, size, array_to_string(words[i:i + size - 1], ' ') as w
+                    from (select *, unnest(range(1, len(words) - size + 2)) as i from items)),
+        own as (select n, i, size, array_to_string(words[i:i + size - 1], ' ') as w
+                from (select n, words, size, unnest(range(1, len(words) - size + 2)) as i
+                      from docs, (select distinct size from items))),
+        met as (select n, i, size, item from own join windows using (size, w)),
+        hit as (select n, count(distinct word) as n_hit
+                from (select n, unnest(range(i, i + size)) as word from met) group by n),
+        held as (select n, count(*) as n_items, string_agg(item, ',' order by item) as items
+                 from (select distinct n, item from met) group by n)
+        select doc_id, cast(len(words) as bigint) as n_words, cast(coalesce(n_hit, 0) as bigint) as n_hit,
+               cast(coalesce(n_items, 0) as bigint) as n_items, sha256(coalesce(items, '')) as items_sha256,
+               coalesce(n_hit, 0) > 0 as contaminated
+        from docs left join hit using (n) left join held using (n)""",
 }
