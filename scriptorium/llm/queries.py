@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from scriptorium.llm import decontaminate, language, mixing, urls
+from scriptorium.llm import decontaminate, language, mixing, near_copies, urls
 
 # The rules of the URL filter query.
 URL_RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
@@ -45,11 +45,17 @@ def op6_decontamination(spark, sf_dir):
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op10_ngram_jaccard_join(spark, sf_dir):
+    return near_copies.near_copies(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "class_id", "n_links", "n_copies")
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_source_mix": op2_source_mix,
     "op4_url_filter": op4_url_filter,
     "op6_decontamination": op6_decontamination,
+    "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 
 _WORDS = r"""coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
