@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from scriptorium.llm import decontaminate, language, mixing, near_copies, urls
+from scriptorium.llm import decontaminate, language, mixing, near_copies, quality, urls
 
 # The rules of the URL filter query.
 URL_RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
@@ -45,6 +45,13 @@ def op6_decontamination(spark, sf_dir):
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op9_quality(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", F.coalesce(
+        _remainder("doc_id", 3) == 1, F.lit(False)).alias("held_out"))
+    model = quality.fit_quality(docs.where(~F.col("held_out")), _table(spark, sf_dir, "labels"))
+    return quality.score_quality(docs, model, keep=("doc_id", "held_out"))
+
+
 def op10_ngram_jaccard_join(spark, sf_dir):
     return near_copies.near_copies(_table(spark, sf_dir, "documents")).select(
         "doc_id", "class_id", "n_links", "n_copies")
@@ -55,6 +62,7 @@ QUERIES = {
     "op2_source_mix": op2_source_mix,
     "op4_url_filter": op4_url_filter,
     "op6_decontamination": op6_decontamination,
+    "op9_quality": op9_quality,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 
