@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from scriptorium.llm import decontaminate, language, mixing, near_copies, quality, urls
+from scriptorium.llm import (
+    decontaminate, language, mixing, near_copies, pii, quality, token_counts, urls)
 
 # The rules of the URL filter query.
 URL_RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
@@ -45,6 +46,14 @@ def op6_decontamination(spark, sf_dir):
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op7_token_counts(spark, sf_dir):
+    return token_counts.count_tokens(_table(spark, sf_dir, "documents"), token_counts.load_vocabulary())
+
+
+def op8_pii(spark, sf_dir):
+    return pii.find_pii(_table(spark, sf_dir, "documents"))
+
+
 def op9_quality(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", F.coalesce(
         _remainder("doc_id", 3) == 1, F.lit(False)).alias("held_out"))
@@ -62,6 +71,8 @@ QUERIES = {
     "op2_source_mix": op2_source_mix,
     "op4_url_filter": op4_url_filter,
     "op6_decontamination": op6_decontamination,
+    "op7_token_counts": op7_token_counts,
+    "op8_pii": op8_pii,
     "op9_quality": op9_quality,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
