@@ -12,15 +12,19 @@ import re
 import unicodedata
 from bisect import bisect_right
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from scriptorium.llm.words import chunks, word_hashes, word_spans
+
 # The kinds in order, and the patterns of the base identifiers. Possessive digits and the
-# look-behind change no match: a match can only start where a run of digits does.
+# look-behind change no match: a match can only start where a run of digits does, and so long runs cost
+# no more than their length.
 KINDS = ("email", "ip", "card", "phone")
 _LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-_IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
+_IP = re.compile(r"[0-9](?<![0-9][0-9])[0-9]*+(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 MAX_PART = 255
@@ -47,7 +51,7 @@ def _plain(code):
 _ALIKE = {ord(k): v for k, v in {**_LOOK_ALIKES, **_SIGNS}.items()}
 for _first, _last in ((0x660, 0x669), (0x6F0, 0x6F9), (0x966, 0x96F), (0xFF01, 0xFF5E), (0x1D400, 0x1D7FF)):
     _ALIKE.update((c, _plain(c)) for c in range(_first, _last + 1) if _plain(c))
-_HAS_ALIKE = re.compile("[" + "".join(map(re.escape, map(chr, sorted(_ALIKE)))) + "]")
+_ALIKE_CHARS = frozenset(map(chr, _ALIKE))
 
 _WORD = "(?:" + "|".join(_DIGITS) + ")"
 _OPEN, _CLOSE = r"[ \t]{0,2}[(\[{<][ \t]?", r"[ \t]?[)\]}>][ \t]{0,2}"
@@ -101,12 +105,51 @@ def base_spans(text):
     return found
 
 
+def _hash_of(word):
+    data = np.frombuffer(word.encode(), np.uint8)
+    return word_hashes(data, *word_spans(data, np.array([0, len(data)])))[0]
+
+
+_DIGIT_HASHES = np.array([_hash_of(w) for w in _DIGITS])
+_DOT_HASH, _PLUS_HASH = _hash_of("dot"), _hash_of("plus")
+_HIDDEN = "​‌‍⁠﻿­"
+# First bytes, in UTF-8, of the characters that a transducer changes; those of Latin letters are rare
+# enough to be tested in full.
+_FIRST = np.zeros(256, bool)
+_FIRST[[c.encode()[0] for c in {*_ALIKE_CHARS, *_HIDDEN}]] = True
+_OPENING, _OPENED = np.zeros(256, bool), np.zeros(256, bool)
+_OPENING[list(b"([{<")] = _OPENED[list(b"aA@dD. \t")] = True
+
+
+def may_be_disguised(chunk):
+    """For each text of a chunk, whether a transducer could change it; never false where one does.
+
+    That is: a character of the tables, an opening bracket before what may be at or dot, the word dot,
+    or a digit word beside another one, a number, plus or dot.
+    """
+    _, _, data, bounds, starts, _, hashes, firsts = chunk
+    n = len(bounds) - 1
+    at = [np.flatnonzero(_FIRST[data])]
+    if len(data) > 1:
+        at.append(np.flatnonzero(_OPENING[data[:-1]] & _OPENED[data[1:]]))
+    dot, digit = hashes == _DOT_HASH, np.isin(hashes, _DIGIT_HASHES)
+    near = dot | digit | (hashes == _PLUS_HASH) | ((data[starts] >= 48) & (data[starts] <= 57))
+    beside = np.zeros(len(hashes), bool)
+    beside[1:] |= near[:-1]
+    beside[:-1] |= near[1:]
+    at.append(starts[dot | digit & beside])
+    places = np.concatenate(at)
+    flagged = np.zeros(n, bool)
+    flagged[np.searchsorted(bounds, places, "right") - 1] = True
+    return flagged
+
+
 def normalise(text):
     """The text without disguises and the places of its pieces, or None if nothing is disguised.
 
     The pieces are (output start, source start, source end, whether output and source run in step).
     """
-    alike = text if text.isascii() or not _HAS_ALIKE.search(text) else text.translate(_ALIKE)
+    alike = text if text.isascii() or _ALIKE_CHARS.isdisjoint(text) else text.translate(_ALIKE)
     pieces, out, length, last = [], [], 0, 0
 
     def put(piece, start, end, in_step):
@@ -149,10 +192,10 @@ def disguised_spans(text):
     return found
 
 
-def all_spans(text):
+def all_spans(text, disguised=True):
     """Base and disguised spans, and the base spans alone; both by kind, then start."""
     base = base_spans(text)
-    return sorted(dict.fromkeys(base + disguised_spans(text))), base
+    return (sorted(dict.fromkeys(base + disguised_spans(text))) if disguised else base), base
 
 
 def write_spans(spans):
@@ -172,7 +215,7 @@ def redact(text, spans):
 
 
 def _map_texts(docs, keep, text, schema, work):
-    """``keep`` columns with what ``work(text)`` returns for each whole text, in tasks."""
+    """``keep`` columns with what ``work(text, may be disguised)`` returns for each whole text, in tasks."""
     kept = docs.select(*keep)
     kinds = {"bigint": pa.int64(), "string": pa.string()}
     names = [c.split()[0] for c in schema.split(", ")]
@@ -180,7 +223,9 @@ def _map_texts(docs, keep, text, schema, work):
 
     def run(batches):
         for batch in batches:
-            rows = [work(value.as_py()) for value in batch.column(len(keep))]
+            column = batch.column(len(keep))
+            flags = [may_be_disguised(chunk) for chunk in chunks(column)]
+            rows = [work(value.as_py(), flag) for value, flag in zip(column, np.concatenate(flags) if flags else [])]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:len(keep)], *[pa.array([r[i] for r in rows], t) for i, t in enumerate(types)]],
                 [*keep, *names])
@@ -189,8 +234,8 @@ def _map_texts(docs, keep, text, schema, work):
     return docs.select(*keep, F.col(text).alias("_text")).mapInArrow(run, ", ".join([*head, schema]))
 
 
-def _report(text):
-    spans, base = all_spans(text or "")
+def _report(text, disguised):
+    spans, base = all_spans(text or "", disguised)
     counts = [sum(k == i for k, _, _ in base) for i in range(len(KINDS))]
     return (*counts, hashlib.sha256(write_spans(base).encode()).hexdigest(), write_spans(spans),
             len(spans) - len(base))
@@ -208,7 +253,7 @@ def find_pii(docs, keep=("doc_id",), text="text"):
 
 def redact_pii(docs, text="text"):
     """The documents with every identifier in ``text`` replaced by its kind; a null text stays null."""
-    def work(value):
-        return (None if value is None else redact(value, all_spans(value)[0]),)
+    def work(value, disguised):
+        return (None if value is None else redact(value, all_spans(value, disguised)[0]),)
     rest = [c for c in docs.columns if c != text]
     return _map_texts(docs, rest, text, "_redacted string", work).withColumnRenamed("_redacted", text).select(*docs.columns)

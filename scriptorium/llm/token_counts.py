@@ -16,10 +16,7 @@ MARK = "▁"
 # How far below the worst piece a character scores that no piece has; it becomes its UTF-8 bytes.
 UNKNOWN_PENALTY = 10.0
 # A trie that grows beyond this is begun anew; the part of a pre-token beyond MAX_DEPTH is not kept.
-MAX_NODES, MAX_DEPTH = 600_000, 48
-# What separates pre-tokens.
-SPACE = "\x20\x09\x0a\x0b\x0c\x0d"
-_TO_SPACE = {ord(c): " " for c in SPACE}
+MAX_NODES, MAX_DEPTH = 800_000, 48
 
 
 def load_vocabulary(path=VOCABULARY):
@@ -37,51 +34,77 @@ class PieceTrie:
     """
 
     def __init__(self, pieces):
-        self.pieces, self.longest = pieces, max(map(len, pieces), default=1)
         self.unknown = min(pieces.values(), default=0.0) - UNKNOWN_PENALTY
+        # Every ending of a piece, with the score of those that are pieces: past an ending that is
+        # not here no longer piece can end.
+        self.endings = dict.fromkeys((p[i:] for p in pieces for i in range(len(p))))
+        self.endings.update(pieces)
         self.clear()
 
     def clear(self):
-        self.children, self.best, self.terminal = {}, [(0.0, 0)], {}
-
-    def _forward(self, text, end, before):
-        """Best (score, minus tokens) of text[:end]; ``before(i)`` is that of text[:i]."""
-        score, tokens = before(end - 1)
-        best = (score + self.unknown, tokens - len(text[end - 1].encode("utf-8", "replace")))
-        for size in range(1, min(self.longest, end) + 1):
-            own = self.pieces.get(text[end - size:end])
-            if own is not None:
-                score, tokens = before(end - size)
-                if (score + own, tokens - 1) > best or size == 1:
-                    best = (score + own, tokens - 1)
-        return best
-
-    def count(self, token):
-        """Number of tokens of a pre-token, mark included."""
-        known = self.terminal.get(token)
-        if known is not None:
-            return known
-        if len(self.best) > MAX_NODES:
+        self.children, self.score, self.tokens, self.terminal = {}, [0.0], [0], {}
+
+    def _forward(self, text, end, path, scores, tokens):
+        """Best score of text[:end] and its tokens; path[i] is where those of text[:i] stand."""
+        endings = self.endings
+        node = path[end - 1]
+        start, score = end - 1, endings.get(text[end - 1:end])
+        if score is None:
+            best, least = scores[node] + self.unknown, tokens[node] + len(text[end - 1].encode("utf-8", "replace"))
+        else:
+            best, least = scores[node] + score, tokens[node] + 1
+        while start:
+            start -= 1
+            score = endings.get(text[start:end], -1)
+            if score is None:
+                continue
+            if score == -1 and text[start:end] not in endings:
+                # A first character that no piece knows ends the search too: no piece holds it.
+                break
+            node = path[start]
+            score += scores[node]
+            if score > best or score == best and tokens[node] + 1 < least:
+                best, least = score, tokens[node] + 1
+        return best, least
+
+    def count(self, word):
+        """Number of tokens of a pre-token, given as the UTF-8 bytes of its word."""
+        if len(self.score) > MAX_NODES:
             self.clear()
-        path, best, children = [0], self.best, self.children
-        for end in range(1, min(len(token), MAX_DEPTH) + 1):
-            key = (path[-1], token[end - 1])
+        text = MARK + word.decode("utf-8", "replace")
+        children, scores, tokens, path, node = self.children, self.score, self.tokens, [0], 0
+        for end in range(1, min(len(text), MAX_DEPTH) + 1):
+            key = node << 21 | ord(text[end - 1])
             node = children.get(key)
             if node is None:
-                best.append(self._forward(token, end, lambda i: best[path[i]]))
-                node = children[key] = len(best) - 1
+                score, n = self._forward(text, end, path, scores, tokens)
+                node = children[key] = len(scores)
+                scores.append(score)
+                tokens.append(n)
             path.append(node)
-        if len(token) <= MAX_DEPTH:
-            result = self.terminal[token] = -best[path[-1]][1]
-            return result
-        whole = [best[n] for n in path]
-        for end in range(MAX_DEPTH + 1, len(token) + 1):
-            whole.append(self._forward(token, end, whole.__getitem__))
-        return -whole[-1][1]
-
-
-def pre_tokens(text):
-    return [MARK + w for w in text.translate(_TO_SPACE).split(" ") if w]
+        if len(text) <= MAX_DEPTH:
+            self.terminal[word] = tokens[node]
+            return tokens[node]
+        scores, tokens = [scores[n] for n in path], [tokens[n] for n in path]
+        places = range(len(text) + 1)
+        for end in range(MAX_DEPTH + 1, len(text) + 1):
+            score, n = self._forward(text, end, places, scores, tokens)
+            scores.append(score)
+            tokens.append(n)
+        return tokens[-1]
+
+    def count_all(self, words):
+        """Number of tokens of all words together."""
+        total = 0
+        for word in words:
+            n = self.terminal.get(word)
+            total += self.count(word) if n is None else n
+        return total
+
+
+def pre_tokens(data):
+    """The words of a text, given as UTF-8 bytes: bytes are split at ASCII white space alone."""
+    return data.split()
 
 
 def count_tokens(docs, pieces, keep=("doc_id",), text="text"):
@@ -98,10 +121,10 @@ def count_tokens(docs, pieces, keep=("doc_id",), text="text"):
         trie = PieceTrie(shared.value)
         for batch in batches:
             tokens, words = [], []
-            for value in batch.column(len(keep)):
-                found = pre_tokens(value.as_py() or "")
+            for value in batch.column(len(keep)).cast(pa.binary()):
+                found = pre_tokens(value.as_py() or b"")
                 words.append(len(found))
-                tokens.append(sum(map(trie.count, found)))
+                tokens.append(trie.count_all(found))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:len(keep)], pa.array(tokens, pa.int64()), pa.array(words, pa.int64())],
                 [*keep, "n_tokens", "n_pre_tokens"])
