@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from scriptorium.llm import (
-    decontaminate, language, mixing, near_copies, pii, quality, token_counts, urls)
+    decontaminate, language, mixing, near_copies, neighbours, pii, quality, token_counts, urls, warc)
 
 # The rules of the URL filter query.
 URL_RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
@@ -35,11 +35,21 @@ def op2_source_mix(spark, sf_dir):
         "source", "copies")
 
 
+def op3_nearest_neighbours(spark, sf_dir):
+    return neighbours.nearest_neighbours(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op4_url_filter(spark, sf_dir):
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return urls.filter_urls(_table(spark, sf_dir, "pages"), rules)
 
 
+def op5_warc(spark, sf_dir):
+    folder = warc.archive_folder(spark)
+    index = warc.write_archives(_table(spark, sf_dir, "pages"), folder)
+    return warc.read_records(index, folder).drop("url")
+
+
 def op6_decontamination(spark, sf_dir):
     found = decontaminate.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items",
@@ -69,7 +79,9 @@ def op10_ngram_jaccard_join(spark, sf_dir):
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_source_mix": op2_source_mix,
+    "op3_nearest_neighbours": op3_nearest_neighbours,
     "op4_url_filter": op4_url_filter,
+    "op5_warc": op5_warc,
     "op6_decontamination": op6_decontamination,
     "op7_token_counts": op7_token_counts,
     "op8_pii": op8_pii,
