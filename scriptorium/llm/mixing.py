@@ -116,8 +116,9 @@ def _flight(level, last, seed):
 
 
 def mix_sources(docs, size, id_column="doc_id", source="source", weights=WEIGHTS, max_repeats=MAX_REPEATS,
-                block_rows=BLOCK_ROWS, max_sources=MAX_SOURCES, seed=0):
-    """One row per document: doc_id, source, size, source_size, target and copies (0 to ``max_repeats``).
+                block_rows=BLOCK_ROWS, max_sources=MAX_SOURCES, seed=0, keep=()):
+    """One row per document: doc_id, source, size, source_size, target, copies (0 to ``max_repeats``)
+    and the ``keep`` columns, whose names begin with an underscore.
 
     ``size`` is a column expression over ``docs``. A document is taken as often as its source's ratio
     of target to size says, the whole part for certain and the rest by the cube method. Reruns agree,
@@ -127,7 +128,7 @@ def mix_sources(docs, size, id_column="doc_id", source="source", weights=WEIGHTS
     per source, are the only thing the driver sees, and more than ``max_sources`` are an error.
     """
     sized = cut_lineage(docs.select(F.col(id_column).alias("doc_id"), F.col(source).alias("source"),
-                                    size.cast("bigint").alias("size")), "sizes")
+                                    size.cast("bigint").alias("size"), *keep), "sizes")
     spark = sized.sparkSession
     rows = sized.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).limit(max_sources + 1).collect()
     if len(rows) > max_sources:
@@ -161,4 +162,4 @@ def mix_sources(docs, size, id_column="doc_id", source="source", weights=WEIGHTS
     for more in done[1:]:
         result = result.unionByName(more)
     return result.select("doc_id", "source", "size", "source_size", "target",
-                         (F.col("copies") + F.round("p").cast("bigint")).alias("copies"))
+                         (F.col("copies") + F.round("p").cast("bigint")).alias("copies"), *keep)
