@@ -9,6 +9,8 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Window, functions as F
 
+from scriptorium.llm.rows import result_schema, with_text
+
 UNKNOWN = "und"
 DOCUMENTS_PER_LANGUAGE = 400
 DICTIONARY_BYTES = 48 << 10
@@ -80,8 +82,7 @@ def identify_languages(docs, dictionaries, keep=("doc_id",), text="text"):
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(dictionaries)
-    kept = docs.select(*keep)
-    schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in kept.schema)}, lang_pred string, score double, rejected boolean"
+    schema = result_schema(docs, keep, "lang_pred string, score double, rejected boolean")
 
     def run(batches):
         compressors = _compressors(shared.value)
@@ -98,4 +99,4 @@ def identify_languages(docs, dictionaries, keep=("doc_id",), text="text"):
                 columns.append(pa.array([f[i] for f in found], kind))
             yield pa.RecordBatch.from_arrays(columns, [*keep, "lang_pred", "score", "rejected"])
 
-    return docs.select(*keep, F.col(text).alias("_text")).mapInArrow(run, schema)
+    return with_text(docs, keep, text).mapInArrow(run, schema)

@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from scriptorium.llm.rows import packed, result_schema, with_text
 from scriptorium.llm.words import chunks, word_hashes, word_spans
 
 # The kinds in order, and the patterns of the base identifiers. Possessive digits and the
@@ -59,7 +60,7 @@ _TOKENS = re.compile(
     rf"(?P<none>[​-‍⁠﻿­]+)|(?P<at>{_OPEN}(?:at|@){_CLOSE}"
     rf"|(?<=[a-z0-9])[ \t]{{1,3}}at[ \t]{{1,3}}(?=[a-z0-9-]{{1,63}}(?:[ \t]{{1,3}}dot[ \t]{{1,3}}[a-z0-9-]{{1,63}})))"
     rf"|(?P<dot>{_OPEN}(?:dot|\.){_CLOSE}|(?<=[a-z0-9])[ \t]{{1,3}}dot[ \t]{{1,3}}(?=[a-z0-9]))"
-    rf"|(?P<plus>\bplus[ \t]{{1,2}}(?=[0-9]|{_WORD}\b))"
+    rf"|(?P<plus>\bplus[ \t]{{1,2}}(?={_WORD}\b))"
     rf"|(?P<digits>\b{_WORD}(?:[ \t-]{{1,2}}{_WORD})*\b)", re.IGNORECASE | re.ASCII)
 _A_WORD = re.compile(_WORD, re.IGNORECASE)
 
@@ -216,7 +217,6 @@ def redact(text, spans):
 
 def _map_texts(docs, keep, text, schema, work):
     """``keep`` columns with what ``work(text, may be disguised)`` returns for each whole text, in tasks."""
-    kept = docs.select(*keep)
     kinds = {"bigint": pa.int64(), "string": pa.string()}
     names = [c.split()[0] for c in schema.split(", ")]
     types = [kinds[c.split()[1]] for c in schema.split(", ")]
@@ -230,8 +230,7 @@ def _map_texts(docs, keep, text, schema, work):
                 [*batch.columns[:len(keep)], *[pa.array([r[i] for r in rows], t) for i, t in enumerate(types)]],
                 [*keep, *names])
 
-    head = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema]
-    return docs.select(*keep, F.col(text).alias("_text")).mapInArrow(run, ", ".join([*head, schema]))
+    return with_text(docs, keep, text).mapInArrow(run, result_schema(docs, keep, schema))
 
 
 def _report(text, disguised):
@@ -255,5 +254,5 @@ def redact_pii(docs, text="text"):
     """The documents with every identifier in ``text`` replaced by its kind; a null text stays null."""
     def work(value, disguised):
         return (None if value is None else redact(value, all_spans(value, disguised)[0]),)
-    rest = [c for c in docs.columns if c != text]
-    return _map_texts(docs, rest, text, "_redacted string", work).withColumnRenamed("_redacted", text).select(*docs.columns)
+    clean = _map_texts(packed(docs, F.col(text).alias("_text")), ("_doc",), "_text", "_redacted string", work)
+    return clean.select(*[F.col("_redacted" if c == text else f"_doc.`{c}`").alias(c) for c in docs.columns])

@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from scriptorium.llm.rows import result_schema, with_text
 from scriptorium.llm.words import chunks, column_bytes
 
 SAMPLE_ROWS = 4096
@@ -138,8 +139,7 @@ def score_quality(docs, model, keep=("doc_id",), text="text"):
     stay repeated. What is broadcast is bounded by the parameters of the model.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    kept = docs.select(*keep)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema) + ", score double, predicted int"
+    schema = result_schema(docs, keep, "score double, predicted int")
 
     def run(batches):
         for batch in batches:
@@ -151,5 +151,5 @@ def score_quality(docs, model, keep=("doc_id",), text="text"):
                 [*batch.columns[:len(keep)], pa.array(scores), pa.array((scores >= 0.5).astype(np.int32))],
                 [*keep, "score", "predicted"])
 
-    return docs.select(*keep, F.col(text).alias("_text")).mapInArrow(run, schema)
+    return with_text(docs, keep, text).mapInArrow(run, schema)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 
 def with_identity(docs, key="doc_id", text="text", extra=()):
@@ -16,3 +16,21 @@ def with_identity(docs, key="doc_id", text="text", extra=()):
 
 def same_row(left, right):
     return left["doc_id"].eqNullSafe(right["doc_id"]) & (left["_h"] == right["_h"])
+
+
+def packed(docs, *more):
+    """All columns, whatever their names, as one struct ``_doc``, and ``more`` columns beside it."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), *more)
+
+
+def with_text(docs, keep, text):
+    """The ``keep`` columns and, last, the text under a name that none of them has."""
+    name = "_text"
+    while name in keep:
+        name = "_" + name
+    return docs.select(*keep, F.col(text).alias(name))
+
+
+def result_schema(docs, keep, more):
+    """The types of the ``keep`` columns followed by ``more``, given as DDL."""
+    return T.StructType([*docs.select(*keep).schema.fields, *T.StructType.fromDDL(more).fields])

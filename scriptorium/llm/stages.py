@@ -9,14 +9,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from scriptorium.llm import decontaminate, mixing, near_copies, pii, quality
-from scriptorium.llm.rows import same_row
+from scriptorium.llm.rows import packed, same_row
 from scriptorium.session import cut_lineage
 
 
-def _packed(docs, *more):
-    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), *more)
-
-
 def _held_out(column, n, remainder):
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % n == remainder, F.lit(False))
 
@@ -25,14 +21,14 @@ def quality_stage(spark, docs, sf_dir):
     """Documents that the quality classifier does not reject; it learns from labelled rows of ``docs``."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = quality.fit_quality(docs.where(~_held_out("doc_id", 3, 1)), labels)
-    scored = quality.score_quality(_packed(docs, "text"), model, keep=("_doc",))
+    scored = quality.score_quality(packed(docs, "text"), model, keep=("_doc",))
     return scored.where("predicted = 1").select("_doc.*")
 
 
 def near_copies_stage(spark, docs, sf_dir):
     """One document of each group of near copies, the one with the least doc_id; the others go."""
     kept = near_copies.near_copies(docs).where("stays").select(F.xxhash64("doc_id", "_h").alias("_row")).distinct()
-    rows = _packed(docs, F.xxhash64("doc_id", F.xxhash64("text")).alias("_row"))
+    rows = packed(docs, F.xxhash64("doc_id", F.xxhash64("text")).alias("_row"))
     # Both steps are by _row, so the second needs no shuffle: it drops rows that are repeated as a whole.
     return rows.join(kept, "_row", "left_semi").dropDuplicates(["_row"]).select("_doc.*")
 
@@ -42,21 +38,22 @@ def decontamination_stage(spark, docs, sf_dir):
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     found = decontaminate.decontaminate(docs, benchmark).where("contaminated").select("doc_id", "_h").distinct()
     found = cut_lineage(found, "contaminated")
-    rows = _packed(docs, "doc_id", F.xxhash64("text").alias("_h"))
+    rows = packed(docs, "doc_id", F.xxhash64("text").alias("_h"))
     return rows.join(found, same_row(rows, found), "left_anti").select("_doc.*")
 
 
 def pii_stage(spark, docs, sf_dir):
     """All documents, personal data in their texts replaced by its kind; n_chars follows the text."""
-    clean = pii.redact_pii(_packed(docs, "text"), "text")
-    new = {"text": F.col("text"), "n_chars": F.coalesce(F.char_length("text").cast("bigint"), F.col("_doc.n_chars").cast("bigint"))
-           .cast(docs.schema["n_chars"].dataType) if "n_chars" in docs.columns else None}
-    return clean.select(*[new.get(c, F.col(f"_doc.`{c}`")).alias(c) for c in docs.columns])
+    clean = pii.redact_pii(docs)
+    if "n_chars" in docs.columns:
+        length = F.char_length("text").cast(docs.schema["n_chars"].dataType)
+        clean = clean.withColumn("n_chars", F.coalesce(length, "n_chars"))
+    return clean
 
 
 def mixing_stage(spark, docs, sf_dir):
     """The documents that the mix takes, with size, source_size, target and taken (tokens, repeats counted)."""
-    rows = cut_lineage(_packed(docs, F.monotonically_increasing_id().alias("_row")), "rows")
+    rows = cut_lineage(packed(docs, F.monotonically_increasing_id().alias("_row")), "rows")
     flat = rows.select("_row", *[F.col(f"_doc.{c}").alias(c) for c in ("doc_id", "source", "text")])
     mixed = mixing.mix_sources(flat, mixing.word_count(F.col("text")), keep=("_row",))
     added = ("size", "source_size", "target", "taken")

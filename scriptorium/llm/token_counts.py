@@ -9,7 +9,8 @@ keeps its token count, and a document only adds these up. Nothing is shuffled.
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import functions as F
+
+from scriptorium.llm.rows import result_schema, with_text
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -114,8 +115,7 @@ def count_tokens(docs, pieces, keep=("doc_id",), text="text"):
     UTF-8 bytes. A null or empty text has no tokens; repeated rows stay repeated; texts are read whole.
     """
     shared = docs.sparkSession.sparkContext.broadcast(pieces)
-    kept = docs.select(*keep)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema) + ", n_tokens bigint, n_pre_tokens bigint"
+    schema = result_schema(docs, keep, "n_tokens bigint, n_pre_tokens bigint")
 
     def run(batches):
         trie = PieceTrie(shared.value)
@@ -129,4 +129,4 @@ def count_tokens(docs, pieces, keep=("doc_id",), text="text"):
                 [*batch.columns[:len(keep)], pa.array(tokens, pa.int64()), pa.array(words, pa.int64())],
                 [*keep, "n_tokens", "n_pre_tokens"])
 
-    return docs.select(*keep, F.col(text).alias("_text")).mapInArrow(run, schema)
+    return with_text(docs, keep, text).mapInArrow(run, schema)

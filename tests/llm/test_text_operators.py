@@ -1,0 +1,305 @@
+"""Words, languages, personal data, token counts, quality and decontamination against plain Python."""
+
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
+
+from scriptorium.llm import decontaminate, language, pii, quality, token_counts
+from scriptorium.llm.words import chunks, ngram_hashes
+
+WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, `_text` string, score int, `a b` string"
+
+
+def words(text):
+    return WORD.findall((text or "").translate(LOWER))
+
+
+def documents(spark, texts, schema=SCHEMA):
+    """Rows with ids from 0; the other columns have names that clash with inner ones."""
+    rows = [(i, t, "en", "s", len(t or ""), "x", 1, "y") for i, t in texts]
+    return spark.createDataFrame(rows, schema)
+
+
+EDGES = [(0, None), (1, ""), (2, "   "), (3, "one two"), (3, "one two"), (None, "one two three"), (4, "x " * 60_000)]
+
+
+# Words -------------------------------------------------------------------------------------------
+
+def test_words_and_hashes_are_those_of_plain_python():
+    texts = ["One two, two ONE", None, "", "é1-É1", "a" * 3_000_000 + " b", "...", "x y " * 400_000, "one"]
+    rows, hashes = [], {}
+    for lo, hi, data, bounds, starts, ends, h, firsts in chunks(pa.array(texts)):
+        for r in range(lo, hi):
+            a, b = firsts[r - lo], firsts[r - lo + 1]
+            rows.append([bytes(data[s:e]).decode().translate(LOWER) for s, e in zip(starts[a:b], ends[a:b])])
+            for word, value in zip(rows[-1], h[a:b].tolist()):
+                assert hashes.setdefault(word, value) == value
+    assert rows == [words(t) for t in texts]
+    assert len(set(hashes.values())) == len(hashes)
+
+
+def test_column_slices_keep_their_texts():
+    column = pa.array(["a b", "c", None, "d e f"]).slice(1)
+    (_, _, _, _, starts, _, _, firsts), = chunks(column)
+    assert np.diff(firsts).tolist() == [1, 0, 3]
+
+
+# Decontamination ---------------------------------------------------------------------------------
+
+def brute_windows(docs, items):
+    windows = []
+    for item, text in items:
+        w = words(text)
+        size = min(10, len(w))
+        windows += [(item, tuple(w[i:i + size])) for i in range(len(w) - size + 1) if size]
+    out = []
+    for doc, text in docs:
+        w, hit, found = words(text), set(), set()
+        for item, window in windows:
+            for i in range(len(w) - len(window) + 1):
+                if tuple(w[i:i + len(window)]) == window:
+                    hit.update(range(i, i + len(window)))
+                    found.add(item)
+        out.append((doc, len(w), len(hit), tuple(sorted(map(str, found)))))
+    return sorted(out, key=repr)
+
+
+@pytest.fixture(scope="module")
+def leaky():
+    rng = random.Random(3)
+    draw = lambda n, k: " ".join(rng.choice("abcdefgh"[:k]) for _ in range(n))
+    items = [(i, draw(rng.choice([0, 1, 3, 9, 10, 11, 30]), rng.choice([1, 2, 8]))) for i in range(25)] + [(None, "a b"), (99, None)]
+    docs = [(i, draw(rng.randrange(0, 80), rng.choice([1, 2, 8])) + " " + (rng.choice(items)[1] or "")) for i in range(60)]
+    return docs + EDGES[:-1], items
+
+
+def test_decontamination_is_brute_force(spark, leaky):
+    docs, items = leaky
+    table = spark.createDataFrame(items, "item_id bigint, text string").withColumn("doc_id", F.lit(1))
+    found = decontaminate.decontaminate(documents(spark, docs), table).collect()
+    got = sorted(((r.doc_id, r.n_words, r.n_hit, tuple(r["items"])) for r in found), key=repr)
+    assert got == brute_windows(docs, [i for i in items if i[0] is not None])
+    assert all(r.contaminated == (r.n_hit > 0) and r.n_items == len(r["items"]) for r in found)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from("abc"), max_size=40), st.lists(st.sampled_from("abc"), max_size=40),
+       st.lists(st.sampled_from("abc"), min_size=10, max_size=14))
+def test_shared_spans_share_a_fingerprint(left, right, span):
+    marks = []
+    for side in (left, right):
+        (_, _, _, _, _, _, hashes, firsts), = chunks(pa.array([" ".join([*side, *span])]))
+        marks.append(set(decontaminate.winnow(hashes, firsts)[1].tolist()))
+    assert marks[0] & marks[1]
+
+
+def test_empty_tables(spark):
+    docs, items = documents(spark, []), spark.createDataFrame([], "item_id bigint, text string")
+    assert decontaminate.decontaminate(docs, items).count() == 0
+    found = decontaminate.decontaminate(documents(spark, EDGES[:4]), items).collect()
+    assert len(found) == 4 and not any(r.contaminated for r in found)
+    assert language.identify_languages(docs, {}).count() == 0
+    assert pii.find_pii(docs).count() == 0
+    assert token_counts.count_tokens(docs, {"a": 0.0}).count() == 0
+    model = quality.fit_quality(docs, spark.createDataFrame([], "doc_id bigint, quality int"))
+    assert quality.score_quality(docs, model).count() == 0
+
+
+# Personal data -----------------------------------------------------------------------------------
+
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+
+
+def luhn(digits):
+    doubled = [int(d) if i % 2 == 0 else sum(divmod(2 * int(d), 10)) for i, d in enumerate(digits[::-1])]
+    return sum(doubled) % 10 == 0
+
+
+def brute_spans(text):
+    only = lambda s: re.sub("[^0-9]", "", s)
+    tests = ((EMAIL, lambda s: True), (IP, lambda s: all(int(p) <= 255 for p in s.split("."))),
+             (CARD, lambda s: 13 <= len(only(s)) <= 19 and luhn(only(s))), (PHONE, lambda s: 9 <= len(only(s)) <= 15))
+    return [(k, m.start(), m.end()) for k, (p, keep) in enumerate(tests) for m in p.finditer(text) if keep(m.group())]
+
+
+@settings(max_examples=600, deadline=None)
+@given(st.text(alphabet="a1.@- +()é2905", max_size=60))
+def test_base_spans_are_the_plain_patterns(text):
+    assert pii.base_spans(text) == brute_spans(text)
+
+
+PIECES = ["4111 1111 1111 1111", "+49 151 2345678", "10.0.0.255", "a.b@c.de", " one two ", "x (at) y [dot] org", "plus ",
+          "Ｊｏｅ", "​", " at ", " dot ", "five-six", "<", "@", "é", "three", "(", "т", "300.1.1.1", "–"]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from(PIECES), max_size=8).map("".join))
+def test_disguises_only_add_spans_and_are_always_tested_for(text):
+    spans, base = pii.all_spans(text)
+    assert base == brute_spans(text) and set(base) <= set(spans)
+    assert all(0 <= a < b <= len(text) for _, a, b in spans)
+    flag, = np.concatenate([pii.may_be_disguised(c) for c in chunks(pa.array([text]))])
+    if pii.normalise(text) is not None and spans != base:
+        assert flag
+    # Nothing but the spans is changed.
+    redacted, last = pii.redact(text, spans), 0
+    outside = "".join(c for i, c in enumerate(text) if not any(a <= i < b for _, a, b in spans))
+    assert re.sub(r"\[(EMAIL|IP|CARD|PHONE)\]", "", redacted) == outside
+
+
+@pytest.mark.parametrize("text, kind, part", [
+    ("mail jo (at) mail [dot] org today", "email", "jo (at) mail [dot] org"),
+    ("jo at mail dot org", "email", "jo at mail dot org"),
+    ("jо@mаil.org", "email", "jо@mаil.org"),
+    ("j​o@mail.org", "email", "j​o@mail.org"),
+    ("on 一 １０.0.0.１ now", "ip", "１０.0.0.１"),
+    ("plus four nine one five one two three four five six", "phone", "plus four nine one five one two three four five six"),
+    ("4111–1111–1111–1111", "card", "4111–1111–1111–1111"),
+    ("one nine two dot 168 dot one dot two", "ip", "one nine two dot 168 dot one dot two")])
+def test_disguised_identifiers_are_found_in_the_source(text, kind, part):
+    spans, _ = pii.all_spans(text)
+    assert (kind, part) in [(pii.KINDS[k], text[a:b]) for k, a, b in spans]
+
+
+@pytest.mark.parametrize("text", ["we met at the dot", "one or two (at least) are at home", "look at this.", "zero to nine"])
+def test_plain_prose_is_left_alone(text):
+    assert pii.all_spans(text) == ([], [])
+
+
+def test_pii_rows(spark):
+    texts = [*EDGES, (5, "a@b.c " * 20_000 + "jo (at) mail [dot] org"), (6, "1" * 200_000), (7, "@" * 50_000), (8, "a" * 300_000)]
+    rows = {(r.doc_id, r.spans): r for r in pii.find_pii(documents(spark, texts)).collect()}
+    assert len(rows) == len({(i, None if i is None else i) for i, _ in texts})
+    row = next(r for r in rows.values() if r.doc_id == 5)
+    assert row.n_email == 20_000 and row.n_disguised == 1
+    base = [s for s in row.spans.split(",") if s][:20_000]
+    assert row.base_sha256 == hashlib.sha256(",".join(base).encode()).hexdigest()
+    docs = documents(spark, texts)
+    redacted = pii.redact_pii(docs)
+    assert redacted.columns == docs.columns
+    assert {r.text for r in redacted.where("doc_id = 0").collect()} == {None}
+    assert redacted.where("doc_id = 5").first().text == "[EMAIL] " * 20_000 + "[EMAIL]"
+
+
+# Token counts ------------------------------------------------------------------------------------
+
+def brute_count(word, pieces):
+    """Best segmentation by trying every one, shortest prefixes first."""
+    text, worst = "▁" + word, min(pieces.values()) - token_counts.UNKNOWN_PENALTY
+    best = [(0.0, 0)]
+    for end in range(1, len(text) + 1):
+        options = [(best[i][0] + pieces[text[i:end]], best[i][1] - 1) for i in range(end) if text[i:end] in pieces]
+        if text[end - 1] not in pieces:
+            options.append((best[end - 1][0] + worst, best[end - 1][1] - len(text[end - 1].encode())))
+        best.append(max(options))
+    return -best[-1][1]
+
+
+VOCABULARY = {"▁": -3.0, "a": -2.0, "b": -2.5, "ab": -3.0, "▁ab": -4.0, "aba": -5.0, "bab": -4.5, "▁a": -3.5, "é": -6.0, "babab": -7.0}
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet="abéx", min_size=1, max_size=70), max_size=12))
+def test_counts_are_those_of_the_best_segmentation(tokens):
+    trie = token_counts.PieceTrie(VOCABULARY)
+    for word in [*tokens, *tokens]:
+        assert trie.count_all([word.encode()]) == brute_count(word, VOCABULARY)
+
+
+def test_a_full_trie_is_begun_anew(monkeypatch):
+    monkeypatch.setattr(token_counts, "MAX_NODES", 5)
+    trie = token_counts.PieceTrie(VOCABULARY)
+    for word in ("abab", "babab", "aaaa", "abba", "abab"):
+        assert trie.count_all([word.encode()]) == brute_count(word, VOCABULARY)
+
+
+def test_token_rows(spark):
+    pieces = token_counts.load_vocabulary()
+    texts = [*EDGES, (9, "one two\tthree\x0bfour"), (10, "z" * 100_000)]
+    got = token_counts.count_tokens(documents(spark, texts), pieces).collect()
+    assert len(got) == len(texts)
+    by = {r.doc_id: r for r in got}
+    assert (by[0].n_tokens, by[1].n_tokens, by[2].n_pre_tokens) == (0, 0, 0)
+    assert by[4].n_pre_tokens == 60_000 and by[4].n_tokens == 60_000 * brute_count("x", pieces)
+    assert by[9].n_pre_tokens == 3
+    assert by[9].n_tokens == sum(brute_count(w, pieces) for w in ("one two", "three", "four"))
+
+
+# Languages and quality: held-out accuracy ----------------------------------------------------------
+
+def crc(i, n):
+    return zlib.crc32(str(i).encode()) % n
+
+
+def test_languages_of_held_out_documents(spark):
+    from scriptorium.llm import queries
+    got = {r.doc_id: r for r in queries.op1_language_id(spark, "/root/testdata/sf0.01").collect()}
+    truth = {r.doc_id: r.lang for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
+    assert got.keys() == truth.keys()
+    held = [i for i in got if crc(i, 4) == 2]
+    assert all(got[i].held_out == (crc(i, 4) == 2) and 0 <= got[i].score <= 1 for i in got)
+    assert sum(got[i].lang_pred == truth[i] for i in held) >= 0.95 * len(held)
+
+
+def test_texts_without_letters_are_undetermined(spark):
+    docs = documents(spark, [*EDGES, (5, "123 !!"), (6, "der die das und")])
+    dictionaries = {"de": b"der die das und nicht mit", "en": b"the and with not one two x"}
+    by = {(r.doc_id, r.lang_pred): r for r in language.identify_languages(docs, dictionaries).collect()}
+    assert {i for i, lang in by if lang == "und"} == {0, 1, 2, 5}
+    assert (6, "de") in by and all(r.rejected for (i, lang), r in by.items() if lang == "und")
+
+
+def test_quality_of_held_out_documents(spark):
+    from scriptorium.llm import queries
+    got = {r.doc_id: r for r in queries.op9_quality(spark, "/root/testdata/sf0.01").collect()}
+    truth = {r.doc_id: r.quality for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()}
+    held = [i for i in truth if i in got and crc(i, 3) == 1]
+    assert all(r.predicted == int(r.score >= 0.5) and r.held_out == (crc(i, 3) == 1) for i, r in got.items())
+    assert held and sum(got[i].predicted == truth[i] for i in held) >= 0.95 * len(held)
+
+
+def test_quality_of_odd_rows(spark):
+    good, bad = "plain words stand here in a row and say a thing", "BUY!!! NOW!!! $$$ ### @@@ BUY!!! NOW!!!"
+    texts = [(i, good + " " + "abcdefgh"[i % 8]) for i in range(20)] + [(i, bad + "!" * (i % 5)) for i in range(20, 40)]
+    labels = spark.createDataFrame([(i, 1 if i < 20 else 0) for i in range(40)] + [(None, 1), (3, 1), (7, None)],
+                                   "doc_id bigint, quality int")
+    docs = documents(spark, texts + [(100, None), (101, ""), (None, good), (102, bad * 20_000)])
+    model = quality.fit_quality(docs, labels)
+    by = {r.doc_id: r for r in quality.score_quality(docs, model).collect()}
+    assert by[100].score == by[101].score == pytest.approx(model.prior)
+    assert by[None].predicted == 1 and by[102].predicted == 0
+    assert all(by[i].predicted == (i < 20) for i in range(40))
+
+
+def test_votes_are_those_of_all_cosines():
+    rng = np.random.default_rng(0)
+    terms = rng.random((30, quality.TERMS)).astype(np.float32)
+    axes = rng.standard_normal((quality.TERMS, 4)).astype(np.float32)
+    vectors = rng.standard_normal((50, 4)).astype(np.float32)
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    y = rng.integers(0, 2, 50).astype(float)
+    model = quality.Model(terms.mean(axis=0), axes, vectors, y, float(y.mean()))
+    for row, score in zip(terms, quality.vote(model, terms, 7)):
+        v = (row - model.mean) @ axes
+        cosines = vectors @ v / np.linalg.norm(v)
+        near = np.argsort(-cosines)[:7]
+        weight = np.maximum(cosines[near], 0).astype(float) ** quality.SHARPNESS
+        assert score == pytest.approx((weight @ y[near] + 1e-6 * y.mean()) / (weight.sum() + 1e-6), abs=1e-4)
+
+
+def test_ngrams_do_not_depend_on_their_place():
+    (_, _, _, _, _, _, h, _), = chunks(pa.array(["a b c x a b c"]))
+    grams = ngram_hashes(h, 3)
+    assert grams[0] == grams[4] and len(set(grams.tolist())) == 4
