@@ -244,5 +244,5 @@ def near_copies(docs, key="doc_id", text="text", threshold=THRESHOLD, trees=TREE
         F.when(F.col("head").isNull(), F.col("doc_id")).otherwise(F.col("head.doc_id")).alias("class_id"),
         F.coalesce(F.col("links") + F.col("copies") - 1, F.col("copies") - 1, none).alias("n_links"),
         F.coalesce("copies", F.lit(1).cast("bigint")).alias("n_copies"),
-        F.coalesce(F.col("doc_id").eqNullSafe(F.col("head.doc_id")) & (F.col("_h") == F.col("head._h")),
-                   F.lit(True)).alias("stays"))
+        F.when(F.col("head").isNull(), True).otherwise(
+            F.col("doc_id").eqNullSafe(F.col("head.doc_id")) & (F.col("_h") == F.col("head._h"))).alias("stays"))

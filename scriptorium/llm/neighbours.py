@@ -153,6 +153,33 @@ def _place(tree, gaussian, dimension):
     return run
 
 
+def _boxes(rows):
+    """Leaves, their corners and their numbers of blocks, from one row per leaf."""
+    corner = lambda name: np.array([[r[f"{name}{i}"] for i in range(PROJECTIONS)] for r in rows]).reshape(-1, PROJECTIONS)
+    whole = lambda name: np.array([r[name] for r in rows], np.int32)
+    return whole("leaf"), corner("low"), corner("high"), whole("blocks")
+
+
+def _visits(boxes, ratio):
+    """The blocks, but its own, that each query has to look into: those of the leaves whose box comes
+    within the radius at which the test would stop the search."""
+    def run(batches):
+        leaf, low, high, blocks = boxes.value
+        for whole in batches:
+            for start in range(0, whole.num_rows, 256):
+                batch, places = whole.slice(start, 256), []
+                points = _matrix(batch.column(6), PROJECTIONS)
+                for point, bound, home, own in zip(points, *(batch.column(i).to_pylist() for i in (3, 4, 5))):
+                    away = np.maximum(np.maximum(low - point, point - high), 0)
+                    reached = np.flatnonzero(np.sqrt((away * away).sum(axis=1)) <= ratio * bound)
+                    places.append([{"leaf": int(leaf[i]), "block": b} for i in reached for b in range(int(blocks[i]))
+                                   if (int(leaf[i]), b) != (home, own)])
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns[:4], pa.array(places, pa.list_(pa.struct([("leaf", pa.int32()), ("block", pa.int32())])))],
+                    ["class_id", "vector", "share", "bound", "places"])
+    return run
+
+
 def _search(gaussian, dimension, k, ratio):
     """Cogrouped: the vectors of a block, and the queries that have to look there."""
     def run(vectors, queries):
@@ -243,16 +270,13 @@ def nearest_neighbours(vectors, is_query, k=5, key="vec_id", vector="embedding",
     bounds = ranked(first).groupBy(F.col("query_class").alias("class_id")).agg(
         F.when(F.count("*") > k, F.sqrt(F.greatest(F.lit(0.0), 2 - 2 * F.min("score"))) + 1e-9)
         .otherwise(F.lit(math.inf)).alias("bound"))
-    # A leaf is visited if its box comes within the radius at which the test would stop the search.
-    gap = sum((F.pow(F.greatest(F.lit(0.0), F.col(f"box.low{i}") - F.col("point")[i], F.col("point")[i] - F.col(f"box.high{i}")), 2)
-               for i in range(PROJECTIONS)), F.lit(0.0))
-    boxes = F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in r.asDict().items()]) for r in leaves.orderBy("leaf").collect()])
-    visits = queries.join(bounds, "class_id").select(
-        "class_id", "vector", "point", "share", "bound", F.col("leaf").alias("home"), own.alias("home_block"),
-        F.explode(boxes).alias("box")).where(F.sqrt(gap) <= F.col("bound") * ratio).select(
-        "class_id", "vector", "share", "bound", "home", "home_block", F.col("box.leaf").alias("leaf"),
-        F.explode(F.sequence(F.lit(0), F.col("box.blocks") - 1)).alias("block")).where(
-        (F.col("leaf") != F.col("home")) | (F.col("block") != F.col("home_block")))
+    boxes = spark.sparkContext.broadcast(_boxes(leaves.orderBy("leaf").collect()))
+    near = queries.join(bounds, "class_id").select(
+        "class_id", "vector", "share", "bound", "leaf", own.alias("block"), "point")
+    visits = near.mapInArrow(_visits(boxes, ratio), "class_id bigint, vector array<double>, share int, bound double, "
+                             "places array<struct<leaf:int,block:int>>").select(
+        "class_id", "vector", "share", "bound", F.explode("places").alias("place")).select(
+        "class_id", "vector", "share", "bound", "place.*")
     rest = searched(visits.select("class_id", "vector", "leaf", "block", "share", "bound"))
     lists = ranked(first.unionByName(rest)).join(classes.select("class_id", "ids"), "class_id").select(
         F.col("query_class").alias("class_id"), "score", "ids")
