@@ -12,32 +12,21 @@ GREETING = r"^(Dear|Friend|Gentlemen)"
 SIGN_OFF = r"^(Sincerely yours|Yours truly|Yours sincerely)"
 
 
-def _letter_starts(marks):
-    """Fold the marked lines of a text into the line numbers where letters start.
+def _letter_starts(codes):
+    """The line numbers where letters start, from one code per line as a string.
 
-    The first blank line after a sign-off closes a segment. A segment opens a new letter when it
-    holds a greeting and an earlier segment held one too; otherwise it belongs to the letter
-    before it.
+    Codes: ``b`` blank, ``s`` sign-off, ``g`` greeting, ``h`` both, ``x`` any other line. The first
+    blank line after a sign-off closes a segment. A segment opens a new letter when it holds a
+    greeting and an earlier segment held one too; otherwise it belongs to the letter before it. Every
+    step goes once over a string or an array, so the work is linear in the lines.
     """
-    start = F.struct(
-        F.lit(False).alias("signed"), F.lit(0).alias("segment"),
-        F.lit(False).alias("greeted"), F.lit(False).alias("any_greeting"),
-        F.array(F.lit(0)).alias("starts"))
-
-    def step(acc, mark):
-        closes = mark["blank"] & acc["signed"]
-        opens = mark["greets"] & ~acc["greeted"] & acc["any_greeting"]
-        return F.struct(
-            F.when(mark["blank"], F.lit(False)).otherwise(acc["signed"] | mark["signs"])
-            .alias("signed"),
-            F.when(closes, mark["line"] + 1).otherwise(acc["segment"]).alias("segment"),
-            F.when(closes, F.lit(False)).otherwise(acc["greeted"] | mark["greets"])
-            .alias("greeted"),
-            (acc["any_greeting"] | mark["greets"]).alias("any_greeting"),
-            F.when(opens, F.concat(acc["starts"], F.array(acc["segment"])))
-            .otherwise(acc["starts"]).alias("starts"))
-
-    return F.aggregate(marks, start, step, lambda acc: acc["starts"])
+    segments = F.regexp_extract_all(codes, F.lit("[^sh]*+[sh][^b]*+b|.+"), F.lit(0))
+    greeted = F.array_join(F.transform(
+        segments, lambda s: F.when(s.rlike("[gh]"), F.concat(F.lit("|"), s)).otherwise(s)), "")
+    parts = F.split(F.regexp_replace(greeted, r"^([^|]*+)\|", "$1"), r"\|")
+    opened = F.array_join(F.transform(parts, lambda p: F.concat(F.lit("^"), F.substr(p, F.lit(2)))), "")
+    places = F.transform(F.split(opened, ""), lambda c, i: F.when(c == "^", i))
+    return F.filter(places, lambda i: i.isNotNull())
 
 
 def letter_arrays(df, text="text", greeting=GREETING, signoff=SIGN_OFF, letters="letters"):
@@ -46,21 +35,20 @@ def letter_arrays(df, text="text", greeting=GREETING, signoff=SIGN_OFF, letters=
     A text lies in one row, so everything happens inside it: no explode and no shuffle. Empty
     text has no letters.
     """
-    def mark(line, number):
-        return F.struct(number.alias("line"), (py_strip(line) == "").alias("blank"),
-                        line.rlike(signoff).alias("signs"), line.rlike(greeting).alias("greets"))
+    def code(line):
+        signs, greets = line.rlike(signoff), line.rlike(greeting)
+        return (F.when(py_strip(line) == "", "b").when(signs & greets, "h")
+                .when(signs, "s").when(greets, "g").otherwise("x"))
 
     marked = (df.withColumn("_lines", F.split(F.col(text), "\n"))
-              .withColumn("_marks", F.filter(F.transform("_lines", mark),
-                                             lambda m: m["blank"] | m["signs"] | m["greets"]))
-              .withColumn("_starts", _letter_starts(F.col("_marks"))))
+              .withColumn("_starts", _letter_starts(F.array_join(F.transform("_lines", code), ""))))
     end = lambda i: F.coalesce(F.get("_starts", i + 1), F.size("_lines"))
     cut = F.transform(
         "_starts",
         lambda s, i: F.array_join(F.slice("_lines", s + 1, end(i) - s), "\n"))
     empty = F.expr("array()").cast("array<string>")
     return (marked.withColumn(letters, F.when(F.col(text) == "", empty).otherwise(cut))
-            .drop("_lines", "_marks", "_starts"))
+            .drop("_lines", "_starts"))
 
 
 def split_letters(df, key="doc_id", text="text", greeting=GREETING, signoff=SIGN_OFF):

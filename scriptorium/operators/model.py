@@ -38,10 +38,15 @@ register_backend("echo", echo_backend)
 def attach_prompt(df, prompts):
     """Add the prompt of every row's task.
 
-    The catalog is cut to one row for each of the four tasks, which bounds the broadcast.
+    Of several prompts of a task the greatest one counts, so reruns agree; a task that rows name and
+    that has no prompt is an error, not a missing row. The catalog is one row per task of the fixed
+    set, which bounds the broadcast.
     """
-    catalog = prompts.where(F.col("task").isin(*TASKS)).dropDuplicates(["task"])
-    return df.join(F.broadcast(catalog), "task")
+    catalog = prompts.where(F.col("task").isin(*TASKS) & F.col("prompt").isNotNull()).groupBy(
+        "task").agg(F.max("prompt").alias("prompt"))
+    joined = df.join(F.broadcast(catalog), "task", "left")
+    missing = F.raise_error(F.concat(F.lit("no prompt for task "), F.coalesce("task", F.lit("null")))).cast("string")
+    return joined.withColumn("prompt", F.coalesce("prompt", missing))
 
 
 def entity_text(category, entity):

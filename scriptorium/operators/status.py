@@ -23,23 +23,42 @@ def first_polls(events, job, order, max_retries):
 
 
 def first_terminal_status(events, job="job_id", order=("ts", "event_id"),
-                          max_retries=MAX_RETRIES, ok=(SUCCEEDED,), bad=(FAILED,), status="status"):
-    """Per job the outcome after at most ``max_retries`` polls, and the number of polls made."""
+                          max_retries=MAX_RETRIES, ok=(SUCCEEDED,), bad=(FAILED,), status="status",
+                          deadline_seconds=None):
+    """Per job the outcome after at most ``max_retries`` polls, and the number of polls made.
+
+    With ``deadline_seconds``, polls later than that after the first one (by the first ``order``
+    column) do not count, and a job they would have ended timed out after the polls before them.
+    """
     terminal = F.col(status).isin(*ok, *bad)
     polls = first_polls(events.select(job, *order, status), job, order, max_retries)
+    if deadline_seconds is not None:
+        began = F.min(F.col(order[0])).over(Window.partitionBy(job))
+        late = F.col(order[0]) > began + F.make_interval(secs=F.lit(deadline_seconds))
+        polls = polls.withColumn("_late", late)
+        on_time = F.count_if(~F.col("_late"))
+        polls_made = F.when(F.max("_late"), on_time).otherwise(F.lit(max_retries))
+        terminal = terminal & ~F.col("_late")
+    else:
+        polls_made = F.lit(max_retries)
     first = F.min(F.when(terminal, F.col("poll_no")))
     outcome = F.min_by(F.when(F.col(status).isin(*ok), SUCCEEDED).otherwise(FAILED),
                        F.when(terminal, F.col("poll_no")))
     # min_by skips rows whose ordering value is NULL, so it is NULL without a terminal poll.
     return polls.groupBy(job).agg(
         F.coalesce(outcome, F.lit(TIMED_OUT)).alias("outcome"),
-        F.coalesce(first, F.lit(max_retries)).cast("bigint").alias("polls"))
+        F.coalesce(first, polls_made).cast("bigint").alias("polls"))
 
 
 def failed_documents(statuses, ok=(SUCCEEDED,), status="outcome"):
-    """Rows that must not go on to the next step, with the reason in words."""
+    """Rows that must not go on to the next step, with the reason in words.
+
+    A ``reason`` that the rows bring along stays. An outcome that is NULL is not a success.
+    """
     reason = F.when(F.col(status) == TIMED_OUT, "timeout").otherwise("job_failed")
-    return statuses.where(~F.col(status).isin(*ok)).withColumn("reason", reason)
+    if "reason" in statuses.columns:
+        reason = F.coalesce("reason", reason)
+    return statuses.where(~F.coalesce(F.col(status).isin(*ok), F.lit(False))).withColumn("reason", reason)
 
 
 def last_wins(df, key, order):

@@ -2,16 +2,12 @@
 
 from __future__ import annotations
 
-import json
-from pathlib import Path
-
 from scriptorium.functions.replies import CATEGORIES
 from scriptorium.operators.model import ALWAYS_SINGLE, TASKS
 from scriptorium.plans.catalog import BATCH_SIZE, DOCUMENT_TASKS, MAX_POLLS
-from scriptorium.sources import documents as _documents
+from scriptorium.sources.documents import packaged_prompts
 
-_PROMPTS = json.loads(
-    Path(_documents.__file__).with_name("prompts.json").read_text("utf-8"))
+_PROMPTS = packaged_prompts()
 
 _EXTENSIONS = """case doc_id % 8 when 0 then '.jpg' when 1 then '.JPEG' when 2 then '.png'
     when 3 then '.tif' when 4 then '.TIFF' when 5 then '.pdf' when 6 then '.txt'

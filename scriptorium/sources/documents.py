@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import json
-from pathlib import Path
+from importlib import resources
 
 from pyspark.sql import functions as F
 
 from scriptorium.functions.files import SUPPORTED_SUFFIXES, is_supported_file
 
-_PROMPTS = Path(__file__).with_name("prompts.json")
+
+def packaged_prompts():
+    """The catalog that comes with the package, also when that is a zip."""
+    return json.loads(resources.files("scriptorium.sources").joinpath("prompts.json").read_text("utf-8"))
 
 
 def scan_documents(spark, path, with_content=False, suffixes=SUPPORTED_SUFFIXES, recursive=False):
@@ -42,7 +45,6 @@ def read_text(spark, path, suffixes=(".txt",), recursive=False):
 def read_prompts(spark, path=None):
     """Prompt catalog as (task, prompt); without a path the catalog that comes with the package."""
     if path is None:
-        return spark.createDataFrame(sorted(json.loads(_PROMPTS.read_text("utf-8")).items()),
-                                     "task string, prompt string")
+        return spark.createDataFrame(sorted(packaged_prompts().items()), "task string, prompt string")
     catalog = spark.read.option("multiLine", True).json(path)
     return catalog.unpivot([], catalog.columns, "task", "prompt")
