@@ -1,12 +1,13 @@
 """Command line: a whole run over stored OCR results or text files.
 
-    spark-submit --py-files scriptorium.zip -m scriptorium --responses DIR --output DIR ...
+    spark-submit --py-files scriptorium.zip scriptorium_run.py --responses DIR --output DIR ...
 """
 
 from __future__ import annotations
 
 import argparse
 import importlib
+import re
 import time
 
 from pyspark.sql import functions as F
@@ -14,11 +15,11 @@ from pyspark.sql import functions as F
 from scriptorium.functions.files import base_name
 from scriptorium.functions.text import split_lines
 from scriptorium.operators import layout
-from scriptorium.operators.status import run_summary
+from scriptorium.operators.status import FAILED, last_wins, run_summary
 from scriptorium.plans.document_run import (
-    RunConfig, document_run, write_document_run, write_json_records)
+    RunConfig, document_run, export_documents, write_document_run, write_json_records)
 from scriptorium.plans.model_tasks import Model
-from scriptorium.session import build_session
+from scriptorium.session import build_session, cut_lineage
 from scriptorium.sources import documents, ocr, sinks
 
 
@@ -40,57 +41,81 @@ def options(arguments=None):
     parser.add_argument("--attempts", type=int, default=1)
     parser.add_argument("--tasks", type=int, help="tasks that call the model")
     parser.add_argument("--threads", type=int, default=4, help="calls per task at a time")
-    parser.add_argument("--batch-size", type=int, default=5)
+    parser.add_argument("--export-files", action="store_true",
+                        help="also write loose files per document below --output")
     return parser.parse_args(arguments)
 
 
+def document_key(path, root):
+    """Path of a file below the input folder without its extension: names in two folders differ."""
+    below = F.regexp_replace(path, "^.*?" + re.escape(root.rstrip("/").removeprefix("file:")) + "/", "")
+    folder = F.regexp_extract(below, "^(.*/)?", 0)
+    return F.concat(folder, base_name(F.substring_index(below, "/", -1)))
+
+
 def read_input(spark, chosen):
-    """Documents, their lines, and their boxes where the input has any."""
+    """Documents, their lines, their jobs (outcome and reason) and their boxes where there are any."""
     if chosen.texts:
-        texts = documents.read_text(spark, chosen.texts, recursive=True).select(
-            base_name(F.col("name")).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+        found = documents.read_text(spark, chosen.texts, recursive=True).select(
+            document_key(F.col("path"), chosen.texts).alias("doc_id"), "path", "text")
+        # Of files with one name and several spellings of the ending the last one counts.
+        texts = last_wins(cut_lineage(found, "texts"), "doc_id", ["path"])
+        hidden = documents.hidden_files(spark, chosen.texts, (".txt",)).select(
+            document_key(F.col("path"), chosen.texts).alias("doc_id"), F.lit("hidden_name").alias("reason"))
+        broken = texts.where(F.col("text").isNull()).select("doc_id", F.lit("not_utf8").alias("reason"))
+        jobs = broken.unionByName(hidden).withColumn("outcome", F.lit(FAILED))
         lines = texts.select("doc_id", F.lit(1).alias("page"),
                              F.posexplode(split_lines(F.col("text"))).alias("line_no", "text"))
-        return texts.select("doc_id"), lines, None
+        return texts.select("doc_id").unionByName(hidden.select("doc_id")), lines, jobs, None
     if chosen.layouts:
-        results = ocr.read_layout_results(spark, chosen.layouts)
+        results = cut_lineage(ocr.read_layout_results(spark, chosen.layouts), "layouts")
+        jobs = results.where("corrupt").select(
+            "doc_id", F.lit(FAILED).alias("outcome"), F.lit("unreadable_page").alias("reason")).distinct()
         lines = layout.flatten_layout(results)
         boxes = layout.collect_boxes(lines, "doc_id", ("line_no",), ("page", "text", "polygon"))
-        return results.select("doc_id"), lines, boxes
-    blocks = ocr.read_ocr_pages(spark, chosen.responses).withColumnRenamed("job_id", "doc_id")
-    jobs = ocr.read_response_pages(spark, chosen.responses).select(
-        F.col("job_id").alias("doc_id")).distinct()
+        return results.select("doc_id"), lines, jobs, boxes
+    # Read once, used for lines, boxes and outcomes.
+    pages = cut_lineage(ocr.read_response_pages(spark, chosen.responses), "pages").withColumnRenamed("job_id", "doc_id")
+    jobs = ocr.incomplete_jobs(pages.withColumnRenamed("doc_id", "job_id")).withColumnRenamed("job_id", "doc_id")
+    blocks = ocr.explode_blocks(pages.withColumnRenamed("doc_id", "job_id")).withColumnRenamed("job_id", "doc_id")
     lines = layout.ocr_lines(blocks).withColumnsRenamed({"page_ord": "page", "block_ord": "line_no"})
-    boxes = layout.collect_boxes(layout.ocr_words(blocks), "doc_id", ("page_ord", "block_ord"))
-    return jobs, lines, boxes
+    return pages.select("doc_id"), lines, jobs, layout.page_boxes(pages, "doc_id")
 
 
 def run(spark, chosen):
     started = time.time()
-    files, lines, boxes = read_input(spark, chosen)
-    config = RunConfig(output=chosen.output, materialise=True)
+    files, lines, jobs, boxes = read_input(spark, chosen)
+    config = RunConfig(output=chosen.output, materialise=True, export=chosen.export_files)
     if chosen.backend:
         if chosen.backend_module:
             importlib.import_module(chosen.backend_module)
         model = Model(chosen.backend, documents.read_prompts(spark, chosen.prompts), chosen.layout,
                       chosen.model_name, chosen.attempts, chosen.tasks, chosen.threads)
-        tables = document_run(files, lines, config=config, model=model)
+        tables = document_run(files, lines, config=config, model=model, jobs=jobs)
     else:
         table = lambda path, schema: (spark.read.parquet(path) if path
                                       else spark.createDataFrame([], schema))
         tables = document_run(
             files, lines, table(chosen.lexicon, "wrong string, right string"),
             table(chosen.gazetteer, "category string, name string"),
-            table(chosen.knowledge, "category string, entity string, explanation string"), config)
+            table(chosen.knowledge, "category string, entity string, explanation string"), config, jobs=jobs)
     write_document_run(tables, chosen.output)
     write_json_records(tables, chosen.output)
+    if chosen.export_files:
+        export_documents(tables, chosen.output)
     if boxes is not None:
         sinks.write_json(boxes, f"{chosen.output}/coords_json")
     status = spark.read.parquet(f"{chosen.output}/doc_status").withColumns({
         "started": F.timestamp_seconds(F.lit(started)),
         "finished": F.timestamp_seconds(F.lit(time.time()))})
-    return run_summary(status, chosen.batch_size)
+    # The whole input is one batch here; streaming.incremental runs batches of files.
+    return run_summary(status, max(1, status.count()))
 
 
-if __name__ == "__main__":
+def main():
+    """Entry point of the launcher script."""
     run(build_session(), options()).show(truncate=False)
+
+
+if __name__ == "__main__":
+    main()

@@ -75,9 +75,29 @@ def empty_documents(files, lines, key="doc_id"):
     return files.join(lines.select(key).distinct(), key, "left_anti")
 
 
+def page_boxes(pages, key="job_id", order="page_ord", blocks="Blocks"):
+    """One row per document: its word boxes in order, straight from response pages.
+
+    The words of a page are picked inside its row, so one array per page is shuffled and not a row
+    per word.
+    """
+    none = F.expr("array()").cast(pages.schema[blocks].dataType)
+    words = F.transform(
+        F.filter(F.coalesce(F.col(blocks), none), lambda b: b["BlockType"] == WORD),
+        lambda b: F.struct(b["Text"].alias("text"), b["Confidence"].alias("confidence"),
+                           b["Geometry"]["BoundingBox"].alias("box")))
+    ordered = F.array_sort(F.collect_list(F.struct(order, "_words")))
+    per_page = pages.select(key, order, words.alias("_words")).where(F.size("_words") > 0)
+    return per_page.groupBy(key).agg(
+        F.flatten(F.transform(ordered, lambda p: p["_words"])).alias("boxes"))
+
+
 def collect_boxes(words, key="doc_id", order=("page", "line_no", "word_no"),
                   fields=("text", "confidence", "box")):
-    """One row per document: its boxes as an ordered array of structs, without the order."""
+    """One row per document: its boxes as an ordered array of structs, without the order.
+
+    For words that come as rows; :func:`page_boxes` shuffles less where they come as pages.
+    """
     pairs = F.array_sort(F.collect_list(F.struct(*order, F.struct(*fields).alias("_box"))))
     return words.groupBy(key).agg(F.transform(pairs, lambda p: p["_box"]).alias("boxes"))
 

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import functions as F
 
-from scriptorium.functions.replies import CATEGORIES, EXPLAINED_CATEGORIES
+from scriptorium.functions.replies import CATEGORIES, EXPLAINED_CATEGORIES, to_json_record
 from scriptorium.functions.text import parse_page_number
 from scriptorium.operators.correct import correct_text, effective_text
 from scriptorium.operators.entities import (
@@ -17,18 +17,21 @@ from scriptorium.operators.status import FAILED, SUCCEEDED, failed_documents
 from scriptorium.plans.model_tasks import (
     correct_with_model, explain_with_model, extract_with_model, split_with_model)
 from scriptorium.session import cut_lineage
-from scriptorium.sources.sinks import write_json, write_table
+from scriptorium.sources.sinks import write_files, write_json, write_table
 
 # Endings of the files that a document is said to have.
 RAW, CORRECTED, COMBINED = ".raw.txt", ".corrected.txt", ".combined_output.json"
+# Replies that give a result; a reply that is no JSON has a default result.
+GOOD_REPLIES = ("parsed", "defaulted", "whole_text")
 
 
 @dataclass(frozen=True)
 class RunConfig:
     """Options of a run.
 
-    ``materialise`` writes raw texts, corrected texts and entity records once, so that the result
-    tables read them instead of computing them again, also after the loss of an executor.
+    ``materialise`` writes raw texts, corrected texts, entity records and letters once, so that the
+    result tables read them instead of computing them again, also after the loss of an executor.
+    ``export`` says that loose files per document are wanted, which ``doc_status`` then names.
     """
 
     key: str = "doc_id"
@@ -37,22 +40,28 @@ class RunConfig:
     signoff: str = SIGN_OFF
     output: str = "output"
     materialise: bool = False
+    export: bool = False
 
 
 def document_run(files, lines, lexicon=None, gazetteer=None, knowledge=None, config=RunConfig(),
                  jobs=None, model=None):
     """Result tables of a run, by name.
 
-    ``files`` has one row per document and ``lines`` one per OCR line. The text tasks follow the
-    rules with ``lexicon``, ``gazetteer`` and ``knowledge``, or go to ``model``
-    (:class:`plans.model_tasks.Model`) when one is given. ``jobs(key, outcome)``, if given, keeps
-    documents whose OCR did not succeed out of every later step; they are reported as failed.
+    ``files`` names the documents, each at least once, and ``lines`` has one row per OCR line. The
+    text tasks follow the rules with ``lexicon``, ``gazetteer`` and ``knowledge``, or go to ``model``
+    (:class:`plans.model_tasks.Model`) when one is given. ``jobs(key, outcome)``, with a ``reason``
+    where one is known, keeps documents whose OCR did not succeed out of every later step; they are
+    reported as failed. A document without a job goes on. ``doc_status`` has exactly one row per
+    document of ``files``: a step that failed for a document makes its status FAILED, names the step
+    in ``reason`` and leaves the other results of the document in place.
     """
     key = config.key
     keep = cut_lineage if config.materialise else lambda df, label: df
+    files = files.select(key).distinct()
     failed = None
     if jobs is not None:
-        failed = failed_documents(jobs.select(key, "outcome"))
+        reason = ["reason"] if "reason" in jobs.columns else []
+        failed = failed_documents(jobs.select(key, "outcome", *reason)).join(files, key, "left_semi")
         files = files.join(failed.select(key), key, "left_anti")
     # Lines of documents that are not in files are dropped by the join on files.
     raw = keep(with_empty_documents(files, assemble_text(lines, key, config.order), key), "raw")
@@ -63,47 +72,69 @@ def document_run(files, lines, lexicon=None, gazetteer=None, knowledge=None, con
         explain = None
         records = extract_entities(texts, gazetteer, key)
         combined = letter_arrays(texts, "text", config.greeting, config.signoff).select(
-            key, parse_page_number(F.col("text")).alias("page_number"), "letters")
+            key, parse_page_number(F.col("text")).alias("page_number"), "letters",
+            F.lit("parsed").alias("letter_status"))
+        records = records.withColumn("entity_status", F.lit("parsed"))
     else:
         explain = lambda wanted: explain_with_model(wanted, model)
         records = extract_with_model(texts, model, key)
-        combined = split_with_model(texts, model, key).select(key, "page_number", "letters")
-    records = keep(records.select(key, *CATEGORIES), "records")
+        combined = split_with_model(texts, model, key).select(key, "page_number", "letters", "letter_status")
+    records = keep(records.select(key, *CATEGORIES, "entity_status"), "records")
+    combined = keep(combined, "combined")
     entities = unpivot_entities(records, key)
     return {
         "raw_text": docs.select(key, "raw_text"),
         "corrected": docs.select(key, "corrected_text"),
         "entities": entities,
         "explanations": explain_entities(entities, knowledge, explain),
-        "letters": letter_rows(combined),
+        "letters": letter_rows(combined.drop("letter_status")),
         "doc_status": _doc_status(docs, records, combined, failed, config),
-        "entity_records": records,
-        "combined": combined,
+        "entity_records": records.drop("entity_status"),
+        "combined": combined.drop("letter_status"),
     }
 
 
 def _corrected(raw, lexicon, model, key):
     if model is None:
-        return correct_text(raw, lexicon, key, "raw_text")
+        return correct_text(raw, lexicon, key, "raw_text").withColumn(
+            "correct_error", F.lit(None).cast("string"))
     replies = correct_with_model(raw.select(key, F.col("raw_text").alias("text")), model, key)
-    return raw.join(replies.select(key, "corrected_text"), key, "left")
+    return raw.join(replies.select(key, "corrected_text", F.col("error").alias("correct_error")), key, "left")
 
 
 def _doc_status(docs, records, combined, failed, config):
-    """One row per document: what it became, where, and how much of it there is."""
+    """One row per document: what it became, which steps failed, where its results are.
+
+    A path names the file that :func:`export_documents` writes for a result that exists; without
+    ``config.export`` there is no such file, and the path is the result table.
+    """
     key = config.key
     name = F.col(key).cast("string")
-    file = lambda ending: F.concat(F.lit(config.output + "/"), name, F.lit("/"), name, F.lit(ending))
+
+    def place(ending, table):
+        if config.export:
+            return F.concat(F.lit(config.output + "/"), name, F.lit("/"), name, F.lit(ending))
+        return F.lit(f"{config.output}/{table}")
     n_entities = sum((F.size(c) for c in CATEGORIES), F.lit(0))
-    # Only counts and paths go through the joins, not texts.
+    # Only counts and outcomes go through the joins, not texts.
     status = docs.select(
-        key, F.lit(SUCCEEDED).alias("status"),
-        F.when(F.col("raw_text") == "", "no_text").alias("reason"),
-        file(RAW).alias("raw_path"),
-        F.when(F.col("corrected_text").isNotNull(), file(CORRECTED)).alias("corrected_path"),
-        file(COMBINED).alias("combined_path"), "n_lines",
-    ).join(records.select(key, n_entities.cast("bigint").alias("n_entities")), key).join(
-        combined.select(key, "page_number", F.size("letters").cast("bigint").alias("n_letters")), key)
+        key, (F.col("raw_text") == "").alias("_empty"), F.col("correct_error").isNotNull().alias("_uncorrected"),
+        F.col("corrected_text").isNotNull().alias("_corrected"), "n_lines",
+    ).join(records.select(key, "entity_status", n_entities.cast("bigint").alias("n_entities")), key, "left").join(
+        combined.select(key, "page_number", "letter_status", F.size("letters").cast("bigint").alias("n_letters")),
+        key, "left")
+    broken = lambda column: ~F.coalesce(F.col(column), F.lit("missing")).isin(*GOOD_REPLIES)
+    steps = F.array_compact(F.array(
+        F.when(F.col("_uncorrected"), "correct_text"), F.when(broken("entity_status"), "extract_entities"),
+        F.when(broken("letter_status"), "split_letters")))
+    status = status.withColumn("_steps", steps).select(
+        key, F.when(F.size("_steps") > 0, FAILED).otherwise(SUCCEEDED).alias("status"),
+        F.when(F.size("_steps") > 0, F.concat(F.lit("failed: "), F.array_join("_steps", ", ")))
+        .when(F.col("_empty"), "no_text").alias("reason"),
+        place(RAW, "raw_text").alias("raw_path"),
+        F.when(F.col("_corrected"), place(CORRECTED, "corrected")).alias("corrected_path"),
+        F.when(~broken("letter_status"), place(COMBINED, "combined")).alias("combined_path"),
+        "n_lines", "n_entities", "page_number", "n_letters")
     if failed is None:
         return status
     paths = [F.lit(None).cast("string").alias(p)
@@ -133,3 +164,16 @@ def write_json_records(tables, out, key="doc_id"):
     write_json(tables["entity_records"], f"{out}/entities_json")
     write_json(explanation_records(tables, key), f"{out}/entities_explained_json")
     write_json(tables["combined"], f"{out}/combined_output_json")
+
+
+def export_documents(tables, out, key="doc_id"):
+    """Write the loose files that ``doc_status`` names, inside tasks and without an added line end.
+
+    ``out`` is a folder that all executors share. Meant for a moderate number of documents; the
+    result tables hold the same and scale.
+    """
+    write_files(tables["raw_text"], out, key, "raw_text", RAW)
+    write_files(tables["corrected"].where(F.col("corrected_text").isNotNull()), out, key, "corrected_text", CORRECTED)
+    combined = tables["combined"]
+    rest = [c for c in combined.columns if c != key]
+    write_files(combined.select(key, to_json_record(*rest).alias("combined")), out, key, "combined", COMBINED)

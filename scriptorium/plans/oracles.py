@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from scriptorium.functions.replies import CATEGORIES
 from scriptorium.operators.model import ALWAYS_SINGLE, TASKS
-from scriptorium.plans.catalog import BATCH_SIZE, DOCUMENT_TASKS, MAX_POLLS
+from scriptorium.plans.catalog import BATCH_SIZE, DEADLINE_SECONDS, DOCUMENT_TASKS, MAX_POLLS
 from scriptorium.sources.documents import packaged_prompts
 
 _PROMPTS = packaged_prompts()
@@ -103,8 +103,7 @@ VIEWS = {
     max(concat(p_type, ' / ', p_brand)) as explanation from part group by p_name
   union all select 'Companies', s_name, max(concat('supplier ', n_name))
     from supplier join nation on s_nationkey = n_nationkey group by s_name
-  union all select 'People', c_name, max(c_mktsegment) from customer where c_acctbal > 0
-    group by c_name
+  union all select 'People', c_name, max(c_mktsegment) from customer group by c_name
   union all select 'Theaters', n_name, max(r_name)
     from nation join region on n_regionkey = r_regionkey group by n_name""",
     "v_explained": """
@@ -156,8 +155,10 @@ _BARE = r"regexp_replace({}, '^[^\p{{L}}\p{{N}}]+|[^\p{{L}}\p{{N}}]+$', '', 'g')
 VIEWS["v_lexicon"] = f"""
   select wrong, min(fixed) as fixed
   from (select {_BARE.format("a")} as wrong, {_BARE.format("b")} as fixed
-        from (select unnest(string_split(replace(raw, chr(10), ' '), ' ')) as a,
-                unnest(string_split(replace(target, chr(10), ' '), ' ')) as b from v_aligned))
+        from (select unnest(string_split(a_line, ' ')) as a, unnest(string_split(b_line, ' ')) as b
+              from (select unnest(string_split(raw, chr(10))) as a_line,
+                      unnest(string_split(target, chr(10))) as b_line from v_aligned)
+              where len(string_split(a_line, ' ')) = len(string_split(b_line, ' '))))
   where wrong <> fixed and wrong <> '' group by wrong having count(distinct fixed) = 1"""
 # Tokens of (doc_id, raw) rows of a view called v_raw, corrected by the lexicon and joined again.
 VIEWS["v_tokens"] = f"""
@@ -205,12 +206,12 @@ from v_split join v_page_numbers using (doc_id)""", v_texts=_LETTER_TEXTS)
 
 _RUN = {
     "v_jobs": """
-  select conv_id as doc_id, max(length(text)) > 1700 as timed_out, count(*) as turns
-  from conversations group by conv_id""",
+  select conv_id as doc_id, coalesce(any_value(outcome), 'SUCCEEDED') as outcome, count(*) as turns
+  from conversations left join v_outcomes on conv_id = job_id group by conv_id""",
     "v_aligned": "select replace(text, 'th', 'tb') as raw, text as target from conversations",
     "v_raw": """
   select conv_id as doc_id, replace(body, 'th', 'tb') as raw
-  from v_letters join v_jobs on conv_id = doc_id where not timed_out""",
+  from v_letters join v_jobs on conv_id = doc_id where outcome = 'SUCCEEDED'""",
     "v_texts": "select * from v_corrected",
     "v_people": f"""
   select distinct on (t.doc_id, j.doc_id) t.doc_id, concat('C', j.doc_id) as entity,
@@ -220,7 +221,7 @@ _RUN = {
       select doc_id, line_no, pos, {_BARE.format("token")} as word from v_repaired)) t
   join v_jobs j on t.word = concat('c', j.doc_id)""",
 }
-_RUN_VIEWS = ("v_letters v_jobs v_aligned v_lexicon v_raw v_tokens v_repaired v_corrected "
+_RUN_VIEWS = ("v_poll v_outcomes v_letters v_jobs v_aligned v_lexicon v_raw v_tokens v_repaired v_corrected "
               f"v_texts {_SPLIT} v_people")
 
 # Non-ASCII letters of the tables, as single bytes: the engine measures distances in bytes.
@@ -267,19 +268,24 @@ _TERMINAL_ELAPSED = """concat(cast(floor(s / 3600) as bigint), 'h ',
 
 ORACLES = {
     "a1_scan_documents": _with(
-        "v_letters", "select conv_id, cast(strlen(body) + 1 as bigint) as length from v_letters"),
+        "v_letters", "select conv_id, cast(strlen(body) as bigint) as length from v_letters"),
     "a2_read_ocr_pages": _with("v_lines v_blocks", """
 select doc_id as job_id, cast(page - 1 as bigint) as page_ord,
   cast(row_number() over (partition by doc_id, page
     order by case block_type when 'PAGE' then 0 when 'LINE' then 1 else 2 end, line_no, word_no)
     - 1 as bigint) as block_ord, block_type, text, confidence,
-  cast(greatest(word_no, 0) as double) as box_left, cast(greatest(line_no, 0) as double) as box_top
+  cast(greatest(word_no, 0) as double) as box_left, cast(greatest(line_no, 0) as double) as box_top,
+  cast(coalesce(length(text), 0) as double) as box_width, cast(1 as double) as box_height
 from v_blocks"""),
+    "a2_incomplete_jobs": _with("v_lines v_poll v_outcomes", """
+select doc_id, 'FAILED' as outcome, case when outcome = 'FAILED' then 'failed' else 'incomplete_pages' end as reason
+from (select doc_id, max(page) as n_pages from v_lines group by doc_id)
+left join v_outcomes on doc_id = job_id where outcome = 'FAILED' or n_pages >= 7"""),
     "a2_assemble_pages": """
 select doc_id, text as raw_text, cast(len(string_split(text, chr(10))) as bigint) as n_lines
 from documents""",
     "a3_read_layout_pages": _with("v_lines", "select doc_id, page, line_no, text from v_lines"),
-    "a4_read_text": _with("v_letters", "select conv_id, concat(body, chr(10)) as text from v_letters"),
+    "a4_read_text": _with("v_letters", "select conv_id, body as text from v_letters"),
     "a6_write_text": "select doc_id, text as raw_text from documents",
     "a7_write_json": _SPLIT_LETTERS,
     "b1_is_supported_file": _with("v_files v_names v_supported",
@@ -302,10 +308,7 @@ from v_names"""),
     "b5_guess_content_type": _with("v_files v_names", """
 select doc_id, prepared_path,
   case when ext in ('.jpg', '.jpeg') then 'image/jpeg' when ext = '.png' then 'image/png'
-    when ext in ('.tif', '.tiff') then 'image/tiff' else 'application/pdf' end as content_type,
-  case when ext in ('.jpg', '.jpeg') then 'image/jpeg' when ext = '.png' then 'image/png'
-    when ext in ('.tif', '.tiff') then 'image/tiff' when ext = '.pdf' then 'application/pdf'
-    else 'application/octet-stream' end as source_type
+    when ext in ('.tif', '.tiff') then 'image/tiff' else 'application/pdf' end as content_type
 from (select *, case when ext in ('.jpg', '.jpeg', '.png', '.tif', '.tiff')
     then concat('tmp/', base_name, '_resized', ext) else concat('tmp/', base_name, '.pdf') end
     as prepared_path from v_names)"""),
@@ -318,7 +321,8 @@ from v_blocks where block_type in ('LINE', 'WORD')"""),
     "b8_failed_documents": _with("v_poll v_outcomes", """
 select job_id, outcome, case outcome when 'TIMED_OUT' then 'timeout' else 'job_failed' end as reason
 from v_outcomes where outcome <> 'SUCCEEDED'"""),
-    "b9_warn_empty_ocr": "select doc_id from documents where not regexp_matches(text, '[0-9]')",
+    "b9_warn_empty_ocr": _with("v_poll v_outcomes", """
+select doc_id from documents join v_outcomes on doc_id = job_id where outcome <> 'SUCCEEDED'"""),
     "d1_handoff": _with("v_files v_names v_supported", """
 select p.base_name, p.name, p.doc_id, j.job_id,
   case when j.job_id is null then 'not_submitted' else 'ready' end as state
@@ -330,8 +334,9 @@ left join (select base_name, max(concat('job-', doc_id)) as job_id from v_names
     "d2_attach_prompt": _with("v_prompts v_tasks", """
 select doc_id, t.task, prompt from v_tasks t join v_prompts p on t.task = p.task"""),
     "d3_attach_responses": _with("v_responses", """
-select request_id, nullif(response, '') as response,
-  case when response = '' then 'no response' end as error from v_responses"""),
+select request_id, case when answered then response end as response,
+  case when not answered then 'no response' end as error
+from (select *, request_id in (select o_custkey from orders) as answered from v_responses)"""),
     "d4_attach_explanations": _with("v_entities v_knowledge", """
 select e.doc_id, e.category, e.ord, e.entity, k.explanation from v_entities e
 left join v_knowledge k on e.category = k.category and e.entity = k.entity"""),
@@ -340,7 +345,7 @@ select doc_id, text as raw_text, cast(len(string_split(text, chr(10))) as bigint
 from documents""",
     "e2_collect_boxes": _with("v_lines v_blocks", """
 select doc_id, count(*) as n_boxes, string_agg(concat(text, ':', cast(confidence as int), ':',
-  word_no), ' ' order by page, line_no, word_no) as boxes
+  word_no, ':', line_no, ':', length(text), ':1'), ' ' order by page, line_no, word_no) as boxes
 from v_blocks where block_type = 'WORD' group by doc_id"""),
     "e3_last_wins_by_key": _with("v_files v_names", """
 select base_name, name, doc_id, case when row_number() over (partition by base_name
@@ -409,8 +414,8 @@ from (select doc_id, string_split(replace(text, '. ', '.' || chr(10)), chr(10))
       from documents)""",
     "i1_correct_text": _with("v_pairs v_aligned v_lexicon v_raw v_tokens v_repaired v_corrected", """
 select doc_id, text as corrected_text from v_corrected""",
-                             v_aligned="select raw, target from v_pairs",
-                             v_raw="select doc_id, raw from v_pairs"),
+                             v_aligned="select replace(raw, ' and ', ' and') as raw, target from v_pairs",
+                             v_raw="select doc_id, replace(raw, ' and ', ' and') as raw from v_pairs"),
     "i1_corpus_lexicon": f"""
 with v_counted as (
   select word, count(*) as n from (select {_BARE.format("token")} as word
@@ -430,16 +435,20 @@ where explanation is not null"""),
     "i4_split_letters": _SPLIT_LETTERS,
     "i5_document_run": _with(_RUN_VIEWS, """
 select doc_id, 'SUCCEEDED' as status, cast(null as varchar) as reason,
-  concat('output/', doc_id, '/', doc_id, '.raw.txt') as raw_path,
-  concat('output/', doc_id, '/', doc_id, '.corrected.txt') as corrected_path,
-  concat('output/', doc_id, '/', doc_id, '.combined_output.json') as combined_path,
+  'output/raw_text' as raw_path, 'output/corrected' as corrected_path, 'output/combined' as combined_path,
   cast(len(string_split(text, chr(10))) as bigint) as n_lines, page_number,
   coalesce((select count(*) from v_people p where p.doc_id = t.doc_id), 0) as n_entities,
   (select count(*) from v_split s where s.doc_id = t.doc_id) as n_letters
 from v_texts t join v_page_numbers using (doc_id)
 union all
-select doc_id, 'FAILED', 'timeout', null, null, null, null, null, null, null
-from v_jobs where timed_out""", **_RUN),
+select doc_id, 'FAILED', case outcome when 'TIMED_OUT' then 'timeout' else 'job_failed' end,
+  null, null, null, null, null, null, null
+from v_jobs where outcome <> 'SUCCEEDED'""", **_RUN),
+    "i5_run_failures": """
+select conv_id as doc_id, case conv_id % 4 when 1 then 'FAILED' when 2 then 'FAILED' else 'SUCCEEDED' end as status,
+  case conv_id % 4 when 1 then 'failed: correct_text, split_letters' when 2 then 'failed: extract_entities' end as reason,
+  case conv_id % 4 when 1 then 0 when 3 then 1 else count(*) end as n_letters
+from conversations group by conv_id""",
     "i5_run_letters": _with(_RUN_VIEWS, """
 select doc_id, page_number, letter_no, letter from v_split join v_page_numbers using (doc_id)""",
                             **_RUN),
@@ -451,7 +460,9 @@ select doc_id, 'People' as category, row_number() over (partition by doc_id orde
 select doc_id, trim(text, ' ' || chr(10)) as response, cast(null as varchar) as error
 from documents""",
     "i1_model_correction": """
-select doc_id, trim(text, ' ' || chr(10)) as corrected_text from documents""",
+select doc_id, case when not contains(text, '|') then trim(replace(replace(text, 'th', 'tb'), 'tb', 'th'),
+    ' ' || chr(10)) end as corrected_text,
+  case when contains(text, '|') then 'ValueError: unreadable' end as error from documents""",
     "i2_model_extraction": _with("v_responses v_checked", f"""
 select request_id as doc_id, status, {_MODEL_LISTS} from v_checked""", v_checked=_CHECKED),
     "i3_model_explanations": _with("v_entities", """
@@ -459,9 +470,21 @@ select distinct category, entity, concat('Category: ', category, chr(10), 'Entit
   as explanation from v_entities where category <> 'Dates'"""),
     "i4_model_letters": _with("v_letters v_texts v_page_numbers", """
 select doc_id, page_number, 'whole_text' as letter_status, cast(1 as bigint) as letter_no,
-  text as letter from v_texts join v_page_numbers using (doc_id)""", v_texts=_LETTER_TEXTS),
+  text as letter from v_texts join v_page_numbers using (doc_id) where doc_id % 4 = 3
+union all
+select doc_id, page_number, 'parsed', cast(unnest(range(1, len(parts) + 1)) as bigint), unnest(parts)
+from (select doc_id, page_number, list_filter(string_split(text, chr(10) || chr(10)), lambda p: trim(p) <> '') as parts
+      from v_texts join v_page_numbers using (doc_id) where doc_id % 4 in (0, 2))""", v_texts=_LETTER_TEXTS),
     "j1_incremental_run": _SPLIT_LETTERS,
-    "j2_job_tracker": _with("v_poll v_outcomes", "select * from v_outcomes"),
+    "j2_job_tracker": _with("v_poll", f"""
+, v_numbered_polls as (
+  select *, ts > min(ts) over (partition by job_id) + interval {DEADLINE_SECONDS} second as late,
+    row_number() over (partition by job_id order by ts, event_id) as poll_no from v_poll)
+select job_id, coalesce(min_by(status, poll_no) filter (not late and status in ('SUCCEEDED', 'FAILED')),
+    'TIMED_OUT') as outcome,
+  cast(coalesce(min(poll_no) filter (not late and status in ('SUCCEEDED', 'FAILED')),
+    case when bool_or(late) then count(*) filter (not late) else {MAX_POLLS} end) as bigint) as polls
+from v_numbered_polls where poll_no <= {MAX_POLLS} group by job_id"""),
     "k1_edit_distance": _with("v_turns", f"""
 select doc_id, distance, {_similarity("raw", "text")} as similarity
 from (select *, {_distance("raw", "text")} as distance
@@ -472,6 +495,10 @@ select doc_id, cast(sum(d) as bigint) as distance, count(*) as lines,
 from (select doc_id, {_distance("a", "b")} as d from (
     select doc_id, unnest(string_split(raw, chr(10))) as a, unnest(string_split(target, chr(10))) as b
     from v_pairs)) group by doc_id"""),
+    "k1_document_distance": f"""
+select doc_id, cast(length(longer) - length(text) as bigint) as distance,
+  {_similarity("longer", "text", "(length(longer) - length(text))")} as similarity
+from (select doc_id, text, replace(text, 'th', 'tth') as longer from documents)""",
     "k2_word_count": _with("v_pairs", """
 select doc_id, raw_words, corrected_words, corrected_words - raw_words as word_delta
 from (select doc_id,
@@ -486,13 +513,13 @@ from (select doc_id,
   union all select doc_id, 1, text from v_turns
   union all select doc_id, 2, replace(text, 'an', 'am') from v_turns),
 v_measured as (
-  select r.doc_id, r.text, {_distance("r.text", "f.text")} as d
+  select r.doc_id, r.run, r.text, {_distance("r.text", "f.text")} as d
   from v_runs r join v_runs f on r.doc_id = f.doc_id and f.run = 0),
 v_same as (
   select a.doc_id, avg(case when a.text = b.text then 1.0 else 0.0 end) as identical_share
   from v_runs a join v_runs b on a.doc_id = b.doc_id and a.run < b.run group by a.doc_id)
 select doc_id, count(*) as n_runs, count(distinct text) as n_variants,
   round(any_value(identical_share), 6) as identical_share, round(avg(d), 6) as avg_distance,
-  max(d) as max_distance
+  min(d) filter (run > 0) as min_distance, max(d) as max_distance
 from v_measured join v_same using (doc_id) group by doc_id"""),
 }

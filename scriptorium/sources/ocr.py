@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
+
+from scriptorium.functions.replies import strict_json
+from scriptorium.sources.documents import skipped_files
 
 # Record shapes of the OCR results.
 BOX = "struct<Left:double,Top:double,Width:double,Height:double>"
@@ -15,20 +18,62 @@ LAYOUT_RESULT = "doc_id string, pages array<struct<lines:array<struct<content:st
 _PAGE_FILE = r"([^/]+)/([0-9]+)(?:\.json)?$"
 
 
-def read_response_pages(spark, path):
-    """Response pages of OCR jobs, one row per page: job_id, page_ord, Blocks, status.
+def read_response_pages(spark, path, lines=False):
+    """Response pages of OCR jobs, one row per page: job_id, page_ord, Blocks, status, corrupt.
 
     The JSON holds ``job_id`` and ``page_ord`` next to the response, or the file is called
-    ``<job_id>/<page number>``.
+    ``<job_id>/<page number>``. What cannot be read is a row with ``corrupt`` set, under the name of
+    its file. ``lines`` as in :func:`json_records`.
     """
-    pages = (spark.read.schema(f"job_id string, page_ord bigint, {RESPONSE_PAGE}")
-             .option("recursiveFileLookup", "true").json(path))
-    file = F.col("_metadata.file_path")
+    pages = json_records(spark, path, f"job_id string, page_ord bigint, {RESPONSE_PAGE}", lines)
     return pages.select(
-        F.coalesce("job_id", F.regexp_extract(file, _PAGE_FILE, 1)).alias("job_id"),
-        F.coalesce("page_ord", F.regexp_extract(file, _PAGE_FILE, 2).try_cast("bigint"))
+        F.coalesce("job_id", F.regexp_extract("_file", _PAGE_FILE, 1)).alias("job_id"),
+        F.coalesce("page_ord", F.regexp_extract("_file", _PAGE_FILE, 2).try_cast("bigint"))
         .alias("page_ord"),
-        "Blocks", "JobStatus", "StatusMessage")
+        "Blocks", "JobStatus", "StatusMessage", "NextToken", "corrupt")
+
+
+def json_records(spark, path, schema, lines=False):
+    """JSON objects of the given shape, with ``_file`` and ``corrupt``; nothing unreadable is dropped.
+
+    By default a file is one object or a list of them, over any number of lines; a file that is
+    neither is read line by line. With ``lines`` every line of every file is an object, and Spark
+    splits long files.
+    """
+    texts = spark.read.text(path, wholetext=not lines, recursiveFileLookup=True).select(
+        "value", F.col("_metadata.file_path").alias("_file"))
+    if not lines:
+        # Spark does not read empty files; each is an unreadable record here.
+        empty = skipped_files(spark, path, True).where((F.col("length") == 0) & ~F.col("name").rlike("^[_.]"))
+        texts = texts.unionByName(empty.select(F.lit("").alias("value"), F.col("path").alias("_file")))
+        own = F.filter(F.split("value", "\r?\n"), lambda line: F.trim(line) != "")
+        texts = texts.select("_file", F.explode_outer(
+            F.when(strict_json(F.col("value")).isNotNull(), F.array("value")).otherwise(own)).alias("value"))
+    kind = f"array<struct<{', '.join(f'{f.name}:{f.dataType.simpleString()}' for f in T.StructType.fromDDL(schema))}>>"
+    read = texts.withColumn("_read", F.when(
+        strict_json(F.coalesce("value", F.lit(""))).isNotNull(), F.from_json("value", kind)))
+    return read.select("_file", F.col("_read").isNull().alias("corrupt"), F.explode_outer("_read").alias("_r")).select(
+        "_file", "corrupt", "_r.*")
+
+
+def incomplete_jobs(pages):
+    """Jobs that were not read in full: (job_id, outcome, reason).
+
+    A job is complete if all of its pages could be read, its page numbers have no hole, none stands
+    twice, and its last page names no further one. A status other than success is a failure too,
+    with the service's message as its reason.
+    """
+    last = F.max_by("NextToken", "page_ord")
+    per_job = pages.groupBy("job_id").agg(
+        F.max(F.coalesce("corrupt", F.lit(False))).alias("corrupt"), last.alias("more"),
+        (F.max("page_ord") - F.min("page_ord") + 1 != F.count("page_ord")).alias("holes"),
+        F.max(F.when(~F.col("JobStatus").isin("SUCCEEDED", "PARTIAL_SUCCESS"), F.struct(
+            F.col("JobStatus").alias("status"), F.col("StatusMessage").alias("message")))).alias("bad"))
+    reason = (F.when(F.col("bad").isNotNull(), F.coalesce("bad.message", F.lower("bad.status")))
+              .when(F.col("corrupt"), "unreadable_page")
+              .when(F.col("more").isNotNull() | F.col("holes"), "incomplete_pages"))
+    return per_job.select("job_id", reason.alias("reason")).where(F.col("reason").isNotNull()).select(
+        "job_id", F.lit("FAILED").alias("outcome"), "reason")
 
 
 def explode_blocks(pages):
@@ -41,13 +86,18 @@ def explode_blocks(pages):
                     F.col("_b.Geometry.BoundingBox").alias("box")))
 
 
-def read_ocr_pages(spark, path):
-    return explode_blocks(read_response_pages(spark, path))
+def read_ocr_pages(spark, path, lines=False):
+    return explode_blocks(read_response_pages(spark, path, lines))
 
 
-def read_layout_results(spark, path):
-    """Layout results, one row per document, for :func:`operators.layout.flatten_layout`."""
-    return (spark.read.schema(LAYOUT_RESULT).option("recursiveFileLookup", "true").json(path))
+def read_layout_results(spark, path, lines=False):
+    """Layout results, one row per document, for :func:`operators.layout.flatten_layout`.
+
+    An unreadable file is a document called like the file, without pages and with ``corrupt`` set.
+    """
+    results = json_records(spark, path, LAYOUT_RESULT, lines)
+    name = F.regexp_replace(F.substring_index("_file", "/", -1), r"\.json$", "")
+    return results.select(F.coalesce("doc_id", name).alias("doc_id"), "pages", "corrupt")
 
 
 def unified_boxes(words, lines):

@@ -26,11 +26,37 @@ def write_json(df, path, key="doc_id"):
     df.select(to_json_record(*df.columns).alias("value")).write.mode("overwrite").text(path)
 
 
-def export_text(df, path, name, text):
-    """One folder per document with its text file, for readers that expect loose files.
+def export_text(df, path, name, text, buckets=64):
+    """Whole texts as files with their exact characters: ``<bucket>/<name>.txt`` below ``path``.
 
-    The rows of a document already sit together, so each folder gets one file. Prefer
-    :func:`write_text` for many documents.
+    Names are dealt out over a fixed number of folders, whatever the number of documents.
     """
-    df.select(F.col(name).alias("document"), F.col(text).alias("value")) \
-        .write.mode("overwrite").partitionBy("document").text(path)
+    folder = F.concat(F.lit("part-"), F.pmod(F.xxhash64(F.col(name)), F.lit(buckets)).cast("string"))
+    rows = df.select(F.concat_ws("/", folder, F.col(name).cast("string")).alias("name"), F.col(text).alias("text"))
+    write_files(rows, path, "name", "text", ".txt", nested=False)
+
+
+def write_files(df, path, name, text, ending, nested=True):
+    """One file per row, written in the task that holds it: ``<name>/<name><ending>`` or ``<name><ending>``.
+
+    A file appears under its name only when it is whole, so a task that is run again replaces it.
+    """
+    rows = df.select(F.col(name).cast("string").alias("name"), F.col(text).alias("text"))
+
+    def write(batches):
+        import os
+        import uuid
+
+        from pyarrow import fs
+        store, root = fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else os.path.abspath(path))
+        for batch in batches:
+            for key, value in zip(batch["name"], batch["text"]):
+                target = f"{root}/{key}/{key}{ending}" if nested else f"{root}/{key}{ending}"
+                store.create_dir(target.rpartition("/")[0], recursive=True)
+                temporary = f"{target}.{uuid.uuid4().hex}"
+                with store.open_output_stream(temporary, compression=None) as stream:
+                    stream.write(value.encode())
+                store.move(temporary, target)
+            yield batch[["name"]]
+
+    rows.mapInPandas(write, "name string").write.format("noop").mode("overwrite").save()

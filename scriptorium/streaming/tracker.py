@@ -17,8 +17,10 @@ def track_jobs(stream, max_retries=MAX_RETRIES, deadline_seconds=MAX_RETRIES * D
     """Stream of (job_id, outcome, polls) from a stream of (job_id, event_id, ts, status).
 
     A job ends at its first terminal status, after ``max_retries`` polls, or
-    ``deadline_seconds`` of event time after its first poll (``None``: no deadline). Events of
-    one micro-batch count in the order of (ts, event_id); later events of an ended job are ignored.
+    ``deadline_seconds`` of event time after its first poll, also where the late poll comes in the same
+    micro-batch (``None``: no deadline; then ended jobs are remembered for good). Events of one
+    micro-batch count in the order of (ts, event_id); later events of an ended job are ignored. If
+    events come in order, the outcome does not depend on how they fall into micro-batches.
     """
     events = stream.select("job_id", "event_id", F.col("ts").cast("timestamp").alias("ts"), "status")
     with_deadline = deadline_seconds is not None
@@ -47,9 +49,13 @@ def track_jobs(stream, max_retries=MAX_RETRIES, deadline_seconds=MAX_RETRIES * D
             polls = polls.nsmallest(max_retries - seen, _ORDER)
         outcome = None
         if polls is not None and not done:
-            if first_ms is None:
-                first_ms = int(polls["ts"].iloc[0].timestamp() * 1000)
-            for status in polls["status"]:
+            times = [int(ts.timestamp() * 1000) for ts in polls["ts"]]
+            # The first poll is the earliest one that has come, in whichever batch.
+            first_ms = times[0] if first_ms is None else min(first_ms, times[0])
+            for at, status in zip(times, polls["status"]):
+                if with_deadline and at > first_ms + deadline_seconds * 1000:
+                    outcome = TIMED_OUT
+                    break
                 seen += 1
                 if status in (SUCCEEDED, FAILED):
                     outcome = status
@@ -62,7 +68,7 @@ def track_jobs(stream, max_retries=MAX_RETRIES, deadline_seconds=MAX_RETRIES * D
         if with_deadline and first_ms is not None:
             # An ended job is remembered for one more deadline, then forgotten.
             ends = first_ms + deadline_seconds * 1000
-            state.setTimeoutTimestamp(max(ends, state.getCurrentWatermarkMs() + 1))
+            state.setTimeoutTimestamp(max(ends, state.getCurrentWatermarkMs()) + 1)
         if outcome:
             yield pd.DataFrame({"job_id": [key[0]], "outcome": [outcome], "polls": [seen]})
 

@@ -1,5 +1,10 @@
 import json
 
+import shutil
+import subprocess
+import sys
+from pathlib import Path
+
 from scriptorium.__main__ import options, run
 
 
@@ -42,3 +47,48 @@ def test_run_over_layouts(spark, tmp_path):
     assert spark.read.parquet(f"{out}/raw_text").first().raw_text == "x\ny"
     boxes = spark.read.json(f"{out}/coords_json").first().boxes
     assert [(b.page, b.text, b.polygon) for b in boxes] == [(1, "x", [1.0]), (1, "y", [])]
+
+
+def test_equal_names_hidden_and_broken_texts(spark, tmp_path):
+    """Every input file is one row of the status, whatever happens to it."""
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    for name, data in {"x/a.txt": b"one", "y/a.txt": b"two", "l.txt": b"\xff\xfe", "_h.txt": b"h", "d.tar.txt": b"d", "d.tar.TXT": b"D"}.items():
+        (source / name).parent.mkdir(parents=True, exist_ok=True)
+        (source / name).write_bytes(data)
+    summary = run(spark, options(["--texts", str(source), "--output", out, "--export-files"])).first()
+    status = {r.doc_id: r for r in spark.read.parquet(f"{out}/doc_status").collect()}
+    assert {k: (r.status, r.reason) for k, r in status.items()} == {
+        "x/a": ("SUCCEEDED", None), "y/a": ("SUCCEEDED", None), "l": ("FAILED", "not_utf8"),
+        "_h": ("FAILED", "hidden_name"), "d.tar": ("SUCCEEDED", None)}
+    assert (summary.n_files, summary.n_success, summary.n_failed) == (5, 3, 2)
+    raw = {r.doc_id: r.raw_text for r in spark.read.parquet(f"{out}/raw_text").collect()}
+    assert raw == {"x/a": "one", "y/a": "two", "d.tar": "d"}
+
+
+def test_failed_jobs_are_reported_with_their_reason(spark, tmp_path):
+    page = {"JobStatus": "FAILED", "StatusMessage": "too dark", "Blocks": []}
+    (tmp_path / "ocr" / "j").mkdir(parents=True)
+    (tmp_path / "ocr" / "j" / "1").write_text(json.dumps(page))
+    out = str(tmp_path / "out")
+    summary = run(spark, options(["--responses", str(tmp_path / "ocr"), "--output", out])).first()
+    row = spark.read.parquet(f"{out}/doc_status").first()
+    assert (row.status, row.reason, row.raw_path) == ("FAILED", "too dark", None) and summary.n_failed == 1
+
+
+def test_exported_files_are_those_of_the_status(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.txt").write_text("7\nhello")
+    out = str(tmp_path / "out")
+    run(spark, options(["--texts", str(tmp_path / "in"), "--output", out, "--export-files"]))
+    row = spark.read.parquet(f"{out}/doc_status").first()
+    assert Path(row.raw_path).read_text() == "7\nhello"
+    assert json.loads(Path(row.combined_path).read_text())["letters"] == ["7\nhello"]
+
+
+def test_the_package_runs_from_a_zip(tmp_path):
+    root = Path(__file__).resolve().parents[1]
+    shutil.make_archive(str(tmp_path / "scriptorium"), "zip", root, "scriptorium")
+    code = ("import sys; sys.path.insert(0, sys.argv[1]); import scriptorium.__main__; "
+            "from scriptorium.sources.documents import packaged_prompts; print(len(packaged_prompts()), scriptorium.__file__)")
+    done = subprocess.run([sys.executable, "-c", code, str(tmp_path / "scriptorium.zip")], cwd=tmp_path, capture_output=True, text=True)
+    assert done.stdout.startswith("4 ") and "scriptorium.zip" in done.stdout, done.stderr

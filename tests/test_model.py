@@ -144,7 +144,9 @@ def test_document_run_with_a_model(spark, tmp_path):
     assert not any(doc == 3 for doc, *_ in explained)
     status = {r.doc_id: r for r in tables["doc_status"].collect()}
     assert status[5].status == "FAILED" and status[5].reason == "timeout" and status[5].raw_path is None
-    assert status[2].corrected_path is None and status[2].raw_path == "output/2/2.raw.txt"
+    assert status[2].corrected_path is None and status[2].raw_path == "output/raw_text"
+    assert (status[2].status, status[2].reason) == ("FAILED", "failed: correct_text")
+    assert status[3].reason == "failed: split_letters"
     assert status[4].reason == "no_text" and status[4].n_letters == 0
     write_document_run(tables, str(tmp_path / "out"))
     write_json_records(tables, str(tmp_path / "out"))
@@ -173,3 +175,35 @@ def test_failed_split_has_no_letters(spark):
     got = {r.doc_id: (r.letters, r.letter_status) for r in
            split_with_model(texts, Model(scripted, read_prompts(spark))).collect()}
     assert got == {1: ([], "failed"), 2: ([], "parsed")}
+
+
+def failing():
+    def call(task, system, user):
+        raise RuntimeError("down")
+    return call
+
+
+def test_status_has_every_document_once(spark):
+    """Repeated names, failed jobs, a model that is down, documents without lines, and no documents."""
+    files = spark.createDataFrame([(1,), (1,), (2,), (3,)], "doc_id int")
+    lines = spark.createDataFrame([(1, 1, 0, "x"), (9, 1, 0, "y")], "doc_id int, page int, line_no int, text string")
+    jobs = spark.createDataFrame([(2, "FAILED", "too dark"), (8, "FAILED", None)], "doc_id int, outcome string, reason string")
+    tables = document_run(files, lines, jobs=jobs, model=Model(failing, read_prompts(spark)))
+    status = {r.doc_id: (r.status, r.reason) for r in tables["doc_status"].collect()}
+    broken = "failed: correct_text, extract_entities, split_letters"
+    assert tables["doc_status"].count() == 3
+    assert status == {1: ("FAILED", broken), 2: ("FAILED", "too dark"), 3: ("FAILED", broken)}
+    assert document_run(files.limit(0), lines, model=Model(failing, read_prompts(spark)))["doc_status"].count() == 0
+
+
+def test_a_task_without_a_prompt_is_an_error(spark):
+    prompts = read_prompts(spark).where("task <> 'split_letters'")
+    texts = spark.createDataFrame([(1, "a")], "doc_id int, text string")
+    with pytest.raises(Exception, match="no prompt for task split_letters"):
+        split_with_model(texts, Model("echo", prompts)).collect()
+
+
+def test_the_greatest_of_several_prompts_counts(spark):
+    prompts = spark.createDataFrame([("correct_text", "a"), ("correct_text", "b")], "task string, prompt string")
+    rows = spark.createDataFrame([("correct_text",)], "task string")
+    assert [r.prompt for r in model.attach_prompt(rows, prompts).collect()] == ["b"]

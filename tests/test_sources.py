@@ -86,7 +86,34 @@ def test_sinks(spark, tmp_path):
     assert sorted(lines) == ['{"doc_id":"a","text":"é\\n1","n":null}', '{"doc_id":"b","text":"","n":2}']
     sinks.export_text(df, str(tmp_path / "x"), "doc_id", "text")
     got = documents.read_text(spark, str(tmp_path / "x"), recursive=True)
-    assert sorted(r.text for r in got.collect()) == ["\n", "é\n1\n"]
+    assert sorted((r.name, r.text) for r in got.collect()) == [("a.txt", "é\n1"), ("b.txt", "")]
+
+
+def test_nothing_unreadable_is_dropped(spark, tmp_path):
+    page = lambda status="SUCCEEDED", **more: {"JobStatus": status, "Blocks": [block("LINE", "x")], **more}
+    files = {"pretty/1": json.dumps(page(), indent=2), "broken/1": '{"JobStatus": "SUCC', "empty/1": "", "open/1": json.dumps(page(NextToken="2")),
+             "hole/1": json.dumps(page(NextToken="2")), "hole/3": json.dumps(page()), "bad/1": json.dumps(page("FAILED", StatusMessage="too dark")),
+             "two/1": json.dumps(page(NextToken="2")), "two/2": json.dumps(page()), "text/1": '"a string"'}
+    for name, text in files.items():
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text(text)
+    pages = ocr.read_response_pages(spark, str(tmp_path))
+    assert {r.job_id for r in pages.collect()} == {n.split("/")[0] for n in files}
+    assert {r.job_id: r.reason for r in ocr.incomplete_jobs(pages).collect()} == {
+        "broken": "unreadable_page", "empty": "unreadable_page", "text": "unreadable_page",
+        "open": "incomplete_pages", "hole": "incomplete_pages", "bad": "too dark"}
+    assert {r.job_id for r in layout.assemble_pages(pages).where("raw_text = 'x'").collect()} >= {"pretty", "two"} - {"two"}
+    (tmp_path / "lines").mkdir()
+    (tmp_path / "lines" / "part.json").write_text('{"job_id":"a","page_ord":1}\n{"job_id":"b"\n\n{"job_id":"c","page_ord":1}\n')
+    for lines in (True, False):
+        rows = ocr.read_response_pages(spark, str(tmp_path / "lines"), lines).collect()
+        assert [r.job_id for r in rows if not r.corrupt] == ["a", "c"] and sum(r.corrupt for r in rows) >= 1
+
+
+def test_hidden_names_are_reported(spark, tmp_path):
+    for name in ("a.jpg", "_a.png", ".h.png", "._b.png", "_notes.md"):
+        (tmp_path / name).write_bytes(b"1")
+    assert sorted(r.name for r in documents.hidden_files(spark, str(tmp_path)).collect()) == [".h.png", "_a.png"]
 
 
 def test_work_dir_is_never_local_on_a_cluster():

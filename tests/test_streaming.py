@@ -1,7 +1,8 @@
+import pytest
 from pyspark.sql import functions as F
 
 from scriptorium.operators.status import first_terminal_status
-from scriptorium.streaming.incremental import incremental_run
+from scriptorium.streaming.incremental import current, incremental_run
 from scriptorium.streaming.tracker import track_jobs
 
 
@@ -96,6 +97,26 @@ def test_deadline_ends_silent_jobs(spark, tmp_path):
     assert ("last", "SUCCEEDED", 1) in got
 
 
+@pytest.mark.parametrize("cuts", [[], [1], [2], [1, 2], [1, 2, 3]])
+def test_outcome_does_not_depend_on_the_micro_batches(spark, tmp_path, cuts):
+    wait = "IN_PROGRESS"
+    events = [("slow", 1, 0, wait), ("good", 2, 10, wait), ("good", 3, 500, "SUCCEEDED"), ("slow", 4, 720, "SUCCEEDED")]
+    steps = [events[a:b] for a, b in zip([0, *cuts], [*cuts, len(events)])]
+    got = play(spark, tmp_path, steps, max_retries=5, deadline_seconds=600, watermark="1 hour")
+    assert got == [("good", "SUCCEEDED", 2), ("slow", "TIMED_OUT", 1)]
+    rows = spark.createDataFrame(events, "job_id string, event_id bigint, second bigint, status string").withColumn(
+        "ts", F.timestamp_seconds("second"))
+    batch = first_terminal_status(rows, max_retries=5, deadline_seconds=600)
+    assert sorted(map(tuple, batch.collect())) == got
+
+
+def test_last_arrival_counts(spark, tmp_path):
+    for batch, rows in enumerate([[("a", 1), ("a", 2), ("b", 1)], [("a", 9)]]):
+        spark.createDataFrame(rows, "doc_id string, n int").write.parquet(str(tmp_path / f"t/batch_id={batch}"))
+    got = current(spark, str(tmp_path / "t"), "doc_id").collect()
+    assert sorted((r.doc_id, r.n) for r in got) == [("a", 9), ("b", 1)]
+
+
 def test_events_after_the_deadline_are_ignored(spark, tmp_path):
     wait = "IN_PROGRESS"
     got = play(spark, tmp_path, [
