@@ -88,9 +88,11 @@ def _leading_axes(matrix, n):
 def _terms_of(batches):
     for batch in batches:
         parts = [term_rows(chunk) for chunk in chunks(batch.column(1))]
-        rows = np.concatenate(parts) if parts else np.zeros((0, TERMS), np.float32)
+        places = [np.flatnonzero(row).astype(np.uint16) for part in parts for row in part]
+        weights = [row[at].tobytes() for row, at in zip((row for part in parts for row in part), places)]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array([r.tobytes() for r in rows], pa.binary())], ["label", "terms"])
+            [batch.column(0), pa.array([at.tobytes() for at in places], pa.binary()), pa.array(weights, pa.binary())],
+            ["label", "places", "weights"])
 
 
 def fit_quality(docs, labels, key="doc_id", text="text", label="quality", sample_rows=SAMPLE_ROWS, dimensions=DIMENSIONS):
@@ -111,13 +113,19 @@ def fit_quality(docs, labels, key="doc_id", text="text", label="quality", sample
     table = spark.createDataFrame(list(known.items()), f"key {docs.schema[key].dataType.simpleString()}, label double")
     sample = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(
         F.broadcast(table), "key").select("label", "text")
-    rows = sorted((r.label, bytes(r.terms)) for r in sample.mapInArrow(_terms_of, "label double, terms binary").collect())
-    y = np.array([r[0] for r in rows])
-    terms = np.frombuffer(b"".join(r[1] for r in rows), np.float32).reshape(len(rows), TERMS)
+    # Only the terms that occur come to the driver; there is one dense matrix, changed in place.
+    rows = sample.mapInArrow(_terms_of, "label double, places binary, weights binary").collect()
+    rows.sort(key=lambda r: (r.label, bytes(r.places), bytes(r.weights)))
+    y, terms = np.array([r.label for r in rows]), np.zeros((len(rows), TERMS), np.float32)
+    for row, r in zip(terms, rows):
+        row[np.frombuffer(r.places, np.uint16)] = np.frombuffer(r.weights, np.float32)
+    del rows
     mean = terms.mean(axis=0)
-    scale = 1 / ((terms - mean).std(axis=0) + _COMMON)
-    axes = scale[:, None] * _leading_axes((terms - mean) * scale, dimensions)
-    return Model(mean, axes, _unit((terms - mean) @ axes).astype(np.float32), y, float(y.mean()))
+    terms -= mean
+    scale = (1 / (np.sqrt(np.einsum("ij,ij->j", terms, terms) / len(terms)) + _COMMON)).astype(np.float32)
+    terms *= scale
+    axes = _leading_axes(terms, dimensions)
+    return Model(mean, scale[:, None] * axes, _unit(terms @ axes).astype(np.float32), y, float(y.mean()))
 
 
 def vote(model, terms, neighbours=NEIGHBOURS):

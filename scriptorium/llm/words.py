@@ -38,12 +38,15 @@ def powers(base, n):
     return np.cumprod(out, dtype=np.uint64)
 
 
-_POWERS = [powers(_BASE, CHUNK_BYTES + 4096), powers(pow(_BASE, -1, 1 << 64), CHUNK_BYTES + 4096)]
+_POWERS = []
 
 
 def _powers(n):
-    if n > len(_POWERS[0]):
+    """Powers of the base and of its inverse; those for a usual chunk are kept by a task's process."""
+    if n < 4096 or n > CHUNK_BYTES + 4096:
         return powers(_BASE, n), powers(pow(_BASE, -1, 1 << 64), n)
+    if not _POWERS:
+        _POWERS.extend(powers(b, CHUNK_BYTES + 4096) for b in (_BASE, pow(_BASE, -1, 1 << 64)))
     return _POWERS[0][:n], _POWERS[1][:n]
 
 
