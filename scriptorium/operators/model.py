@@ -7,6 +7,8 @@ from concurrent.futures import ThreadPoolExecutor
 import pandas as pd
 from pyspark.sql import functions as F
 
+from scriptorium.session import cut_lineage
+
 # Task names, request layouts and the texts around a document.
 TASKS = ("correct_text", "extract_entities", "explain_entities", "split_letters")
 LAYOUTS = ("system_and_user", "single_user")
@@ -72,6 +74,15 @@ def render_prompt(df, layout="system_and_user", model="echo"):
         "request_id", F.sha2(F.concat_ws("\u0001", "model", "task", "system", "user"), 256))
 
 
+def _once(requests):
+    """Every request once. Only ids are counted over a shuffle; prompts and texts move for those
+    that do occur several times, and for no other as long as the repeated ids are few."""
+    repeated = cut_lineage(requests.groupBy("request_id").count().where("count > 1").select("request_id"), "repeated")
+    single = requests.join(repeated, "request_id", "left_anti")
+    return single.unionByName(
+        requests.join(repeated, "request_id", "left_semi").dropDuplicates(["request_id"]))
+
+
 def apply_model(requests, backend, parallelism=None, attempts=1, known=None, threads=1):
     """Send every distinct request once: rows (request_id, response, error, attempt).
 
@@ -81,7 +92,7 @@ def apply_model(requests, backend, parallelism=None, attempts=1, known=None, thr
     ``known`` are not sent again. Rows stream through in Arrow batches.
     """
     factory = _BACKENDS[backend] if isinstance(backend, str) else backend
-    todo = requests.select("request_id", "task", "system", "user").dropDuplicates(["request_id"])
+    todo = _once(requests.select("request_id", "task", "system", "user"))
     if known is not None:
         todo = todo.join(known.where(F.col("error").isNull()).select("request_id"),
                          "request_id", "left_anti")
