@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from scriptorium.session import cut_lineage
+
 # The letters that are lower-cased in a host.
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ALLOW, BLOCK = "allow", "block"
@@ -50,13 +52,14 @@ def filter_urls(urls, rules, keys=("page_id",), url="url", default=ALLOW):
     splits or broadcasts by the sizes that it sees.
     """
     rules = rules.select(lower_ascii(F.col("host")).alias("host"), "path", "verdict").dropna()
-    known = rules.groupBy("host", "path").agg(
+    # Written first: Spark then plans the join with the true size of the rules.
+    known = cut_lineage(rules.groupBy("host", "path").agg(
         F.max((F.col("verdict") == BLOCK).cast("int")).alias("is_block")).select(
         _digest(F.col("host"), F.col("path")).alias("rule_digest"),
         F.struct(F.length(F.concat("host", "path")).alias("length"),
                  F.length("host").alias("host_length"), "is_block",
                  F.concat("host", "path").alias("rule")).alias("rule")).withColumn(
-        "prefix", F.substring("rule_digest", 1, PREFIX_DIGITS))
+        "prefix", F.substring("rule_digest", 1, PREFIX_DIGITS)), "rules")
     host, path = F.col("host"), F.col("path")
     hosts = F.transform(
         F.filter(_lengths(rules, "host"), lambda n: (n == F.length(host)) | (
