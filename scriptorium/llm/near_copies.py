@@ -26,7 +26,7 @@ SHINGLE = 5
 THRESHOLD = 0.8
 TREES, DEPTH = 16, 6
 RECALL = 0.998
-BLOCK_TEXTS = 2048
+BLOCK_TEXTS = 1024
 _COLUMNS = 4096  # of a block's shingle matrix that are multiplied at once
 _KEY_BASE = 0xA0761D6478BD642F
 
