@@ -138,15 +138,18 @@ def decontaminate(docs, benchmark, key="doc_id", text="text", item="item_id", it
     id are ignored; repeated rows stay repeated; other columns are ignored.
 
     The documents are scanned once with a filter of fixed size in each task; only marks that pass it
-    are joined. One item list per distinct window keeps a passage that many items share small.
+    are joined. A passage that many items share has one item list, which is joined once per document.
     """
     spark = docs.sparkSession
     items = cut_lineage(benchmark.select(F.col(item).cast("string").alias("item_id"),
                                          F.col(item_text).alias("text")).mapInArrow(
         _item_rows, "item_id string, size int, mark bigint, window string"), "items")
     marks = items.where("mark is not null").select("size", "mark").distinct()
-    windows = cut_lineage(items.where("window is not null").groupBy("window").agg(
-        F.array_sort(F.collect_set("item_id")).alias("items")), "windows")
+    # Windows of one passage have one list of items: it is kept once, under its digest.
+    listed = cut_lineage(items.where("window is not null").groupBy("window").agg(
+        F.array_sort(F.collect_set("item_id")).alias("items")).withColumn(
+        "held_by", F.sha2(F.to_json("items"), 256)), "windows")
+    windows, lists = listed.select("window", "held_by"), listed.select("held_by", "items").dropDuplicates(["held_by"])
     short = [r["size"] for r in marks.select("size").where(F.col("size") < WINDOW).distinct().collect()]
     bit = F.pmod(F.col("mark"), F.lit(FILTER_BITS))
     bitmap = marks.groupBy(F.floor(bit / _BUCKET_BITS).alias("bucket")).agg(
@@ -167,9 +170,11 @@ def decontaminate(docs, benchmark, key="doc_id", text="text", item="item_id", it
     again = rows.dropna(subset=["text"]).join(hits, same_row(rows, hits)).select(
         rows["doc_id"], rows["_h"], "text", "hits")
     met = again.mapInArrow(_windows, f"doc_id {kind}, _h bigint, place int, size int, window string").join(windows, "window")
-    found = met.groupBy("doc_id", "_h").agg(
-        _covered(F.collect_set(F.struct("place", "size"))).alias("n_hit"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
+    hit = met.groupBy("doc_id", "_h").agg(
+        _covered(F.collect_set(F.struct("place", "size"))).alias("n_hit"), F.collect_set("held_by").alias("held_by"))
+    found = hit.select("doc_id", "_h", "n_hit", F.explode("held_by").alias("held_by")).join(lists, "held_by").groupBy(
+        "doc_id", "_h").agg(F.max("n_hit").alias("n_hit"),
+                            F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
     none = F.array().cast("array<string>")
     return scanned.join(found, same_row(scanned, found), "left").select(
         scanned["doc_id"], scanned["_h"], "n_words", F.coalesce("n_hit", F.lit(0).cast("bigint")).alias("n_hit"),

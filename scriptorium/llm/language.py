@@ -13,6 +13,7 @@ from scriptorium.llm.rows import result_schema, with_text
 
 UNKNOWN = "und"
 DOCUMENTS_PER_LANGUAGE = 400
+MAX_LANGUAGES = 500
 DICTIONARY_BYTES = 48 << 10
 PIECE_BYTES = 1500
 BLOCK_BYTES = 16 << 10
@@ -32,12 +33,14 @@ def learn_dictionaries(training, text="text", lang="lang", key="doc_id", per_lan
 
     The sample is the ``per_language`` rows of each language with the smallest hash of their key, so
     reruns agree. Ids are chosen first; texts are read for chosen ids only. Rows without language,
-    text or key teach nothing.
+    text or key teach nothing. More than ``MAX_LANGUAGES`` languages are an error.
     """
     rows = training.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(key).isNotNull())
     order = Window.partitionBy("lang").orderBy("h", "key")
     chosen = rows.select(F.col(key).alias("key"), F.col(lang).alias("lang"), F.xxhash64(F.col(key)).alias("h")).withColumn(
         "n", F.row_number().over(order)).where(F.col("n") <= per_language)
+    if len(rows.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect()) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
     ids = [r.key for r in chosen.select("key").distinct().collect()]
     texts = rows.where(F.col(key).isin(ids)).select(
         F.col(lang).alias("lang"), F.substring(text, 1, 4 * PIECE_BYTES).alias("text"), F.xxhash64(F.col(key)).alias("h"))

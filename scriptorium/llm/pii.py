@@ -57,9 +57,9 @@ _ALIKE_CHARS = frozenset(map(chr, _ALIKE))
 _WORD = "(?:" + "|".join(_DIGITS) + ")"
 _OPEN, _CLOSE = r"[ \t]{0,2}[(\[{<][ \t]?", r"[ \t]?[)\]}>][ \t]{0,2}"
 _TOKENS = re.compile(
-    rf"(?P<none>[​-‍⁠﻿­]+)|(?P<at>{_OPEN}(?:at|@){_CLOSE}"
+    rf"(?P<none>[​-‍⁠﻿­]+)|(?P<at>{_OPEN}(?:at|@){_CLOSE}|&(?:#0*64|#x0*40|commat);"
     rf"|(?<=[a-z0-9])[ \t]{{1,3}}at[ \t]{{1,3}}(?=[a-z0-9-]{{1,63}}(?:[ \t]{{1,3}}dot[ \t]{{1,3}}[a-z0-9-]{{1,63}})))"
-    rf"|(?P<dot>{_OPEN}(?:dot|\.){_CLOSE}|(?<=[a-z0-9])[ \t]{{1,3}}dot[ \t]{{1,3}}(?=[a-z0-9]))"
+    rf"|(?P<dot>{_OPEN}(?:dot|\.){_CLOSE}|&(?:#0*46|#x0*2e|period);|(?<=[a-z0-9])[ \t]{{1,3}}dot[ \t]{{1,3}}(?=[a-z0-9]))"
     rf"|(?P<plus>\bplus[ \t]{{1,2}}(?={_WORD}\b))"
     rf"|(?P<digits>\b{_WORD}(?:[ \t-]{{1,2}}{_WORD})*\b)", re.IGNORECASE | re.ASCII)
 _A_WORD = re.compile(_WORD, re.IGNORECASE)
@@ -119,14 +119,14 @@ _HIDDEN = "​‌‍⁠﻿­"
 _FIRST = np.zeros(256, bool)
 _FIRST[[c.encode()[0] for c in {*_ALIKE_CHARS, *_HIDDEN}]] = True
 _OPENING, _OPENED = np.zeros(256, bool), np.zeros(256, bool)
-_OPENING[list(b"([{<")] = _OPENED[list(b"aA@dD. \t")] = True
+_OPENING[list(b"([{<&")] = _OPENED[list(b"aA@dD. \t#cCpP")] = True
 
 
 def may_be_disguised(chunk):
     """For each text of a chunk, whether a transducer could change it; never false where one does.
 
-    That is: a character of the tables, an opening bracket before what may be at or dot, the word dot,
-    or a digit word beside another one, a number, plus or dot.
+    That is: a character of the tables, a bracket or ampersand before what may be at or dot, the word
+    dot, or a digit word beside another one, a number, plus or dot.
     """
     _, _, data, bounds, starts, _, hashes, firsts = chunk
     n = len(bounds) - 1
