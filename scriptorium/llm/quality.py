@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from scriptorium.llm.rows import result_schema, with_text
-from scriptorium.llm.words import chunks, column_bytes
+from scriptorium.llm.words import CHUNK_BYTES, chunks, column_bytes
 
 SAMPLE_ROWS = 4096
 DIMENSIONS = 32
@@ -25,7 +25,7 @@ SHARPNESS = 8
 _COMMON = 0.1
 WORD_SLOTS = 1024
 # Kinds of bytes: lower case, upper case, digits, beyond ASCII, other controls, then each ASCII sign by itself.
-_KIND = np.full(256, 4, np.int64)
+_KIND = np.full(256, 4, np.int16)
 _SIGNS = [b for b in range(256) if b in (9, 10) or 32 <= b < 127 and not chr(b).isalnum()]
 _KIND[97:123], _KIND[65:91], _KIND[48:58], _KIND[128:] = 0, 1, 2, 3
 _KIND[_SIGNS] = np.arange(5, 5 + len(_SIGNS))
@@ -36,8 +36,12 @@ TERMS = _PAIRS + WORD_SLOTS + _REPEATS
 
 
 def _rates(slots, texts, width, n_texts):
-    """Square roots of the shares that the slots have in each text."""
-    counts = np.bincount(texts * width + slots, minlength=n_texts * width).reshape(n_texts, width).astype(np.float32)
+    """Square roots of the shares that the slots have in each text; a long text is counted in parts."""
+    counts = np.zeros(n_texts * width, np.int64)
+    for at in range(0, len(slots), CHUNK_BYTES):
+        part = slice(at, at + CHUNK_BYTES)
+        counts += np.bincount(texts[part].astype(np.int64) * width + slots[part], minlength=n_texts * width)
+    counts = counts.reshape(n_texts, width).astype(np.float32)
     return np.sqrt(counts / np.maximum(counts.sum(axis=1, keepdims=True), 1))
 
 
@@ -45,10 +49,10 @@ def term_rows(chunk):
     """Term weights before learning, one row per text of a chunk of texts."""
     _, _, data, bounds, _, _, hashes, firsts = chunk
     n = len(bounds) - 1
-    text = np.repeat(np.arange(n), np.diff(bounds))
+    text = np.repeat(np.arange(n, dtype=np.int32), np.diff(bounds))
     kinds = _KIND[data]
     inside = text[:-1] == text[1:]
-    pairs = _rates((kinds[:-1] * _KINDS + kinds[1:])[inside], text[1:][inside], _PAIRS, n)
+    pairs = _rates((kinds[:-1] * np.int16(_KINDS) + kinds[1:])[inside], text[1:][inside], _PAIRS, n)
     owner, counts = np.repeat(np.arange(n), np.diff(firsts)), np.maximum(np.diff(firsts), 1)
     words = _rates((hashes % np.uint64(WORD_SLOTS)).astype(np.int64), owner, WORD_SLOTS, n)
     repeats = np.zeros((n, _REPEATS), np.float32)
