@@ -236,12 +236,14 @@ def nearest_neighbours(vectors, is_query, k=5, key="vec_id", vector="embedding",
     # The upper tree.
     n_classes = classes.count()
     gaussian = directions(dimension)
-    sample = classes.orderBy(F.xxhash64("class_id"), "class_id").select("vector").limit(sample_rows).collect()
-    points = _unit(np.array([r.vector for r in sample], float).reshape(-1, dimension)) @ gaussian
+    placed_schema = "class_id bigint, vector array<double>, leaf int, point array<double>"
+    sample = classes.orderBy(F.xxhash64("class_id"), "class_id").limit(sample_rows).select("class_id", "vector")
+    points = np.array([r.point for r in sample.mapInArrow(_place(0, gaussian, dimension), placed_schema).select("point").collect()],
+                      float).reshape(-1, PROJECTIONS)
     wanted = min(MAX_LEAVES, max(1, len(points) // 8), -(-n_classes // block_rows))
     tree, _ = split_tree(points, wanted)
     placed = cut_lineage(classes.select("class_id", "vector").mapInArrow(
-        _place(tree, gaussian, dimension), "class_id bigint, vector array<double>, leaf int, point array<double>"), "placed")
+        _place(tree, gaussian, dimension), placed_schema), "placed")
     corners = [f(F.col("point")[i]).alias(f"{name}{i}") for i in range(PROJECTIONS) for name, f in (("low", F.min), ("high", F.max))]
     # One row per leaf: at most MAX_LEAVES.
     leaves = placed.groupBy("leaf").agg(F.count("*").alias("n"), *corners).withColumn(
