@@ -74,8 +74,9 @@ def v_blocks(spark, sf_dir):
 
 def v_response_pages(spark, sf_dir):
     """Blocks as response pages, built inside the document rows: job_id, page_ord, response."""
+    # Building blocks costs far more than reading, so the pages are spread over tasks first.
     pages = v_layout(spark, sf_dir).select(
-        "doc_id", F.posexplode_outer("pages").alias("_pos", "_page"))
+        "doc_id", F.posexplode_outer("pages").alias("_pos", "_page")).repartition("doc_id", "_pos")
     box = lambda left, top, text: F.struct(F.struct(
         left.cast("double").alias("Left"), top.cast("double").alias("Top"),
         F.length(text).cast("double").alias("Width"), F.lit(1.0).alias("Height"))
