@@ -13,6 +13,8 @@
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
@@ -108,22 +110,26 @@ def _labels(trees, depth, used):
 
 
 def linked(sets_a, sets_b, threshold=THRESHOLD):
-    """Which texts of one list are linked with which of another, from their exact shingle sets."""
-    sizes_a, sizes_b = (np.array([len(s) for s in sets], np.float64) for sets in (sets_a, sets_b))
+    """Which texts of one list are linked with which of another, from their exact shingle sets.
+
+    Whole numbers decide, so a similarity of exactly the threshold as it is written counts as linked.
+    """
+    ratio = Fraction(str(threshold))
+    sizes_a, sizes_b = (np.array([len(s) for s in sets], np.int64) for sets in (sets_a, sets_b))
     values, column = np.unique(np.concatenate([*sets_a, *sets_b]), return_inverse=True)
-    row = np.repeat(np.arange(len(sets_a) + len(sets_b)), np.concatenate((sizes_a, sizes_b)).astype(int))
+    row = np.repeat(np.arange(len(sets_a) + len(sets_b)), np.concatenate((sizes_a, sizes_b)))
     shared = np.bincount(column, minlength=len(values)) > 1
     keep = shared[column]
     column, row = (np.cumsum(shared) - 1)[column[keep]], row[keep]
     order = np.argsort(column, kind="stable")
     column, row = column[order], row[order]
-    common = np.zeros((len(sets_a), len(sets_b)), np.float32)
+    common = np.zeros((len(sets_a), len(sets_b)), np.int64)
     for start in range(0, int(shared.sum()), _COLUMNS):
         a, b = np.searchsorted(column, (start, start + _COLUMNS))
         matrix = np.zeros((len(sets_a) + len(sets_b), min(_COLUMNS, int(shared.sum()) - start)), np.float32)
         matrix[row[a:b], column[a:b] - start] = 1
-        common += matrix[:len(sets_a)] @ matrix[len(sets_a):].T
-    return (1 + threshold) * common >= threshold * (sizes_a[:, None] + sizes_b[None, :]) - 1e-6
+        common += (matrix[:len(sets_a)] @ matrix[len(sets_a):].T).astype(np.int64)
+    return ratio.denominator * common >= ratio.numerator * (sizes_a[:, None] + sizes_b[None, :] - common)
 
 
 def _forest(links, keys_a, keys_b):

@@ -298,6 +298,21 @@ def test_near_copies_are_those_of_all_pairs(spark, copies, block_texts):
     assert set(classes) == {r.class_id for r in found}
 
 
+def test_pairs_at_the_threshold_are_linked():
+    for k in [*range(1, 400), 99_999]:  # 4k shared shingles of 5k: exactly 0.8
+        short, long = np.arange(4 * k, dtype=np.uint64), np.arange(5 * k, dtype=np.uint64)
+        assert near_copies.linked([short], [long]).all() and near_copies.linked([long], [short]).all(), k
+        assert not near_copies.linked([short[:-1]], [long]).any(), k
+
+
+def test_documents_at_the_threshold_are_linked(spark):
+    text = [f"w{i}" for i in range(34)]
+    rows = [(1, " ".join(text[:16])), (2, " ".join(text[:19])), (3, " ".join(text[5:33])), (4, " ".join(text[5:] + ["a", "b", "c", "d", "e"]))]
+    found = near_copies.near_copies(documents(spark, rows)).collect()
+    assert Counter((r.doc_id, r.class_id, r.n_links) for r in found) == brute_classes(rows)
+    assert {r.doc_id: r.n_links for r in found} == {1: 1, 2: 1, 3: 1, 4: 1}
+
+
 def test_no_documents(spark):
     assert near_copies.near_copies(documents(spark, [])).count() == 0
     got = near_copies.near_copies(documents(spark, EDGES[:3])).collect()
