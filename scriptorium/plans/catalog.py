@@ -373,7 +373,7 @@ def i1_correct_text(spark, sf_dir):
     pairs = derived.v_pairs(spark, sf_dir).select(
         "doc_id", F.replace("raw", F.lit(" and "), F.lit(" and")).alias("raw"), "target")
     # Written first: the join is then planned with the true size of the lexicon.
-    lexicon = cut_lineage(correct.paired_lexicon(pairs, "raw", "target"), "lexicon")
+    lexicon = cut_lineage(correct.line_lexicon(pairs, "raw", "target"), "lexicon")
     return correct.correct_text(pairs.select("doc_id", "raw"), lexicon, text="raw").select(
         "doc_id", "corrected_text")
 
@@ -405,7 +405,7 @@ def _run(spark, sf_dir):
     misread = F.replace("body", F.lit("th"), F.lit("tb"))
     lines = bodies.select("doc_id", F.posexplode(split_lines(misread)).alias("line_no", "text"))
     turns = derived.table(spark, sf_dir, "conversations")
-    lexicon = cut_lineage(correct.paired_lexicon(
+    lexicon = cut_lineage(correct.line_lexicon(
         turns.select(F.replace("text", F.lit("th"), F.lit("tb")).alias("raw"),
                      F.col("text").alias("corrected"))), "lexicon")
     conversations = turns.groupBy(F.col("conv_id").alias("doc_id")).agg(

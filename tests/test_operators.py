@@ -5,6 +5,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from scriptorium.functions import alignment
 from scriptorium.functions.replies import CATEGORIES
 from scriptorium.operators import (
     correct, entities, evaluate, layout, letters, numbering, status)
@@ -188,6 +189,38 @@ def test_paired_lexicon(spark):
     assert rows(correct.paired_lexicon(df)) == [("Tbe", "The"), ("tbat", "that")]
 
 
+def test_paired_lexicon_aligns_inside_lines_and_over_lost_line_ends(spark):
+    df = spark.createDataFrame([
+        ("a cat andtbe dog saw tbat bird", "a cat and the dog saw that bird"),
+        ("one tbing more\nand two\nwitb four words bere", "one thing\nmore and two with\nfour words here"),
+        ("tbis is it all", None)], "raw string, corrected string")
+    assert rows(correct.paired_lexicon(df)) == [("bere", "here"), ("tbat", "that"), ("tbing", "thing"), ("witb", "with")]
+    assert [r.n for r in df.select(correct.unaligned_words().alias("n")).collect()] == [1, 0, None]
+
+
+def test_anchors_are_a_longest_common_subsequence():
+    rng = random.Random(5)
+    for _ in range(200):
+        a, b = ([rng.choice("abcde") for _ in range(rng.randrange(12))] for _ in range(2))
+        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
+        found = alignment.common_words(a, b)
+        assert len(found) == best[-1][-1] and all(a[i] == b[j] for i, j in found)
+        assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(found, found[1:]))
+
+
+def test_long_texts_are_aligned_over_windows():
+    rng = random.Random(6)
+    words = [rng.choice("the of and to in is was for with that this thing".split()) for _ in range(9000)]
+    raw = " ".join(words).replace("th", "tb").replace(" and ", " and")
+    pairs, left = alignment.paired_words(raw, " ".join(words))
+    # In so few words the joined ones stand close together, yet no pair is false and most words are paired.
+    assert all(x.replace("tb", "th") == y for x, y in pairs) and left < len(words) // 2
+    assert {x for x, _ in pairs} == {"tbe", "witb", "tbat", "tbis", "tbing"}
+
+
 def test_corpus_lexicon_is_brute_force(spark):
     rng = random.Random(5)
     vocabulary = ["".join(rng.choice("abé") for _ in range(rng.randint(1, 6))) for _ in range(300)]
