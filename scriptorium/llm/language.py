@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import random
 import re
 
 import pyarrow as pa
@@ -16,6 +17,7 @@ DOCUMENTS_PER_LANGUAGE = 400
 MAX_LANGUAGES = 500
 DICTIONARY_BYTES = 48 << 10
 PIECE_BYTES = 1500
+RUN_CHARACTERS = 60
 BLOCK_BYTES = 16 << 10
 LEVEL = 6
 MARGIN = 0.01
@@ -27,12 +29,44 @@ def letters_only(text):
     return _BREAK.sub(" ", text.lower()).strip()
 
 
+def sample_of(text, seed, size=PIECE_BYTES):
+    """At most ``size`` bytes of the letters of a whole text: runs from all over it, in an order by chance."""
+    letters = letters_only(text)
+    starts = list(range(0, len(letters), RUN_CHARACTERS))
+    random.Random(seed).shuffle(starts)
+    runs, left = [], size
+    for start in starts:
+        runs.append(letters[start:start + RUN_CHARACTERS].strip().encode()[:left])
+        left -= len(runs[-1]) + 1
+        if left <= 0:
+            break
+    return b" ".join(runs)
+
+
+def _samples(batches):
+    for batch in batches:
+        texts, seeds = batch.column(2), batch.column(1).to_pylist()
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(
+            [sample_of(value.as_py(), seed) for value, seed in zip(texts, seeds)], pa.binary())], ["lang", "h", "piece"])
+
+
+def shared_out(pieces, total):
+    """The pieces, cut such that they fill ``total`` bytes: all have the same bytes but for shorter ones."""
+    cut, left = list(pieces), total
+    order = sorted(range(len(cut)), key=lambda i: len(cut[i]))
+    for done, i in enumerate(order):
+        cut[i] = cut[i][:max(0, left // (len(cut) - done) - 1)]
+        left -= len(cut[i]) + 1
+    return b" ".join(p for p in cut if p)
+
+
 def learn_dictionaries(training, text="text", lang="lang", key="doc_id", per_language=DOCUMENTS_PER_LANGUAGE,
                        dictionary_bytes=DICTIONARY_BYTES):
     """{language: bytes}: raw-content dictionaries from a bounded sample of labelled rows.
 
     The sample is the ``per_language`` rows of each language with the smallest hash of their key, so
-    reruns agree. Ids are chosen first; texts are read for chosen ids only. Rows without language,
+    reruns agree. Ids are chosen first; texts are read for chosen ids only. Of each, ``PIECE_BYTES``
+    from all over the text leave a task, and all of them share the dictionary. Rows without language,
     text or key teach nothing. More than ``MAX_LANGUAGES`` languages are an error.
     """
     rows = training.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(key).isNotNull())
@@ -43,11 +77,12 @@ def learn_dictionaries(training, text="text", lang="lang", key="doc_id", per_lan
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     ids = [r.key for r in chosen.select("key").distinct().collect()]
     texts = rows.where(F.col(key).isin(ids)).select(
-        F.col(lang).alias("lang"), F.substring(text, 1, 4 * PIECE_BYTES).alias("text"), F.xxhash64(F.col(key)).alias("h"))
+        F.col(lang).alias("lang"), F.xxhash64(F.col(key)).alias("h"), F.col(text).alias("text"))
+    pieces = texts.mapInArrow(_samples, "lang string, h bigint, piece binary")
     found = {}
-    for r in sorted(texts.collect(), key=lambda r: (r.lang, r.h, r.text)):
-        found.setdefault(r.lang, []).append(letters_only(r.text).encode()[:PIECE_BYTES])
-    return {name: b" ".join(parts)[:dictionary_bytes] for name, parts in found.items() if any(parts)}
+    for r in sorted(pieces.collect(), key=lambda r: (r.lang, r.h, bytes(r.piece))):
+        found.setdefault(r.lang, []).append(bytes(r.piece))
+    return {name: shared_out(parts, dictionary_bytes) for name, parts in found.items() if any(parts)}
 
 
 def _compressors(dictionaries):

@@ -254,6 +254,17 @@ def test_languages_of_held_out_documents(spark):
     assert sum(got[i].lang_pred == truth[i] for i in held) >= 0.95 * len(held)
 
 
+def test_dictionaries_are_from_all_over_all_sampled_texts(spark):
+    opening = "lorem ipsum dolor " * 400
+    texts = [(i, "de", "7 " * 4000 + f"deutsch wort{chr(97 + i)} ") for i in range(26)]
+    texts += [(100 + i, "en", opening + "english text at the end " * 400) for i in range(60)]
+    docs = spark.createDataFrame(texts, "doc_id bigint, lang string, text string")
+    found = language.learn_dictionaries(docs, dictionary_bytes=1000)
+    assert all(f"wort{chr(97 + i)}".encode() in found["de"] for i in range(26))
+    assert found["en"].count(b"english") > 5 and all(len(d) <= 1000 for d in found.values())
+    assert len(language.shared_out([b"a" * 900, b"b" * 10, b"c" * 900], 400).split()) == 3
+
+
 def test_texts_without_letters_are_undetermined(spark):
     docs = documents(spark, [*EDGES, (5, "123 !!"), (6, "der die das und")])
     dictionaries = {"de": b"der die das und nicht mit", "en": b"the and with not one two x"}
