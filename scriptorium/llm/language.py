@@ -64,21 +64,21 @@ def learn_dictionaries(training, text="text", lang="lang", key="doc_id", per_lan
                        dictionary_bytes=DICTIONARY_BYTES):
     """{language: bytes}: raw-content dictionaries from a bounded sample of labelled rows.
 
-    The sample is the ``per_language`` rows of each language with the smallest hash of their key, so
-    reruns agree. Ids are chosen first; texts are read for chosen ids only. Of each, ``PIECE_BYTES``
+    The sample is the ``per_language`` ids of each language with the smallest hash, one row for each,
+    so reruns agree. Ids are chosen first; texts are read for chosen ids only. Of each, ``PIECE_BYTES``
     from all over the text leave a task, and all of them share the dictionary. Rows without language,
     text or key teach nothing. More than ``MAX_LANGUAGES`` languages are an error.
     """
-    rows = training.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(key).isNotNull())
+    rows = training.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(key).isNotNull()).select(
+        F.col(key).alias("key"), F.col(lang).alias("lang"), F.xxhash64(F.col(key)).alias("h"), F.col(text).alias("text"))
     order = Window.partitionBy("lang").orderBy("h", "key")
-    chosen = rows.select(F.col(key).alias("key"), F.col(lang).alias("lang"), F.xxhash64(F.col(key)).alias("h")).withColumn(
-        "n", F.row_number().over(order)).where(F.col("n") <= per_language)
+    chosen = rows.select("key", "lang", "h").withColumn("n", F.dense_rank().over(order)).where(F.col("n") <= per_language)
     if len(rows.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect()) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    ids = [r.key for r in chosen.select("key").distinct().collect()]
-    texts = rows.where(F.col(key).isin(ids)).select(
-        F.col(lang).alias("lang"), F.xxhash64(F.col(key)).alias("h"), F.col(text).alias("text"))
-    pieces = texts.mapInArrow(_samples, "lang string, h bigint, piece binary")
+    table = training.sparkSession.createDataFrame(chosen.select("lang", "key").distinct().collect(), rows.select("lang", "key").schema)
+    texts = rows.join(F.broadcast(table), ["lang", "key"]).select("lang", "h", "text")
+    pieces = texts.mapInArrow(_samples, "lang string, h bigint, piece binary").groupBy("lang", "h").agg(
+        F.min("piece").alias("piece"))
     found = {}
     for r in sorted(pieces.collect(), key=lambda r: (r.lang, r.h, bytes(r.piece))):
         found.setdefault(r.lang, []).append(bytes(r.piece))

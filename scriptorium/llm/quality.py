@@ -95,15 +95,16 @@ def _terms_of(batches):
         places = [np.flatnonzero(row).astype(np.uint16) for part in parts for row in part]
         weights = [row[at].tobytes() for row, at in zip((row for part in parts for row in part), places)]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array([at.tobytes() for at in places], pa.binary()), pa.array(weights, pa.binary())],
-            ["label", "places", "weights"])
+            [batch.column(0), pa.array([at.tobytes() for at in places], pa.binary()), pa.array(weights, pa.binary()),
+             batch.column(2), batch.column(3)], ["label", "places", "weights", "key", "h"])
 
 
 def fit_quality(docs, labels, key="doc_id", text="text", label="quality", sample_rows=SAMPLE_ROWS, dimensions=DIMENSIONS):
     """A :class:`Model` from at most ``sample_rows`` labelled rows, those with the smallest hash of their id.
 
     ``docs`` are the documents to learn from. Labels other than 0 and 1, rows without id and documents
-    without a label teach nothing; of an id with two labels the smaller counts.
+    without a label teach nothing; of an id with two labels the smaller counts, and of an id with
+    several rows the one whose text has the smallest hash.
     """
     marked = labels.where(F.col(label).isin(0, 1)).groupBy(F.col(key).alias("key")).agg(
         F.min(label).cast("double").alias("label"))
@@ -114,11 +115,13 @@ def fit_quality(docs, labels, key="doc_id", text="text", label="quality", sample
     if not known:
         return Model(np.zeros(TERMS, np.float32), np.zeros((TERMS, 1), np.float32),
                      np.zeros((0, 1), np.float32), np.zeros(0), 0.5)
-    table = spark.createDataFrame(list(known.items()), f"key {docs.schema[key].dataType.simpleString()}, label double")
+    kind = docs.schema[key].dataType.simpleString()
+    table = spark.createDataFrame(list(known.items()), f"key {kind}, label double")
     sample = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(
-        F.broadcast(table), "key").select("label", "text")
-    # Only the terms that occur come to the driver; there is one dense matrix, changed in place.
-    rows = sample.mapInArrow(_terms_of, "label double, places binary, weights binary").collect()
+        F.broadcast(table), "key").select("label", "text", "key", F.xxhash64("text").alias("h"))
+    # Only the terms that occur come to the driver, of one row per id; there is one dense matrix, changed in place.
+    rows = sample.mapInArrow(_terms_of, f"label double, places binary, weights binary, key {kind}, h bigint").groupBy(
+        "key").agg(F.min(F.struct("h", "label", "places", "weights")).alias("row")).select("row.*").collect()
     rows.sort(key=lambda r: (r.label, bytes(r.places), bytes(r.weights)))
     y, terms = np.array([r.label for r in rows]), np.zeros((len(rows), TERMS), np.float32)
     for row, r in zip(terms, rows):

@@ -295,6 +295,17 @@ def test_quality_of_odd_rows(spark):
     assert all(by[i].predicted == (i < 20) for i in range(40))
 
 
+def test_a_repeated_id_is_one_row_of_the_fits(spark):
+    docs = spark.createDataFrame(
+        [(7, "en", "same words over and over")] * 50 + [(7, "en", f"other words {i}") for i in range(50)]
+        + [(i, "en", f"some text of its own {chr(97 + i)}{chr(97 + i)}") for i in (8, 9)], "doc_id bigint, lang string, text string")
+    labels = spark.createDataFrame([(7, 1), (8, 0), (9, 0)], "doc_id bigint, quality int")
+    assert len(quality.fit_quality(docs, labels).labels) == 3
+    assert len(quality.fit_quality(docs, labels, sample_rows=2).labels) == 2
+    found = language.learn_dictionaries(docs, per_language=3)["en"]
+    assert b"ii" in found and b"jj" in found and found.count(b"words") <= 1
+
+
 def test_votes_are_those_of_all_cosines():
     rng = np.random.default_rng(0)
     terms = rng.random((30, quality.TERMS)).astype(np.float32)
