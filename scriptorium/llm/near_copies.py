@@ -203,7 +203,7 @@ def _verify(threshold):
 
 def near_copies(docs, key="doc_id", text="text", threshold=THRESHOLD, trees=TREES, depth=DEPTH, recall=RECALL,
                 block_texts=BLOCK_TEXTS):
-    """One row per document: doc_id, _h (hash of the text), class_id, n_links, n_copies, stays.
+    """One row per document: doc_id, _h (hash of the text), class_id, n_links, n_copies, stays, has_words.
 
     Two documents are linked if the Jaccard similarity of their sets of five-word shingles is at least
     ``threshold``; words are compared without case and punctuation. ``class_id`` is the least doc_id of
@@ -249,6 +249,6 @@ def near_copies(docs, key="doc_id", text="text", threshold=THRESHOLD, trees=TREE
         "doc_id", "_h",
         F.when(F.col("head").isNull(), F.col("doc_id")).otherwise(F.col("head.doc_id")).alias("class_id"),
         F.coalesce(F.col("links") + F.col("copies") - 1, F.col("copies") - 1, none).alias("n_links"),
-        F.coalesce("copies", F.lit(1).cast("bigint")).alias("n_copies"),
+        F.coalesce("copies", F.lit(1).cast("bigint")).alias("n_copies"), F.col("text_key").isNotNull().alias("has_words"),
         F.when(F.col("head").isNull(), True).otherwise(
             F.col("doc_id").eqNullSafe(F.col("head.doc_id")) & (F.col("_h") == F.col("head._h"))).alias("stays"))

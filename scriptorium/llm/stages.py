@@ -26,11 +26,16 @@ def quality_stage(spark, docs, sf_dir):
 
 
 def near_copies_stage(spark, docs, sf_dir):
-    """One document of each group of near copies, the one with the least doc_id; the others go."""
-    kept = near_copies.near_copies(docs).where("stays").select(F.xxhash64("doc_id", "_h").alias("_row")).distinct()
-    rows = packed(docs, F.xxhash64("doc_id", F.xxhash64("text")).alias("_row"))
-    # Both steps are by _row, so the second needs no shuffle: it drops rows that are repeated as a whole.
-    return rows.join(kept, "_row", "left_semi").dropDuplicates(["_row"]).select("_doc.*")
+    """One document of each group of near copies, the one with the least doc_id; the others go.
+
+    Rows whose text is null or has no word all stay.
+    """
+    kept = near_copies.near_copies(docs).where("stays").groupBy(F.xxhash64("doc_id", "_h").alias("_row")).agg(
+        F.max("has_words").alias("has_words"))
+    rows = packed(docs, F.xxhash64("doc_id", F.xxhash64("text")).alias("_row")).join(kept, "_row")
+    # Rows of one id and one text with words are copies, of which one stays; a row without a word has a number of its own.
+    own = F.when(~F.col("has_words"), F.monotonically_increasing_id())
+    return rows.withColumn("_own", own).dropDuplicates(["_row", "_own"]).select("_doc.*")
 
 
 def decontamination_stage(spark, docs, sf_dir):

@@ -341,6 +341,14 @@ def test_stages_take_odd_rows_and_keep_the_columns(spark, name, stage):
     assert stage(spark, docs.limit(0), sf_dir).count() == 0
 
 
+def test_rows_without_words_all_stay(spark):
+    rows = [(None, None, "a"), (None, None, "b"), (None, "", "a"), (None, "", "a"), (5, "!!", "a"), (5, "!!", "b"),
+            (6, "these words are here twice", "a"), (6, "these words are here twice", "a"), (7, "These words are here twice", "a")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    kept = Counter(tuple(r) for r in stages.near_copies_stage(spark, docs, None).collect())
+    assert kept == Counter(rows[:7])
+
+
 def test_pipeline_against_plain_python(spark, tmp_path):
     """Every stage on what the one before it has kept, each judged by a plain version of its rule."""
     sf_dir = "/root/testdata/sf0.001"
