@@ -1,10 +1,12 @@
-"""Join of documents on the Jaccard similarity of their five-word shingles, by a MinHash LSH forest.
+"""Join of documents on the Jaccard similarity of their five-word shingles, by MinHash LSH.
 
 1. Each text becomes a key of its word sequence and, per tree, a label of MinHash values. Texts with
    equal words are one text with a number of copies from here on.
-2. Texts that share a label prefix stand under one node of that tree's trie. Prefixes are shortened,
-   one value at a time, until the chance that a pair at the threshold shares one in some tree reaches
-   the target recall. Every text is linked to the least text of its node, never to all of them.
+2. Texts that share a label prefix stand under one node of that tree. All prefixes have one depth, which
+   follows from the parameters before any data are read: the longest at which a pair at the threshold
+   shares one in some tree with the target recall. This is banding, not a forest that is descended, so
+   a text that found little is not tried again with shorter prefixes; one equi-join finds the nodes.
+   Every text is linked to the least text of its node, never to all of them.
 3. Connected texts are candidates for each other. They are verified on their exact shingle sets, block
    against block: a large group is many blocks, each pair is compared once, and only counts and the
    links of a spanning forest leave a task.
