@@ -57,7 +57,11 @@ def pii_stage(spark, docs, sf_dir):
 
 
 def mixing_stage(spark, docs, sf_dir):
-    """The documents that the mix takes, with size, source_size, target and taken (tokens, repeats counted)."""
+    """The documents that the mix takes, with size, source_size, target and taken (tokens, repeats counted).
+
+    Every document is one row, however often it is taken: the rows have the target weights only if each
+    counts taken / size times.
+    """
     rows = cut_lineage(packed(docs, F.monotonically_increasing_id().alias("_row")), "rows")
     flat = rows.select("_row", *[F.col(f"_doc.{c}").alias(c) for c in ("doc_id", "source", "text")])
     mixed = mixing.mix_sources(flat, mixing.word_count(F.col("text")), keep=("_row",))
