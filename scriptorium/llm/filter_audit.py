@@ -108,7 +108,7 @@ def audit_documents(docs, labels, key="doc_id", text="text", part="lang"):
 
     A: under 200 words; B: less than half of the words are distinct; C: more than 3 in 100 characters are
     A to Z; D: one of ``#$%&*|``; E: the text is that of a smaller id. A null text counts as empty, and empty
-    texts are equal texts. A null id is never a copy and makes none. ``labels`` (doc_id, quality, toxic) may
+    texts are equal texts. A null id is never a copy, makes none and has no label. ``labels`` (doc_id, quality, toxic) may
     hold an id several times; one row with 1 is enough. Other columns are ignored.
     """
     whole = F.coalesce(F.col(text), F.lit(""))

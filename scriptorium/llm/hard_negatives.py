@@ -30,19 +30,20 @@ BLOCK_ROWS = 4096
 SAMPLE_ROWS = 4096
 MAX_LEAVES = 1024
 LEAF_ROWS = 32
+MAX_TASKS = 20_000
 BASE = 1.5
-# A level that needs a centre for every so many rows divides nothing: its rows are verified together.
-ROWS_PER_CENTRE = 4
+# A level that needs a centre for every so many rows, or more than so many, divides nothing: its rows are verified together.
+ROWS_PER_CENTRE, MOST_CENTRES = 4, 256
 SALTS = 64
 _SLACK = 1e-9
+# Distances are worked out from products, which costs half of their digits.
+_ROUND = 1e-7
 
 
-def exact_products(matrix, vector):
-    """Inner products of whole numbers, exactly; beyond 64 bits they stay at the end of the range."""
-    if len(matrix) == 0:
-        return np.zeros(0, np.int64)
-    if float(np.abs(matrix).max(initial=0)) * float(np.abs(vector).max(initial=0)) * len(vector) < 2 ** 53:
-        return np.rint(matrix @ vector).astype(np.int64)
+def exact_products(matrix, vector, peak):
+    """Inner products of whole numbers of at most ``peak``, exactly; beyond 64 bits they stay at the end of the range."""
+    if peak * float(np.abs(vector).max(initial=0)) * len(vector) < 2 ** 53:
+        return (matrix @ vector).astype(np.int64)
     whole = [sum(int(a) * int(b) for a, b in zip(row, vector)) for row in matrix]
     return np.array([min(max(x, -2 ** 63), 2 ** 63 - 1) for x in whole], np.int64)
 
@@ -54,18 +55,19 @@ def augmented(matrix, largest):
 
 
 def far_apart(points, most, radius=0.0):
-    """Rows that cover all others within ``radius``, each the farthest from those before, at most ``most``.
+    """Rows of a sphere that cover all others within ``radius``, each the farthest from those before, at most ``most``.
 
-    Returns the rows, the number of the nearest one for every point and the distance to it.
+    Returns the rows, the number of the nearest one for every point and the distance to it, rounded up.
     """
-    chosen, nearest = [0], np.zeros(len(points), np.int64)
-    away = np.linalg.norm(points - points[0], axis=1)
-    while len(chosen) < most and away.max() > radius:
-        chosen.append(int(away.argmax()))
-        new = np.linalg.norm(points - points[chosen[-1]], axis=1)
-        nearest[new < away] = len(chosen) - 1
-        away = np.minimum(away, new)
-    return np.array(chosen), nearest, away
+    square = float(points[0] @ points[0])
+    chosen, nearest, close = [0], np.zeros(len(points), np.int64), points @ points[0]
+    away = lambda product: math.sqrt(max(0.0, 2 * (square - product))) + _ROUND * math.sqrt(square)
+    while len(chosen) < most and away(float(close.min())) > radius:
+        chosen.append(int(close.argmin()))
+        new = points @ points[chosen[-1]]
+        nearest[new > close] = len(chosen) - 1
+        close = np.maximum(close, new)
+    return np.array(chosen), nearest, np.sqrt(np.maximum(2 * (square - close), 0)) + _ROUND * math.sqrt(square)
 
 
 def interval(products, norm, radius, largest):
@@ -78,36 +80,45 @@ def interval(products, norm, radius, largest):
 
 
 class CoverTree:
-    """A block of vectors: nested centres with covering radii that shrink from level to level."""
+    """A block of vectors: nested centres with covering radii that shrink from level to level.
+
+    ``rows`` are the vectors in the order of the leaves, so that a leaf is a slice of ``matrix``.
+    """
 
     def __init__(self, matrix, largest, leaf_rows=LEAF_ROWS):
-        self.matrix, self.largest, self.leaf_rows = matrix, largest, leaf_rows
-        self.points = augmented(matrix, largest)
-        self.verified = 0
+        self.largest, self.leaf_rows, self.verified = largest, leaf_rows, 0
+        self.points, self.leaves, self.filled = augmented(matrix, largest), [], 0
         self.root = self._node(np.arange(len(matrix)), 2 * largest)
+        self.rows = np.concatenate(self.leaves)
+        self.matrix, self.peak = np.ascontiguousarray(matrix[self.rows]), float(np.abs(matrix).max(initial=0))
+        del self.points, self.leaves
+
+    def _leaf(self, rows):
+        self.leaves.append(rows)
+        self.filled += len(rows)
+        return slice(self.filled - len(rows), self.filled)
 
     def _node(self, rows, reach):
-        """Rows of a leaf, or (centres, radii, children)."""
+        """A slice of rows, or (centres, radii, children)."""
         if len(rows) <= self.leaf_rows:
-            return rows
+            return self._leaf(rows)
         points = self.points[rows]
-        centre, _, away = far_apart(points, 1)
         # Levels at which the node would have a single child are passed over.
-        reach = min(reach, float(away.max()))
-        if reach <= _SLACK * self.largest:
-            return rows
-        most = max(2, len(rows) // ROWS_PER_CENTRE)
-        chosen, nearest, away = far_apart(points, most, reach / BASE)
+        reach = min(reach, float(far_apart(points, 1)[2].max()))
+        if reach <= 4 * _ROUND * self.largest:
+            return self._leaf(rows)
+        chosen, nearest, away = far_apart(points, max(2, min(MOST_CENTRES, len(rows) // ROWS_PER_CENTRE)), reach / BASE)
         if away.max() > reach / BASE:
-            return rows
-        groups = [rows[nearest == i] for i in range(len(chosen))]
-        radii = np.array([away[nearest == i].max() for i in range(len(chosen))])
-        return self.points[rows[chosen]], radii, [self._node(g, reach / BASE) for g in groups]
+            return self._leaf(rows)
+        groups = [nearest == i for i in range(len(chosen))]
+        return (points[chosen], np.array([away[g].max() for g in groups]),
+                [self._node(rows[g], reach / BASE) for g in groups])
 
     def search(self, query, norm, windows, allowed, order, k):
         """Per window (low, high) the first ``k`` allowed rows, by product, then by ``order``.
 
-        Returns arrays (rows, products) per window. ``windows`` bound the products from both sides.
+        Returns arrays (places in ``rows``, products) per window. ``windows`` bound the products from both
+        sides; ``allowed`` and ``order`` follow ``rows``.
         """
         low, high = (np.array([w[i] for w in windows], float) for i in (0, 1))
         found = [(np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in windows]
@@ -125,16 +136,20 @@ class CoverTree:
                     heapq.heappush(heap, (-ends[1][i], count, children[i], ends[0][i], ends[1][i]))
                     count += 1
                 continue
-            self.verified += len(node)
-            products = exact_products(self.matrix[node], query)
-            fits = allowed[node]
+            self.verified += node.stop - node.start
+            products = exact_products(self.matrix[node], query, self.peak)
+            # What no window can take is left out at once, then each window looks at the rest.
+            some = np.flatnonzero(allowed[node] & (products >= low.min()) & (products <= high.max()))
+            products, some = products[some], some + node.start
             for w in range(len(windows)):
-                hit = np.flatnonzero(fits & (products >= low[w]) & (products <= high[w]))
+                hit = np.flatnonzero((products >= low[w]) & (products <= high[w]))
+                if len(hit) == 0:
+                    continue
                 if len(hit) > 4 * k:
                     # Those below the k-th product cannot stand among the first k.
                     kth = np.partition(products[hit], len(hit) - k)[len(hit) - k]
                     hit = hit[products[hit] >= kth]
-                rows = np.concatenate((found[w][0], node[hit]))
+                rows = np.concatenate((found[w][0], some[hit]))
                 values = np.concatenate((found[w][1], products[hit]))
                 first = np.lexsort((order[rows], -values))[:k]
                 found[w] = rows[first], values[first]
@@ -156,7 +171,7 @@ def _assign(centres, largest, dimension):
             for start in range(0, len(points), 1024):
                 part = points[start:start + 1024]
                 leaf[start:start + 1024] = (part @ centres.T).argmax(axis=1)
-                away[start:start + 1024] = np.linalg.norm(part - centres[leaf[start:start + 1024]], axis=1)
+                away[start:start + 1024] = np.linalg.norm(part - centres[leaf[start:start + 1024]], axis=1) + _ROUND * largest
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaf), pa.array(away)],
                                              [*batch.schema.names, "leaf", "away"])
     return run
@@ -172,8 +187,8 @@ def _search(dimension, largest, same_label, k):
         cell, stock, tree = None, [], None
 
         def built(stock):
-            ids, hashes, labels = (np.concatenate([s[i] for s in stock]) for i in (0, 1, 2))
-            return CoverTree(np.concatenate([s[3] for s in stock]), largest), ids, hashes, labels
+            block = CoverTree(np.concatenate([s[3] for s in stock]), largest)
+            return block, *(np.concatenate([s[i] for s in stock])[block.rows] for i in (0, 1, 2))
 
         for batch in batches:
             column = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
@@ -245,14 +260,15 @@ def _first(found, k, *by):
 class _Rounds:
     """Searches over classes that are dealt out in cells (cell, leaf, block)."""
 
-    def __init__(self, dimension, largest, leaves):
-        self.dimension, self.largest, self.leaves = dimension, largest, leaves
+    def __init__(self, dimension, largest, leaves, tasks):
+        self.dimension, self.largest, self.leaves, self.tasks = dimension, largest, leaves, tasks
 
     def once(self, stock, asked, same_label, k):
         none = F.lit(None).cast(_WINDOWS).alias("windows")
         rows = stock.select(*_CELL, F.lit(0).alias("kind"), "id", "hash", "label", "vector", none).unionAll(
             asked.select(*_CELL, F.lit(1).alias("kind"), "id", "hash", "label", "vector", "windows"))
-        return rows.repartition(*_CELL).sortWithinPartitions(*_CELL, "kind", "label").mapInArrow(
+        # The number is given, for searching takes far longer than the size of the rows tells.
+        return rows.repartition(self.tasks, *_CELL).sortWithinPartitions(*_CELL, "kind", "label").mapInArrow(
             _search(self.dimension, self.largest, same_label, k), _FOUND)
 
     def all(self, stock, cells, anchors, same_label, k, label):
@@ -262,9 +278,8 @@ class _Rounds:
         classes are in one block. ``anchors`` have cell, home (a leaf) and windows.
         """
         where = F.when(F.col("blocks") > 0, F.pmod(F.xxhash64("id", "hash"), F.greatest("blocks", F.lit(1)))).otherwise(0)
-        here = anchors.join(cells, (anchors["cell"].eqNullSafe(cells["cell"])) & (
-            (anchors["home"] == cells["leaf"]) | (cells["leaf"] == -1))).select(
-            anchors["cell"], "leaf", where.cast("int").alias("block"), "id", "hash", "label", "vector", "windows")
+        here = anchors.withColumn("leaf", F.explode(F.array("home", F.lit(-1)))).join(cells, ["cell", "leaf"]).select(
+            "cell", "leaf", where.cast("int").alias("block"), "id", "hash", "label", "vector", "windows")
         first = cut_lineage(_first(self.once(stock, here, same_label, k), k, "slot"), "first")
         least = first.groupBy("anchor_id", "anchor_hash", "slot").agg(
             F.min("score").alias("least"), F.count("*").alias("n")).where(F.col("n") >= k).groupBy(
@@ -279,7 +294,7 @@ class _Rounds:
                                f"cell {label}, home int, leaves array<int>")
         others = rest.select("*", F.explode("leaves").alias("_leaf")).join(
             cells.withColumnsRenamed({"cell": "_cell", "leaf": "_at"}),
-            F.col("cell").eqNullSafe(F.col("_cell")) & (F.col("_leaf") == F.col("_at"))).select(
+            (F.col("cell") == F.col("_cell")) & (F.col("_leaf") == F.col("_at"))).select(
             "cell", F.col("_at").alias("leaf"), "home", "id", "hash", "label", "vector", "windows", where.cast("int").alias("_own"),
             F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")).where(
             (F.col("leaf") != F.col("home")) | (F.col("block") != F.col("_own")))
@@ -341,7 +356,7 @@ def hard_negatives(vectors, is_anchor, positives=5, negatives=3, window=(50, 95)
     at = {r.leaf: r.away for r in leaves.collect()}
     balls = spark.sparkContext.broadcast((np.array(sorted(at), np.int32), centres[sorted(at)],
                                           np.array([at[leaf] for leaf in sorted(at)])))
-    rounds = _Rounds(dimension, norm, balls)
+    rounds = _Rounds(dimension, norm, balls, min(MAX_TASKS, max(8, 4 * (largest.n // block_rows + 1))))
     of_block = F.pmod(F.xxhash64("id", "hash"), "blocks").cast("int").alias("block")
     asked = rows.where("is_anchor").select(F.col("vec_id").alias("anchor_id"), F.col("hash"), "label", "vector").distinct()
     # The class of an anchor says at which centre it stands; its row id names the anchor.
