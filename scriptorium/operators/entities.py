@@ -6,9 +6,7 @@ from pyspark.sql import functions as F
 
 from scriptorium.functions.replies import CATEGORIES, EXPLAINED_CATEGORIES
 from scriptorium.operators.correct import bare, tokens
-
-# Words of a text that are looked up per row.
-PIECE = 1000
+from scriptorium.operators.gazetteer import IN_ROW, joined_names, names_in_row, written
 
 # The date formats that are found in a text.
 _MONTH = ("(?:January|February|March|April|May|June|July|August|September|October|November"
@@ -18,10 +16,6 @@ DATES = (r"\b[0-9]{4}-[0-9]{2}-[0-9]{2}\b"
          rf"|\b[0-9]{{1,2}} {_MONTH} [0-9]{{4}}\b")
 
 
-def _strings():
-    return F.expr("array()").cast("array<string>")
-
-
 def _words(text):
     """Words in lower case without punctuation at their ends."""
     return F.filter(F.transform(tokens(text), lambda t: F.lower(bare(t))), lambda w: w != "")
@@ -38,47 +32,22 @@ def name_index(gazetteer):
         F.array_sort(F.collect_list(F.struct("category", "name"))).alias("found"))
 
 
-def _phrases(df, key, text, lengths):
-    """Every run of words of one of the given lengths, with its position.
-
-    A text goes through in pieces that overlap by the longest run, so that a row stays small
-    however long its text is.
-    """
-    overlap = max(lengths) - 1
-    pieces = F.transform(
-        F.when(F.size("_w") > 0, F.sequence(F.lit(0), F.size("_w") - 1, F.lit(PIECE))),
-        lambda at: F.struct(at.alias("at"), F.slice("_w", at + 1, PIECE + overlap).alias("words")))
-    cut = (df.select(key, _words(F.col(text)).alias("_w"))
-           .select(key, F.explode(pieces).alias("_piece")).select(key, "_piece.*"))
-
-    def runs(n):
-        last = F.least(F.size("words") - (n - 1), F.lit(PIECE))
-        return F.transform(
-            F.when(last >= 1, F.sequence(F.lit(1), last)),
-            lambda i: F.struct((F.col("at") + i).alias("pos"), F.lit(n).alias("n_words"),
-                               F.array_join(F.slice("words", i, n), " ").alias("phrase")))
-
-    found = F.flatten(F.filter(F.array(*[runs(n) for n in lengths]), lambda r: r.isNotNull()))
-    return cut.select(key, F.explode(found).alias("_p")).select(key, "_p.*")
-
-
-def extract_entities(df, gazetteer, key="doc_id", text="text"):
+def extract_entities(df, gazetteer, key="doc_id", text="text", in_row=IN_ROW):
     """Add one list per category: gazetteer names and dates, in order of first occurrence.
 
-    At a position the longest name wins. Names are matched by an equi-join on word runs of just
-    the lengths that occur in the gazetteer, and only matches are shuffled by ``key``.
+    At a position the longest name wins. A gazetteer of at most ``in_row`` names is broadcast as an automaton
+    and looked up inside the row. A larger one is joined with the runs of words that its bitmaps let
+    through, and only matches are shuffled by ``key``, of which ``df`` has one row each.
     """
-    index = name_index(gazetteer)
-    sizes = gazetteer.agg(F.collect_set(F.size(_words(F.col("name")))).alias("n")).first()["n"]
-    lengths = sorted(n for n in sizes if n > 0)
-    # Found before the join, so that a caller who wants only the lists joins without the texts.
+    # Found before the names, so that a caller who wants only the lists joins without the texts.
     dated = df.withColumn("Dates", F.array_distinct(
         F.regexp_extract_all(F.col(text), F.lit(DATES), F.lit(0))))
-    if not lengths:
-        return dated.withColumns({c: _strings() for c in EXPLAINED_CATEGORIES})
-    matches = _phrases(df, key, text, lengths).join(index, ["phrase", "n_words"])
+    index, size = written(name_index(gazetteer))
+    if size <= in_row:
+        named = names_in_row(dated, index, text, EXPLAINED_CATEGORIES)
+        return named.select(*dated.columns, *[F.col(f"_names.{c}").alias(c) for c in EXPLAINED_CATEGORIES])
     # Sorted by position and length: the last match at a position is the longest one there.
-    hits = matches.groupBy(key).agg(
+    hits = joined_names(df, index, key, text).groupBy(key).agg(
         F.array_sort(F.collect_list(F.struct("pos", "n_words", "found"))).alias("_hits"))
     longest = F.filter("_hits", lambda h, i: F.coalesce(
         F.get("_hits", i + 1)["pos"] != h["pos"], F.lit(True)))

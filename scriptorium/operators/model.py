@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import queue
+import random
+import threading
+import time
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.sql import functions as F
 
-from scriptorium.session import cut_lineage
+from scriptorium.session import cut_lineage, read_or_empty
+from scriptorium.sources.listing import opened, qualified
 
 # Task names, request layouts and the texts around a document.
 TASKS = ("correct_text", "extract_entities", "explain_entities", "split_letters")
@@ -16,6 +22,9 @@ ALWAYS_SINGLE = ("split_letters",)
 TEXT_HEADER = "\nText:\n"
 ENTITY_FORMAT = "Category: %s\nEntity: %s"
 
+# Replies that are written to a store at a time.
+STORE_ROWS = 64
+
 RESPONSE_SCHEMA = "request_id string, response string, error string, attempt int"
 
 _BACKENDS = {}
@@ -83,40 +92,147 @@ def _once(requests):
         requests.join(repeated, "request_id", "left_semi").dropDuplicates(["request_id"]))
 
 
-def apply_model(requests, backend, parallelism=None, attempts=1, known=None, threads=1):
+def within(seconds, call, *arguments):
+    """The result of a call, or ``TimeoutError`` when it takes longer; what still hangs is left behind."""
+    if seconds is None:
+        return call(*arguments)
+    box = queue.SimpleQueue()
+
+    def work():
+        try:
+            box.put((call(*arguments), None))
+        except BaseException as failure:  # handed on to the caller
+            box.put((None, failure))
+    threading.Thread(target=work, daemon=True).start()
+    try:
+        result, failure = box.get(timeout=seconds)
+    except queue.Empty:
+        raise TimeoutError(f"no reply within {seconds} s") from None
+    if failure is not None:
+        raise failure
+    return result
+
+
+class Pace:
+    """Lets calls begin at most ``rate`` times a second, for the threads of one task together."""
+
+    def __init__(self, rate, clock=time.monotonic, sleep=time.sleep):
+        self.step, self.next, self.lock = 1.0 / rate, 0.0, threading.Lock()
+        self.clock, self.sleep = clock, sleep
+
+    def wait(self):
+        with self.lock:
+            now = self.clock()
+            at = max(now, self.next)
+            self.next = at + self.step
+        if at > now:
+            self.sleep(at - now)
+
+
+def send(call, request, attempts=1, timeout=None, backoff=0.0, pace=None, sleep=time.sleep):
+    """(response, error, attempt) of a request (task, system, user).
+
+    A call that raises or takes longer than ``timeout`` seconds is repeated up to ``attempts`` times, after a pause of
+    ``backoff`` seconds that doubles each time (a minute at most), of which a random half is left out.
+    """
+    error = None
+    for attempt in range(1, attempts + 1):
+        if pace is not None:
+            pace.wait()
+        try:
+            return within(timeout, call, *request), None, attempt
+        except Exception as failure:  # one row must not fail the task
+            error = f"{type(failure).__name__}: {failure}"
+        if attempt < attempts and backoff:
+            sleep(min(60.0, backoff * 2 ** (attempt - 1)) * random.uniform(0.5, 1.0))
+    return None, error, attempts
+
+
+def stored_replies(spark, store):
+    """Replies that earlier runs have left in ``store``, one per request; errors are none."""
+    replies = read_or_empty(spark, store, RESPONSE_SCHEMA).where(F.col("error").isNull() & F.col("request_id").isNotNull())
+    return replies.groupBy("request_id").agg(F.max_by(F.struct("response", "error", "attempt"), "response").alias("_r")).select(
+        "request_id", "_r.*")
+
+
+def _keep(store, prefix, number, rows):
+    """Write replies as a file of their own, at once, so that they outlast the run."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    files, root = opened(store)
+    files.create_dir(root, recursive=True)
+    table = pa.table({name: pa.array([r[i] for r in rows], pa.int32() if name == "attempt" else pa.string())
+                      for i, name in enumerate(("request_id", "response", "error", "attempt"))})
+    temporary = f"{root}/.{prefix}-{number}-{uuid.uuid4().hex}"
+    with files.open_output_stream(temporary, compression=None) as stream:
+        pq.write_table(table, stream)
+    files.move(temporary, f"{root}/{prefix}-{number}-{uuid.uuid4().hex}.parquet")
+
+
+def _kept(store, prefix):
+    """Replies that an earlier attempt of this task has left."""
+    import pyarrow.parquet as pq
+    from pyarrow import fs
+    files, root = opened(store)
+    found = {}
+    for info in files.get_file_info(fs.FileSelector(root, allow_not_found=True)):
+        if info.base_name.startswith(prefix + "-"):
+            for row in pq.read_table(info.path, filesystem=files).to_pylist():
+                if row["error"] is None:
+                    found[row["request_id"]] = (row["response"], None, row["attempt"])
+    return found
+
+
+def apply_model(requests, backend, parallelism=None, attempts=1, known=None, threads=1, timeout=None, backoff=0.0,
+                rate=None, store=None):
     """Send every distinct request once: rows (request_id, response, error, attempt).
 
     ``backend`` is a registered name or a factory. A failed call is data: ``response`` is NULL and
-    ``error`` says why. ``parallelism`` fixes the number of tasks that call the model, and
-    ``threads`` how many calls each of them waits for at a time. Requests whose reply is in
-    ``known`` are not sent again. Rows stream through in Arrow batches.
+    ``error`` says why, also for a call that gives no reply within ``timeout`` seconds (:func:`send` for it and for
+    ``attempts`` and ``backoff``). ``parallelism`` fixes the number of tasks that call the model, and
+    ``threads`` how many calls each of them waits for at a time; ``rate`` is how many calls a second may
+    begin in all tasks together, of which each task that can run has an equal share. Requests whose reply is in
+    ``known`` are not sent again. With a ``store``, a folder that all executors share, every ``STORE_ROWS`` replies are
+    written there as they come: neither a later run nor a repeated task sends those again, even if this run fails.
+    Rows stream through in Arrow batches.
     """
+    spark = requests.sparkSession
     factory = _BACKENDS[backend] if isinstance(backend, str) else backend
     todo = _once(requests.select("request_id", "task", "system", "user"))
+    if store is not None:
+        store = qualified(spark, store)
+        known = stored_replies(spark, store) if known is None else known.select("request_id", "response", "error").unionByName(
+            stored_replies(spark, store).select("request_id", "response", "error"))
     if known is not None:
         todo = todo.join(known.where(F.col("error").isNull()).select("request_id"),
                          "request_id", "left_anti")
+    if rate and not parallelism:
+        parallelism = spark.sparkContext.defaultParallelism
     if parallelism:
         todo = todo.repartition(parallelism)
-
-    def ask(call, task, system, user):
-        for attempt in range(1, attempts + 1):
-            try:
-                return call(task, system, user), None, attempt
-            except Exception as failure:  # one row must not fail the task
-                error = f"{type(failure).__name__}: {failure}"
-        return None, error, attempts
+    share = rate / min(parallelism, spark.sparkContext.defaultParallelism) if rate else None
+    run = uuid.uuid4().hex
 
     def answer(batches):
-        call = factory()
-        for batch in batches:
-            batch = batch.astype(object).where(batch.notna(), None)
-            rows = zip(batch["task"], batch["system"], batch["user"])
-            with ThreadPoolExecutor(threads) as pool:
-                replies = list(pool.map(lambda row: ask(call, *row), rows))
-            yield pd.DataFrame(replies, columns=["response", "error", "attempt"]).assign(
-                request_id=batch["request_id"].to_numpy())[
-                ["request_id", "response", "error", "attempt"]]
+        from pyspark import TaskContext
+        call, pace, number = factory(), Pace(share) if share else None, 0
+        context = TaskContext.get()
+        prefix = f"{run}-{context.partitionId()}"
+        done = _kept(store, prefix) if store is not None and context.attemptNumber() > 0 else {}
+        with ThreadPoolExecutor(threads) as pool:
+            for batch in batches:
+                batch = batch.astype(object).where(batch.notna(), None)
+                rows = list(zip(batch["request_id"], batch["task"], batch["system"], batch["user"]))
+                for start in range(0, len(rows), STORE_ROWS):
+                    part = rows[start:start + STORE_ROWS]
+                    new = [r for r in part if r[0] not in done]
+                    sent = dict(zip((r[0] for r in new), pool.map(
+                        lambda r: send(call, r[1:], attempts, timeout, backoff, pace), new)))
+                    if store is not None and sent:
+                        _keep(store, prefix, number, [(k, *v) for k, v in sent.items()])
+                        number += 1
+                    replies = [(r[0], *(sent[r[0]] if r[0] in sent else done[r[0]])) for r in part]
+                    yield pd.DataFrame(replies, columns=["request_id", "response", "error", "attempt"])
 
     return todo.mapInPandas(answer, RESPONSE_SCHEMA)
 

@@ -28,7 +28,8 @@ def first_terminal_status(events, job="job_id", order=("ts", "event_id"),
     """Per job the outcome after at most ``max_retries`` polls, and the number of polls made.
 
     With ``deadline_seconds``, polls later than that after the first one (by the first ``order``
-    column) do not count, and a job they would have ended timed out after the polls before them.
+    column) do not count, and a job without an outcome timed out after the polls before them, whether
+    more came or not.
     """
     terminal = F.col(status).isin(*ok, *bad)
     polls = first_polls(events.select(job, *order, status), job, order, max_retries)
@@ -36,8 +37,7 @@ def first_terminal_status(events, job="job_id", order=("ts", "event_id"),
         began = F.min(F.col(order[0])).over(Window.partitionBy(job))
         late = F.col(order[0]) > began + F.make_interval(secs=F.lit(deadline_seconds))
         polls = polls.withColumn("_late", late)
-        on_time = F.count_if(~F.col("_late"))
-        polls_made = F.when(F.max("_late"), on_time).otherwise(F.lit(max_retries))
+        polls_made = F.count_if(~F.col("_late"))
         terminal = terminal & ~F.col("_late")
     else:
         polls_made = F.lit(max_retries)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from functools import reduce
 
 from pyspark.sql import Window, functions as F
 
@@ -14,7 +15,7 @@ from scriptorium.functions.replies import (
 from scriptorium.functions.text import (
     format_elapsed, parse_page_number, py_strip, rewrite_suffix, run_stamp, split_lines)
 from scriptorium.operators import (
-    correct, entities, evaluate, layout, letters, model, numbering, status)
+    correct, decoding, entities, evaluate, layout, letters, model, numbering, status)
 from scriptorium.plans.document_run import RunConfig, document_run
 from scriptorium.plans.model_tasks import (
     Model, ask, correct_with_model, explain_with_model, extract_with_model, split_with_model)
@@ -368,16 +369,48 @@ def h11_split_lines(spark, sf_dir):
         "doc_id", F.posexplode(split_lines(mixed)).alias("line_no", "line"))
 
 
+def _misread(spark, sf_dir):
+    """Texts in which letters were misread, and words read as one behind a mark that says where."""
+    return derived.v_pairs(spark, sf_dir).select(
+        "doc_id", F.replace("raw", F.lit(" and "), F.lit(" and_")).alias("raw"), "target")
+
+
 def i1_correct_text(spark, sf_dir):
-    # Some words were read as one, so lines with them are not aligned; their other words are corrected too.
-    pairs = derived.v_pairs(spark, sf_dir).select(
-        "doc_id", F.replace("raw", F.lit(" and "), F.lit(" and")).alias("raw"), "target")
-    # Written first: the join is then planned with the true size of the lexicon.
-    lexicon = cut_lineage(correct.line_lexicon(pairs, "raw", "target"), "lexicon")
+    pairs = _misread(spark, sf_dir)
+    # Written first: its size decides how it is looked up.
+    lexicon = cut_lineage(correct.paired_lexicon(pairs, "raw", "target"), "lexicon")
     return correct.correct_text(pairs.select("doc_id", "raw"), lexicon, text="raw").select(
         "doc_id", "corrected_text")
 
 
+def i1_decode_text(spark, sf_dir):
+    """Corrected by the model of misread letters that all texts teach, without a mark where words were joined."""
+    pairs = derived.v_pairs(spark, sf_dir).select(
+        "doc_id", F.replace("raw", F.lit(" and "), F.lit(" and")).alias("raw"), F.col("target").alias("corrected"))
+    reading = decoding.learn_model(pairs, correct.aligned_words(pairs))
+    return decoding.decode_texts(pairs.select("doc_id", "raw"), reading, text="raw").select("doc_id", "corrected_text")
+
+
+def i1_aligned_words(spark, sf_dir):
+    """How many words the misread texts have, and the share of them with a counterpart in the right ones."""
+    counts = correct.unaligned_words(correct.aligned_words(_misread(spark, sf_dir), "raw", "target"))
+    return counts.select("words", F.round(1 - F.col("unaligned") / F.greatest("words", F.lit(1)), 4).alias("aligned"))
+
+
+def a5_read_prompts(spark, sf_dir):
+    """The catalog of the package, written per language of the documents and read back as a user's own."""
+    path = work_dir(spark, "prompts")
+    catalog = documents.read_prompts(spark)
+    tasks = [r.task for r in catalog.select("task").orderBy("task").collect()]
+    spoken = derived.table(spark, sf_dir, "documents").groupBy("lang").agg(F.count("*").alias("n")).where("lang is not null")
+    rows = spoken.join(F.broadcast(catalog.groupBy().pivot("task", tasks).agg(F.first("prompt"))))
+    rows.select("lang", *[F.concat(t, F.lit(" Language: "), "lang", F.lit(", texts: "), F.col("n").cast("string")).alias(t) for t in tasks]).write.partitionBy(
+        "lang").json(path)
+    langs = [r.lang for r in spoken.select("lang").orderBy("lang").collect()]
+    return reduce(lambda a, b: a.unionByName(b), [
+        documents.read_prompts(spark, f"{path}/lang={lang}").select(F.lit(lang).alias("lang"), "task", "prompt") for lang in langs])
+
+
 def i1_corpus_lexicon(spark, sf_dir):
     return correct.corpus_lexicon(derived.table(spark, sf_dir, "documents"))
 
@@ -405,7 +438,7 @@ def _run(spark, sf_dir):
     misread = F.replace("body", F.lit("th"), F.lit("tb"))
     lines = bodies.select("doc_id", F.posexplode(split_lines(misread)).alias("line_no", "text"))
     turns = derived.table(spark, sf_dir, "conversations")
-    lexicon = cut_lineage(correct.line_lexicon(
+    lexicon = cut_lineage(correct.paired_lexicon(
         turns.select(F.replace("text", F.lit("th"), F.lit("tb")).alias("raw"),
                      F.col("text").alias("corrected"))), "lexicon")
     conversations = turns.groupBy(F.col("conv_id").alias("doc_id")).agg(
@@ -511,25 +544,34 @@ def j1_incremental_run(spark, sf_dir):
 
 
 def j2_job_tracker(spark, sf_dir):
-    """Tracked over a stream with a deadline; jobs still open at its end count as timed out."""
-    out = work_dir(spark, "outcomes")
-    events = derived.table(spark, sf_dir, "events")
-    stream = (spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet")
-              .parquet(sf_dir))
-    polls = stream.select(
-        F.col("user_id").alias("job_id"), "event_id", "ts",
+    """Tracked over a stream of shuffled events with a deadline.
+
+    Two events of no job, long after the others, end it: one in the micro-batch of the last events moves the
+    watermark past them all, the other begins a micro-batch in which all outcomes are due.
+    """
+    source, out = work_dir(spark, "polls"), work_dir(spark, "outcomes")
+    events = derived.table(spark, sf_dir, "events").select(
+        F.col("user_id").alias("job_id"), "event_id", F.col("ts").cast("timestamp").alias("ts"),
         F.when(F.col("event_type") == "purchase", "SUCCEEDED")
         .when(F.col("event_type") == "error", "FAILED").otherwise("IN_PROGRESS").alias("status"))
-    tracked = track_jobs(polls, MAX_POLLS, deadline_seconds=DEADLINE_SECONDS)
+    events.repartition(3, F.xxhash64("event_id")).write.parquet(source)
+    span = events.agg(F.min("ts").alias("first"), F.max("ts").alias("last")).select(
+        "last", (F.unix_seconds("last") - F.unix_seconds("first") + 1).alias("seconds")).first()
+    if span.last is not None:
+        none = lambda name: F.lit(None).cast(events.schema[name].dataType).alias(name)
+        later = F.timestamp_seconds(F.unix_seconds(F.lit(span.last)) + 2 * span.seconds + 3 * DEADLINE_SECONDS)
+        for _ in range(2):
+            spark.range(1).select(none("job_id"), F.lit(0).cast(events.schema["event_id"].dataType).alias("event_id"), later.alias("ts"),
+                                  F.lit("IN_PROGRESS").alias("status")).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 4).parquet(source)
+    # Events are shuffled over their whole span, so they may come that late.
+    wait = f"{span.seconds if span.last is not None else 1} seconds"
+    tracked = track_jobs(stream, MAX_POLLS, deadline_seconds=DEADLINE_SECONDS, watermark=wait).where("job_id is not null")
     query = (tracked.writeStream.format("parquet").option("path", out)
              .option("checkpointLocation", work_dir(spark, "progress"))
              .trigger(availableNow=True).start())
     query.awaitTermination()
-    ended = spark.read.schema(tracked.schema).parquet(out)
-    jobs = events.select(F.col("user_id").alias("job_id")).distinct()
-    return jobs.join(ended, "job_id", "left").select(
-        "job_id", F.coalesce("outcome", F.lit(status.TIMED_OUT)).alias("outcome"),
-        F.coalesce("polls", F.lit(MAX_POLLS)).cast("bigint").alias("polls"))
+    return spark.read.schema(tracked.schema).parquet(out)
 
 
 def _turn_pairs(spark, sf_dir):
@@ -576,7 +618,7 @@ def k3_run_consistency(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    a1_scan_documents, a2_read_ocr_pages, a2_assemble_pages, a2_incomplete_jobs, a3_read_layout_pages, a4_read_text,
+    a1_scan_documents, a2_read_ocr_pages, a2_assemble_pages, a2_incomplete_jobs, a3_read_layout_pages, a4_read_text, a5_read_prompts,
     a6_write_text, a7_write_json, b1_is_supported_file, b2_derive_paths, b3_lower_extension,
     b4_route_preparation, b5_guess_content_type, b6_split_blocks, b7_effective_text,
     b8_failed_documents, b9_warn_empty_ocr, d1_handoff, d2_attach_prompt, d3_attach_responses,
@@ -585,7 +627,7 @@ QUERIES = {f.__name__: f for f in (
     f2_number_pages, f3_first_terminal_status, g1_unpivot_entities, g2_distinct_requests,
     h1_py_strip, h2_parse_page_number, h3_strict_json, h4_validate_entities, h5_parse_letters,
     h6_render_prompt, h7_to_json_record, h8_rewrite_suffix, h9_format_elapsed,
-    h10_format_run_stamp, h11_split_lines, i1_correct_text, i1_corpus_lexicon,
+    h10_format_run_stamp, h11_split_lines, i1_correct_text, i1_aligned_words, i1_decode_text, i1_corpus_lexicon,
     i1_model_correction, i2_extract_entities, i2_model_extraction, i3_explain_entities,
     i3_model_explanations, i4_split_letters, i4_model_letters, i5_document_run, i5_run_letters,
     i5_run_explanations, i5_run_failures, i6_apply_model, j1_incremental_run, j2_job_tracker, k1_edit_distance,

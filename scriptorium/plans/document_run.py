@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from scriptorium.functions.replies import CATEGORIES, EXPLAINED_CATEGORIES, to_json_record
 from scriptorium.functions.text import parse_page_number
-from scriptorium.operators.correct import correct_text, effective_text
+from scriptorium.operators.correct import aligned_words, bare, correct_text, effective_text, tokens
+from scriptorium.operators.decoding import decode_texts, learn_model
 from scriptorium.operators.entities import (
     explain_entities, explanation_maps, extract_entities, unpivot_entities)
 from scriptorium.operators.layout import assemble_text, with_empty_documents
@@ -23,6 +24,8 @@ from scriptorium.sources.sinks import write_files, write_json, write_table
 RAW, CORRECTED, COMBINED = ".raw.txt", ".corrected.txt", ".combined_output.json"
 # Replies that give a result; a reply that is no JSON has a default result.
 GOOD_REPLIES = ("parsed", "defaulted", "whole_text")
+# The result tables of a run.
+TABLES = ("raw_text", "corrected", "entities", "explanations", "letters", "doc_status", "entity_records", "combined")
 
 
 @dataclass(frozen=True)
@@ -44,12 +47,13 @@ class RunConfig:
 
 
 def document_run(files, lines, lexicon=None, gazetteer=None, knowledge=None, config=RunConfig(),
-                 jobs=None, model=None):
+                 jobs=None, model=None, pairs=None):
     """Result tables of a run, by name.
 
     ``files`` names the documents, each at least once, and ``lines`` has one row per OCR line. The
     text tasks follow the rules with ``lexicon``, ``gazetteer`` and ``knowledge``, or go to ``model``
-    (:class:`plans.model_tasks.Model`) when one is given. ``jobs(key, outcome)``, with a ``reason``
+    (:class:`plans.model_tasks.Model`) when one is given. With ``pairs(raw, corrected)``, texts and their
+    corrections, the correction is decoded in context (:mod:`operators.decoding`) instead of looked up in ``lexicon``. ``jobs(key, outcome)``, with a ``reason``
     where one is known, keeps documents whose OCR did not succeed out of every later step; they are
     reported as failed. A document without a job goes on. ``doc_status`` has exactly one row per
     document of ``files``: a step that failed for a document makes its status FAILED, names the step
@@ -65,7 +69,7 @@ def document_run(files, lines, lexicon=None, gazetteer=None, knowledge=None, con
         files = files.join(failed.select(key), key, "left_anti")
     # Lines of documents that are not in files are dropped by the join on files.
     raw = keep(with_empty_documents(files, assemble_text(lines, key, config.order), key), "raw")
-    docs = keep(_corrected(raw, lexicon, model, key), "corrected").withColumn(
+    docs = keep(_corrected(raw, lexicon, model, key, pairs), "corrected").withColumn(
         "text", effective_text(F.col("raw_text"), F.col("corrected_text")))
     texts = docs.select(key, "text")
     if model is None:
@@ -94,10 +98,14 @@ def document_run(files, lines, lexicon=None, gazetteer=None, knowledge=None, con
     }
 
 
-def _corrected(raw, lexicon, model, key):
+def _corrected(raw, lexicon, model, key, pairs=None):
+    none = F.lit(None).cast("string")
+    if model is None and pairs is not None:
+        words = F.explode(F.array_distinct(F.transform(tokens(F.col("raw_text")), bare))).alias("word")
+        reading = learn_model(pairs, aligned_words(pairs), raw.select(words).distinct())
+        return decode_texts(raw, reading, key, "raw_text").withColumn("correct_error", none)
     if model is None:
-        return correct_text(raw, lexicon, key, "raw_text").withColumn(
-            "correct_error", F.lit(None).cast("string"))
+        return correct_text(raw, lexicon, key, "raw_text").withColumn("correct_error", none)
     replies = correct_with_model(raw.select(key, F.col("raw_text").alias("text")), model, key)
     return raw.join(replies.select(key, "corrected_text", F.col("error").alias("correct_error")), key, "left")
 

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
 from scriptorium.functions.replies import CATEGORIES, parse_letters, validate_entities
 from scriptorium.functions.text import parse_page_number, py_strip
 from scriptorium.operators.model import (
-    apply_model, attach_prompt, attach_responses, entity_text, render_prompt)
+    apply_model, attach_responses, entity_text, render_prompt, stored_replies)
 from scriptorium.session import cut_lineage
 
 
@@ -17,8 +18,9 @@ from scriptorium.session import cut_lineage
 class Model:
     """A back end with its request layout and call limits.
 
-    ``known`` holds earlier replies (request_id, response, error); answered requests are not sent
-    again.
+    ``known`` holds earlier replies (request_id, response, error), and ``store`` is a folder in which
+    replies are kept as they come; answered requests are not sent again. ``timeout``, ``backoff`` and
+    ``rate`` as in :func:`operators.model.apply_model`.
     """
 
     backend: object
@@ -29,6 +31,18 @@ class Model:
     parallelism: int | None = None
     threads: int = 1
     known: DataFrame | None = None
+    timeout: float | None = None
+    backoff: float = 0.0
+    rate: float | None = None
+    store: str | None = None
+
+
+def prompt_of(prompts, task):
+    """The prompt of a task as a value; of several the greatest one, and none is an error."""
+    row = prompts.where((F.col("task") == task) & F.col("prompt").isNotNull()).agg(F.max("prompt").alias("prompt")).first()
+    if row.prompt is None:
+        raise ValueError(f"no prompt for task {task}")
+    return row.prompt
 
 
 def ask(texts, task, model):
@@ -37,17 +51,19 @@ def ask(texts, task, model):
     Replies are written once: a later step or a retried task reads them instead of calling
     the model again.
     """
-    # As a constant, the task would make Spark replace the join on it by a cross join.
-    tasked = texts.withColumn("task", F.explode(F.array(F.lit(task))))
-    requests = render_prompt(attach_prompt(tasked, model.prompts), model.layout, model.name)
+    requests = render_prompt(
+        texts.withColumns({"task": F.lit(task), "prompt": F.lit(prompt_of(model.prompts, task))}), model.layout, model.name)
+    earlier = [] if model.known is None else [model.known]
+    if model.store is not None:
+        # Read before new replies are added to it.
+        earlier.append(cut_lineage(stored_replies(texts.sparkSession, model.store), "stored"))
+    answered = [e.where(F.col("error").isNull()).select("request_id", "response", "error", F.lit(0).alias("attempt")) for e in earlier]
+    known = reduce(lambda a, b: a.unionByName(b), answered).dropDuplicates(["request_id"]) if answered else None
     replies = cut_lineage(
-        apply_model(requests, model.backend, model.parallelism, model.attempts, model.known,
-                    model.threads),
-        "replies")
-    if model.known is not None:
-        replies = replies.unionByName(
-            model.known.where(F.col("error").isNull()).select(
-                "request_id", "response", "error", F.lit(0).alias("attempt")))
+        apply_model(requests, model.backend, model.parallelism, model.attempts, known, model.threads, model.timeout,
+                    model.backoff, model.rate, model.store), "replies")
+    if known is not None:
+        replies = replies.unionByName(known)
     return attach_responses(requests, replies).drop(
         "task", "prompt", "model", "system", "user", "request_id")
 

@@ -150,16 +150,15 @@ VIEWS["v_page_numbers"] = r"""
     '^\s*([+-]?[0-9]+(_[0-9]+)*)\s*$', 1), ''), '_', '') as bigint) as page_number
   from v_texts"""
 
-# Token pairs of (raw, target) rows of a view called v_aligned, and the lexicon they give.
+# Token pairs of (marked) texts of a view called v_aligned, of which the raw text was made: the mark chr(1)
+# stands where two words were read as one, so that what belongs together is known. The lexicon they give.
 _BARE = r"regexp_replace({}, '^[^\p{{L}}\p{{N}}]+|[^\p{{L}}\p{{N}}]+$', '', 'g')"
 VIEWS["v_lexicon"] = f"""
-  select wrong, min(fixed) as fixed
-  from (select {_BARE.format("a")} as wrong, {_BARE.format("b")} as fixed
-        from (select unnest(string_split(a_line, ' ')) as a, unnest(string_split(b_line, ' ')) as b
-              from (select unnest(string_split(raw, chr(10))) as a_line,
-                      unnest(string_split(target, chr(10))) as b_line from v_aligned)
-              where len(string_split(a_line, ' ')) = len(string_split(b_line, ' '))))
-  where wrong <> fixed and wrong <> '' group by wrong having count(distinct fixed) = 1"""
+  select wrong, arg_min(fixed, (-n, fixed)) as fixed
+  from (select {_BARE.format("replace(replace(t, 'th', 'tb'), chr(1), '_')")} as wrong,
+          {_BARE.format("replace(t, chr(1), ' ')")} as fixed, count(*) as n
+        from (select unnest(string_split(replace(marked, chr(10), ' '), ' ')) as t from v_aligned) group by all)
+  where wrong <> '' group by wrong having arg_min(fixed, (-n, fixed)) <> wrong"""
 # Tokens of (doc_id, raw) rows of a view called v_raw, corrected by the lexicon and joined again.
 VIEWS["v_tokens"] = f"""
   select *, {_BARE.format("token")} as word
@@ -208,7 +207,7 @@ _RUN = {
     "v_jobs": """
   select conv_id as doc_id, coalesce(any_value(outcome), 'SUCCEEDED') as outcome, count(*) as turns
   from conversations left join v_outcomes on conv_id = job_id group by conv_id""",
-    "v_aligned": "select replace(text, 'th', 'tb') as raw, text as target from conversations",
+    "v_aligned": "select text as marked from conversations",
     "v_raw": """
   select conv_id as doc_id, replace(body, 'th', 'tb') as raw
   from v_letters join v_jobs on conv_id = doc_id where outcome = 'SUCCEEDED'""",
@@ -414,8 +413,14 @@ from (select doc_id, string_split(replace(text, '. ', '.' || chr(10)), chr(10))
       from documents)""",
     "i1_correct_text": _with("v_pairs v_aligned v_lexicon v_raw v_tokens v_repaired v_corrected", """
 select doc_id, text as corrected_text from v_corrected""",
-                             v_aligned="select replace(raw, ' and ', ' and') as raw, target from v_pairs",
-                             v_raw="select doc_id, replace(raw, ' and ', ' and') as raw from v_pairs"),
+                             v_aligned="select replace(target, ' and ', ' and' || chr(1)) as marked from v_pairs",
+                             v_raw="select doc_id, replace(raw, ' and ', ' and_') as raw from v_pairs"),
+    "i1_aligned_words": """
+select coalesce(sum(len(list_filter(string_split(replace(replace(text, ' and ', ' and_'), chr(10), ' '), ' '),
+    lambda w: w <> ''))), 0)::bigint as words, 1.0::double as aligned from documents""",
+    "a5_read_prompts": _with("v_prompts", """
+select lang, task, concat(prompt, ' Language: ', lang, ', texts: ', n) as prompt
+from v_prompts, (select lang, count(*) as n from documents where lang is not null group by lang)"""),
     "i1_corpus_lexicon": f"""
 with v_counted as (
   select word, count(*) as n from (select {_BARE.format("token")} as word
@@ -483,7 +488,7 @@ from (select doc_id, page_number, list_filter(string_split(text, chr(10) || chr(
 select job_id, coalesce(min_by(status, poll_no) filter (not late and status in ('SUCCEEDED', 'FAILED')),
     'TIMED_OUT') as outcome,
   cast(coalesce(min(poll_no) filter (not late and status in ('SUCCEEDED', 'FAILED')),
-    case when bool_or(late) then count(*) filter (not late) else {MAX_POLLS} end) as bigint) as polls
+    count(*) filter (not late)) as bigint) as polls
 from v_numbered_polls where poll_no <= {MAX_POLLS} group by job_id"""),
     "k1_edit_distance": _with("v_turns", f"""
 select doc_id, distance, {_similarity("raw", "text")} as similarity

@@ -8,6 +8,7 @@ from importlib import resources
 from pyspark.sql import functions as F
 
 from scriptorium.functions.files import SUPPORTED_SUFFIXES, is_supported_file
+from scriptorium.sources.listing import list_files, read_bodies
 
 
 def packaged_prompts():
@@ -15,60 +16,32 @@ def packaged_prompts():
     return json.loads(resources.files("scriptorium.sources").joinpath("prompts.json").read_text("utf-8"))
 
 
-def skipped_files(spark, path, recursive):
-    """Files that Spark's file sources skip, because of their name or because they are empty.
-
-    The folder is listed by the driver, as Spark itself does; what comes back is the skipped files
-    alone: path, name, length.
-    """
-    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
-    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    store, found = root.getFileSystem(hadoop), []
-    for top in store.globStatus(root) or []:
-        files = store.listFiles(top.getPath(), recursive) if top.isDirectory() else None
-        while files is not None and files.hasNext():
-            status = files.next()
-            place = status.getPath()
-            if place.getName()[0] in "_." or status.getLen() == 0:
-                found.append((place.toString(), place.getName(), status.getLen()))
-    return spark.createDataFrame(found, "path string, name string, length bigint")
-
-
 def scan_documents(spark, path, with_content=False, suffixes=SUPPORTED_SUFFIXES, recursive=False):
     """Supported files of a folder: path, name, length and, if asked for, content.
 
-    File bodies are read only when ``content`` is selected. Empty files are listed too. Names that
-    start with ``_`` or ``.`` cannot be read by Spark; :func:`hidden_files` lists them, so that a run
-    can report them.
+    Folders are listed and files read in tasks (:mod:`sources.listing`); empty files, names and folders that
+    Spark's own sources hide are documents like others. ``._`` names are none.
     """
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
-             .load(path).withColumn("name", F.substring_index("path", "/", -1))
-             .select("path", "name", "length", *(["content"] if with_content else [])))
-    empty = skipped_files(spark, path, recursive).where(
-        (F.col("length") == 0) & ~F.col("name").rlike("^[_.]"))
-    if with_content:
-        empty = empty.withColumn("content", F.lit(b""))
-    return files.where("length > 0").unionByName(empty).where(is_supported_file(F.col("name"), suffixes))
-
-
-def hidden_files(spark, path, suffixes=SUPPORTED_SUFFIXES):
-    """Supported files below a folder whose names Spark hides: path, name. ``._`` names are no documents."""
-    return skipped_files(spark, path, True).where(F.col("name").rlike("^[_.]")).where(
-        is_supported_file(F.col("name"), suffixes)).select("path", "name")
+    files = list_files(spark, path, recursive).where(is_supported_file(F.col("name"), suffixes))
+    return (read_bodies(files) if with_content else files).select("path", "name", "length", *(["content"] if with_content else []))
 
 
 def universal_newlines(text):
     return F.regexp_replace(text, "\r\n?", "\n")
 
 
+def text_bodies(files):
+    """Text files (path, name, length, modified) as (path, name, text)."""
+    text = F.try_validate_utf8(F.col("content").cast("string"))
+    return read_bodies(files).select("path", "name", universal_newlines(text).alias("text"))
+
+
 def read_text(spark, path, suffixes=(".txt",), recursive=False):
     """Whole text files as (path, name, text), UTF-8, with every line end read as a newline.
 
     A file that is not UTF-8 gives NULL text instead of an error.
     """
-    files = scan_documents(spark, path, True, suffixes, recursive)
-    text = F.try_validate_utf8(F.col("content").cast("string"))
-    return files.select("path", "name", universal_newlines(text).alias("text"))
+    return text_bodies(list_files(spark, path, recursive).where(is_supported_file(F.col("name"), suffixes)))
 
 
 def read_prompts(spark, path=None):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F, types as T
 
 from scriptorium.functions.replies import strict_json
-from scriptorium.sources.documents import skipped_files
+from scriptorium.sources.listing import list_files, read_bodies, read_lines
 
 # Record shapes of the OCR results.
 BOX = "struct<Left:double,Top:double,Width:double,Height:double>"
@@ -25,7 +25,12 @@ def read_response_pages(spark, path, lines=False):
     ``<job_id>/<page number>``. What cannot be read is a row with ``corrupt`` set, under the name of
     its file. ``lines`` as in :func:`json_records`.
     """
-    pages = json_records(spark, path, f"job_id string, page_ord bigint, {RESPONSE_PAGE}", lines)
+    return response_pages(json_files(spark, path), lines)
+
+
+def response_pages(files, lines=False):
+    """:func:`read_response_pages` of listed files."""
+    pages = json_records(files, f"job_id string, page_ord bigint, {RESPONSE_PAGE}", lines)
     return pages.select(
         F.coalesce("job_id", F.regexp_extract("_file", _PAGE_FILE, 1)).alias("job_id"),
         F.coalesce("page_ord", F.regexp_extract("_file", _PAGE_FILE, 2).try_cast("bigint"))
@@ -33,19 +38,26 @@ def read_response_pages(spark, path, lines=False):
         "Blocks", "JobStatus", "StatusMessage", "NextToken", "corrupt")
 
 
-def json_records(spark, path, schema, lines=False):
-    """JSON objects of the given shape, with ``_file`` and ``corrupt``; nothing unreadable is dropped.
+def json_files(spark, path):
+    """Files of a folder and all below it that hold JSON: those called so, and others that are not hidden."""
+    name = F.col("name")
+    return list_files(spark, path, recursive=True).where(
+        ~name.startswith("._") & (F.lower(name).rlike(r"\.json(\.gz)?$") | ~name.rlike("^[_.]")))
+
+
+def json_records(files, schema, lines=False):
+    """JSON objects of the given shape in listed files, with ``_file`` and ``corrupt``; nothing unreadable is dropped.
 
     By default a file is one object or a list of them, over any number of lines; a file that is
-    neither is read line by line. With ``lines`` every line of every file is an object, and Spark
-    splits long files.
+    neither is read line by line. With ``lines`` every line of every file is an object, and long files
+    are read by many tasks. Hidden names and folders are read too; bytes that are not UTF-8 are a corrupt record.
     """
-    texts = spark.read.text(path, wholetext=not lines, recursiveFileLookup=True).select(
-        "value", F.col("_metadata.file_path").alias("_file"))
+    if lines:
+        texts = read_lines(files)
+    else:
+        texts = read_bodies(files).select(F.col("path").alias("_file"), F.col("content").alias("value"))
+    texts = texts.select("_file", F.coalesce(F.try_validate_utf8(F.col("value").cast("string")), F.lit("")).alias("value"))
     if not lines:
-        # Spark does not read empty files; each is an unreadable record here.
-        empty = skipped_files(spark, path, True).where((F.col("length") == 0) & ~F.col("name").rlike("^[_.]"))
-        texts = texts.unionByName(empty.select(F.lit("").alias("value"), F.col("path").alias("_file")))
         own = F.filter(F.split("value", "\r?\n"), lambda line: F.trim(line) != "")
         texts = texts.select("_file", F.explode_outer(
             F.when(strict_json(F.col("value")).isNotNull(), F.array("value")).otherwise(own)).alias("value"))
@@ -56,6 +68,11 @@ def json_records(spark, path, schema, lines=False):
         "_file", "corrupt", "_r.*")
 
 
+def file_unit(path):
+    """What has to be read together with a page file: its job's folder, or the file itself."""
+    return F.when(path.rlike("/" + _PAGE_FILE), F.regexp_replace(path, "/[^/]+$", "")).otherwise(path)
+
+
 def incomplete_jobs(pages):
     """Jobs that were not read in full: (job_id, outcome, reason).
 
@@ -95,7 +112,12 @@ def read_layout_results(spark, path, lines=False):
 
     An unreadable file is a document called like the file, without pages and with ``corrupt`` set.
     """
-    results = json_records(spark, path, LAYOUT_RESULT, lines)
+    return layout_results(json_files(spark, path), lines)
+
+
+def layout_results(files, lines=False):
+    """:func:`read_layout_results` of listed files."""
+    results = json_records(files, LAYOUT_RESULT, lines)
     name = F.regexp_replace(F.substring_index("_file", "/", -1), r"\.json$", "")
     return results.select(F.coalesce("doc_id", name).alias("doc_id"), "pages", "corrupt")
 

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from scriptorium.functions.replies import to_json_record
+from scriptorium.session import cut_lineage
+from scriptorium.sources.listing import opened, qualified
 
 
 def write_table(df, path, batch_id=None):
@@ -36,27 +41,56 @@ def export_text(df, path, name, text, buckets=64):
     write_files(rows, path, "name", "text", ".txt", nested=False)
 
 
-def write_files(df, path, name, text, ending, nested=True):
-    """One file per row, written in the task that holds it: ``<name>/<name><ending>`` or ``<name><ending>``.
-
-    A file appears under its name only when it is whole, so a task that is run again replaces it.
-    """
-    rows = df.select(F.col(name).cast("string").alias("name"), F.col(text).alias("text"))
-
+def _staged(folder, ending, nested):
     def write(batches):
-        import os
         import uuid
-
+        for batch in batches:
+            names, targets = batch.column(0).to_pylist(), []
+            for name, text in zip(names, batch.column(1).to_pylist()):
+                store, root = opened(folder)
+                place = f"{name}/{name}{ending}" if nested else f"{name}{ending}"
+                staged = f"{uuid.uuid4().hex}"
+                with store.open_output_stream(f"{root}/{staged}", compression=None) as stream:
+                    stream.write((text or "").encode())
+                targets.append((staged, place))
+            yield pa.RecordBatch.from_arrays([pa.array([t[i] for t in targets], pa.string()) for i in (0, 1)], ["staged", "place"])
+    return write
+
+
+def _published(folder, path):
+    def move(batches):
         from pyarrow import fs
-        store, root = fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else os.path.abspath(path))
         for batch in batches:
-            for key, value in zip(batch["name"], batch["text"]):
-                target = f"{root}/{key}/{key}{ending}" if nested else f"{root}/{key}{ending}"
-                store.create_dir(target.rpartition("/")[0], recursive=True)
-                temporary = f"{target}.{uuid.uuid4().hex}"
-                with store.open_output_stream(temporary, compression=None) as stream:
-                    stream.write(value.encode())
-                store.move(temporary, target)
-            yield batch[["name"]]
-
-    rows.mapInPandas(write, "name string").write.format("noop").mode("overwrite").save()
+            for staged, place in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                (store, source), (_, root) = opened(folder), opened(path)
+                source, target = f"{source}/{staged}", f"{root}/{place}"
+                # A task that runs again finds what it has moved already.
+                if store.get_file_info(source).type == fs.FileType.File:
+                    store.create_dir(target.rpartition("/")[0], recursive=True)
+                    store.move(source, target)
+            yield batch
+    return move
+
+
+def write_files(df, path, name, text, ending, nested=True):
+    """One file per row, ``<name>/<name><ending>`` or ``<name><ending>`` below ``path``: all of them or none.
+
+    Tasks write into a folder of staged files and put their names into a table, so Spark's own commit
+    decides which attempt of a task counts. Only when that table is whole do tasks move its files to
+    their places. What lost or speculative attempts have left is removed with the folder, also when the
+    first step fails, which then has replaced nothing. A path without scheme lies in the session's default file system.
+    Returns the number of files.
+    """
+    spark = df.sparkSession
+    path = qualified(spark, path)
+    folder = f"{path}/_staging-{uuid.uuid4().hex}"
+    store, root = opened(folder)
+    store.create_dir(root, recursive=True)
+    try:
+        rows = df.select(F.col(name).cast("string").alias("name"), F.col(text).alias("text"))
+        staged = cut_lineage(rows.mapInArrow(_staged(folder, ending, nested), "staged string, place string"), "staged")
+        moved = staged.mapInArrow(_published(folder, path), "staged string, place string")
+        moved.write.format("noop").mode("overwrite").save()
+        return staged.count()
+    finally:
+        store.delete_dir(root)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import heapq
+
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
@@ -12,71 +14,86 @@ from scriptorium.operators.status import (
 _ORDER = ["ts", "event_id"]
 
 
+def outcome_of(polls, max_retries, deadline_ms=None):
+    """(outcome or None, polls made, time in ms that decides it) of polls (ms, event_id, status) in order.
+
+    ``None`` as outcome means that these polls end nothing; the time is then that of the deadline, if there is one.
+    """
+    seen, ends = 0, polls[0][0] + deadline_ms if polls and deadline_ms is not None else None
+    for at, _, status in polls:
+        if ends is not None and at > ends:
+            return TIMED_OUT, seen, ends
+        seen += 1
+        if status in (SUCCEEDED, FAILED):
+            return status, seen, at
+        if seen == max_retries:
+            return TIMED_OUT, seen, at
+    return None, seen, ends
+
+
 def track_jobs(stream, max_retries=MAX_RETRIES, deadline_seconds=MAX_RETRIES * DELAY_SECONDS,
                watermark="10 minutes"):
     """Stream of (job_id, outcome, polls) from a stream of (job_id, event_id, ts, status).
 
-    A job ends at its first terminal status, after ``max_retries`` polls, or
-    ``deadline_seconds`` of event time after its first poll, also where the late poll comes in the same
-    micro-batch (``None``: no deadline; then ended jobs are remembered for good). Events of one
-    micro-batch count in the order of (ts, event_id); later events of an ended job are ignored. If
-    events come in order, the outcome does not depend on how they fall into micro-batches.
+    A job ends at its first terminal status, after ``max_retries`` polls, or ``deadline_seconds`` of event
+    time after its first poll. Its first polls are kept in state in the order of (ts, event_id), and an outcome
+    is given when the watermark has passed the event or the deadline that decides it: no earlier event can
+    come any more. So it does not depend on how events fall into micro-batches, or on
+    their order, as long as none comes later than ``watermark`` allows. At most ``max_retries`` polls of a job are kept.
+
+    With ``deadline_seconds=None`` there is no event time to wait for: an outcome is given as soon as the polls that
+    have come decide it, events count as they come, and ended jobs are remembered for good.
     """
     events = stream.select("job_id", "event_id", F.col("ts").cast("timestamp").alias("ts"), "status")
-    with_deadline = deadline_seconds is not None
+    timed = deadline_seconds is not None
+    deadline_ms = deadline_seconds * 1000 if timed else None
 
     def first_of_each_job(batches):
         # Whatever is not among the first polls of its own Arrow batch cannot be among the
         # first of its job: a job with very many events shrinks here, before the shuffle.
         for batch in batches:
-            yield batch.sort_values(_ORDER).groupby("job_id", sort=False).head(max_retries)
+            yield batch.sort_values(_ORDER).groupby("job_id", sort=False, dropna=False).head(max_retries)
 
     def follow(key, batches, state):
-        seen, done, first_ms = state.get if state.exists else (0, False, None)
-        if state.hasTimedOut:
-            if done:
+        times, ids, statuses, seen, done = state.get if state.exists else ([], [], [], 0, False)
+        if done:
+            for _ in batches:
+                pass
+            if state.hasTimedOut:
                 state.remove()
-                return
-            state.update((seen, True, first_ms))
-            state.setTimeoutTimestamp(state.getCurrentWatermarkMs() + deadline_seconds * 1000)
-            yield pd.DataFrame({"job_id": [key[0]], "outcome": [TIMED_OUT], "polls": [seen]})
             return
-        polls = None
-        for batch in batches:
-            if done:
-                continue
-            polls = batch if polls is None else pd.concat([polls, batch])
-            polls = polls.nsmallest(max_retries - seen, _ORDER)
-        outcome = None
-        if polls is not None and not done:
-            times = [int(ts.timestamp() * 1000) for ts in polls["ts"]]
-            # The first poll is the earliest one that has come, in whichever batch.
-            first_ms = times[0] if first_ms is None else min(first_ms, times[0])
-            for at, status in zip(times, polls["status"]):
-                if with_deadline and at > first_ms + deadline_seconds * 1000:
-                    outcome = TIMED_OUT
-                    break
-                seen += 1
-                if status in (SUCCEEDED, FAILED):
-                    outcome = status
-                elif seen == max_retries:
-                    outcome = TIMED_OUT
-                if outcome:
-                    break
-            done = outcome is not None
-        state.update((seen, done, first_ms))
-        if with_deadline and first_ms is not None:
+        polls = list(zip(times, ids, statuses))
+        if not state.hasTimedOut:
+            for batch in batches:
+                new = zip((int(ts.timestamp() * 1000) for ts in batch["ts"]), (int(i) for i in batch["event_id"]), batch["status"])
+                polls = heapq.nsmallest(max_retries - (0 if timed else seen), [*polls, *new], key=lambda p: p[:2])
+        if timed:
+            outcome, made, decides = outcome_of(polls, max_retries, deadline_ms)
+            passed = state.getCurrentWatermarkMs()
+            if decides is not None and passed > decides:
+                outcome = outcome or TIMED_OUT
+            else:
+                outcome = None
+            if outcome is None:
+                state.update(([p[0] for p in polls], [p[1] for p in polls], [p[2] for p in polls], 0, False))
+                state.setTimeoutTimestamp(max(decides, passed) + 1)
+                return
             # An ended job is remembered for one more deadline, then forgotten.
-            ends = first_ms + deadline_seconds * 1000
-            state.setTimeoutTimestamp(max(ends, state.getCurrentWatermarkMs()) + 1)
-        if outcome:
-            yield pd.DataFrame({"job_id": [key[0]], "outcome": [outcome], "polls": [seen]})
+            state.update(([], [], [], made, True))
+            state.setTimeoutTimestamp(max(polls[0][0] + deadline_ms, passed) + deadline_ms + 1)
+        else:
+            outcome, made, _ = outcome_of(polls, max_retries - seen)
+            made += seen
+            state.update(([], [], [], made, outcome is not None))
+            if outcome is None:
+                return
+        yield pd.DataFrame({"job_id": [key[0]], "outcome": [outcome], "polls": [made]})
 
     first = events.mapInPandas(first_of_each_job, events.schema)
-    if with_deadline:
+    if timed:
         first = first.withWatermark("ts", watermark)
     job_type = stream.schema["job_id"].dataType.simpleString()
     return first.groupBy("job_id").applyInPandasWithState(
         follow, f"job_id {job_type}, outcome string, polls bigint",
-        "seen int, done boolean, first_ms bigint", "append",
-        GroupStateTimeout.EventTimeTimeout if with_deadline else GroupStateTimeout.NoTimeout)
+        "times array<bigint>, ids array<bigint>, statuses array<string>, seen int, done boolean", "append",
+        GroupStateTimeout.EventTimeTimeout if timed else GroupStateTimeout.NoTimeout)

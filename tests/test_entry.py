@@ -25,7 +25,8 @@ def normal(rows, order):
 
 def test_every_sql_has_a_query():
     assert set(SQL) <= set(entry.queries())
-    assert set(entry.queries()) - set(SQL) <= set(entry.LLM_QUERIES)
+    # What is decoded by learned probabilities has no SQL; test_operators compares it with brute force.
+    assert set(entry.queries()) - set(SQL) <= {*entry.LLM_QUERIES, "i1_decode_text"}
 
 
 def test_entry(spark, sf_dir):

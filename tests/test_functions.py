@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from scriptorium.functions import files, replies, text
-from scriptorium.functions.distance import _levenshtein, text_distance
+from scriptorium.functions.distance import levenshtein, text_distance
 
 
 @pytest.mark.parametrize("name,kept", [
@@ -138,7 +138,7 @@ def test_distance_is_brute_force(spark):
     rng = random.Random(1)
     pick = lambda n: "".join(rng.choice("abcé \n") for _ in range(rng.randint(0, n)))
     pairs = [(pick(12), pick(12)) for _ in range(1500)] + [(pick(200), pick(200)) for _ in range(30)]
-    assert all(_levenshtein(a, b) == brute_distance(a, b) for a, b in pairs)
+    assert all(levenshtein(a, b) == brute_distance(a, b) for a, b in pairs)
     rows = spark.createDataFrame([*pairs[:50], (None, "a")], "a string, b string")
     got = [r.d for r in rows.select(text_distance(F.col("a"), F.col("b")).alias("d")).collect()]
     assert got == [brute_distance(a, b) for a, b in pairs[:50]] + [None]

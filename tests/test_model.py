@@ -1,4 +1,5 @@
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -69,6 +70,75 @@ def test_parallelism_sets_the_number_of_tasks(spark):
     assert df.rdd.getNumPartitions() == 3
 
 
+def test_a_hanging_call_ends_as_an_error(spark):
+    def hanging():
+        import time
+
+        def call(task, system, user):
+            if user == "b":
+                time.sleep(600)
+            return user
+        return call
+    started = time.time()
+    got = model.apply_model(requests(spark, list("abc")), hanging, parallelism=1, threads=3, timeout=0.5).collect()
+    assert {r.request_id: (r.response, r.error) for r in got} == {
+        "r0": ("a", None), "r1": (None, "TimeoutError: no reply within 0.5 s"), "r2": ("c", None)}
+    assert time.time() - started < 60
+
+
+def test_pauses_double_and_are_shortened_by_chance():
+    pauses = []
+
+    def call(*request):
+        raise OSError("busy")
+    assert model.send(call, ("t", None, "u"), attempts=9, backoff=1.0, sleep=pauses.append) == (None, "OSError: busy", 9)
+    longest = [min(60.0, 2.0 ** n) for n in range(8)]
+    assert all(0.5 * top <= p <= top for p, top in zip(pauses, longest)) and len(pauses) == 8
+
+
+def test_calls_keep_their_pace():
+    now, began = [0.0], []
+    pace = model.Pace(4.0, clock=lambda: now[0], sleep=lambda s: now.__setitem__(0, now[0] + s))
+    for _ in range(9):
+        pace.wait()
+        began.append(now[0])
+    assert began == pytest.approx([n / 4 for n in range(9)])
+
+
+def counting(folder, dies=False):
+    """A back end that leaves a file for every call, and can take its task down after some."""
+    def factory():
+        import os
+        import uuid
+
+        def call(task, system, user):
+            (folder / f"{user}-{uuid.uuid4().hex}").touch()
+            if dies and len(list(folder.iterdir())) > 150:
+                raise SystemExit
+            return user
+        return call
+    return factory
+
+
+def test_replies_outlast_a_run_that_failed(spark, tmp_path):
+    calls, store = tmp_path / "calls", str(tmp_path / "store")
+    calls.mkdir()
+    wanted = requests(spark, [f"t{i}" for i in range(300)]).coalesce(1)
+    with pytest.raises(Exception):
+        model.apply_model(wanted, counting(calls, dies=True), parallelism=1, store=store).collect()
+    first = len(list(calls.iterdir()))
+    kept = model.stored_replies(spark, store).count()
+    assert 0 < kept < 300 and first < 300
+    again = model.apply_model(wanted, counting(calls), parallelism=1, store=store).collect()
+    assert len(again) == 300 - kept and len(list(calls.iterdir())) == first + 300 - kept
+    texts = spark.createDataFrame([(i, f"t{i}") for i in range(5)], "doc_id int, text string")
+    counted = Model(counting(calls), read_prompts(spark), store=str(tmp_path / "asked"))
+    for _ in range(2):
+        got = ask(texts, "correct_text", counted)
+        assert sorted((r.doc_id, r.response) for r in got.collect()) == [(i, f"t{i}") for i in range(5)]
+    assert len(list(calls.iterdir())) == first + 300 - kept + 5
+
+
 def test_layouts(spark):
     rows = spark.createDataFrame(
         [("correct_text", "P", "t"), ("explain_entities", "E", "Category: c\nEntity: e"),

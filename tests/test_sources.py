@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from scriptorium.operators import layout
 from scriptorium.session import cut_lineage, work_dir
-from scriptorium.sources import documents, ocr, sinks
+from scriptorium.sources import documents, listing, ocr, sinks
 
 
 def test_scan_documents(spark, tmp_path):
@@ -110,10 +110,74 @@ def test_nothing_unreadable_is_dropped(spark, tmp_path):
         assert [r.job_id for r in rows if not r.corrupt] == ["a", "c"] and sum(r.corrupt for r in rows) >= 1
 
 
-def test_hidden_names_are_reported(spark, tmp_path):
-    for name in ("a.jpg", "_a.png", ".h.png", "._b.png", "_notes.md"):
-        (tmp_path / name).write_bytes(b"1")
-    assert sorted(r.name for r in documents.hidden_files(spark, str(tmp_path)).collect()) == [".h.png", "_a.png"]
+def tree(root, files):
+    for name, data in files.items():
+        (root / name).parent.mkdir(parents=True, exist_ok=True)
+        (root / name).write_bytes(data)
+
+
+def test_no_file_is_lost(spark, tmp_path):
+    files = {"a.txt": b"a", "_x/b.txt": b"b", ".y/c.txt": b"c", "_d.txt": b"", "z/_e/.f.txt": b"\xff", "z/g.TXT": b"g"}
+    tree(tmp_path, files | {"._h.txt": b"h", "n.md": b"n", "_temporary/0/t.txt": b"t", "z/_delta_log/1.txt": b"1"})
+    got = {r.path.removeprefix(f"file:{tmp_path}/"): r.text for r in documents.read_text(spark, str(tmp_path), recursive=True).collect()}
+    assert got == {"a.txt": "a", "_x/b.txt": "b", ".y/c.txt": "c", "_d.txt": "", "z/_e/.f.txt": None, "z/g.TXT": "g"}
+    flat = documents.scan_documents(spark, str(tmp_path), suffixes=(".txt",))
+    assert sorted((r.name, r.length) for r in flat.collect()) == [("_d.txt", 0), ("a.txt", 1)]
+    assert [r.name for r in documents.scan_documents(spark, str(tmp_path / "*" / "b.txt"), suffixes=(".txt",)).collect()] == ["b.txt"]
+    assert documents.scan_documents(spark, str(tmp_path / "none")).count() == 0
+    (tmp_path / "void").mkdir()
+    assert documents.read_text(spark, str(tmp_path / "void")).count() == 0
+
+
+def test_pages_in_hidden_folders_are_read(spark, tmp_path):
+    page = json.dumps({"JobStatus": "SUCCEEDED", "Blocks": [block("LINE", "x")]}).encode()
+    tree(tmp_path, {"j1/0": page, "_j2/0.json": page, ".j3/_0.json": page, "j1/_SUCCESS": b"", "j1/.0.json.crc": b"x"})
+    for lines in (False, True):
+        rows = ocr.read_response_pages(spark, str(tmp_path), lines).collect()
+        assert sorted((r.job_id, r.corrupt) for r in rows if r.page_ord == 0) == [("_j2", False), ("j1", False)]
+        assert len(rows) == 3
+
+
+def test_lines_of_ranges_are_those_of_the_file(spark, tmp_path):
+    import gzip
+    import random
+    rng = random.Random(3)
+    texts = {f"f{i}": b"".join(bytes(rng.choices(b"ab\r ", k=rng.randrange(30))) + b"\n" for _ in range(rng.randrange(9))) + b"x" * rng.randrange(2)
+             for i in range(25)}
+    tree(tmp_path, texts | {"g.gz": gzip.compress(b"one\ntwo\n")})
+    files = listing.list_files(spark, str(tmp_path))
+    expected = sorted((n, line.removesuffix(b"\r")) for n, data in texts.items()
+                      for line in data.removesuffix(b"\n").split(b"\n") if data) + [("g.gz", b"one"), ("g.gz", b"two")]
+    for size in (1, 7, 1 << 20):
+        got = listing.read_lines(files, size).select(F.substring_index("_file", "/", -1).alias("n"), "value")
+        assert sorted((r.n, bytes(r.value)) for r in got.collect()) == sorted(expected)
+
+
+def test_staged_files_are_all_or_none(spark, tmp_path):
+    out = tmp_path / "out"
+    rows = spark.createDataFrame([("a", "one"), ("b", ""), ("c", None)], "name string, text string")
+    assert sinks.write_files(rows, str(out), "name", "text", ".txt") == 3
+    assert {p.name: p.read_text() for p in out.rglob("*.txt")} == {"a.txt": "one", "b.txt": "", "c.txt": ""}
+    bad = spark.createDataFrame([("a", "new"), ("b", "new")], "name string, text string").withColumn(
+        "text", F.when(F.col("name") == "b", F.raise_error(F.lit("broken")).cast("string")).otherwise(F.col("text")))
+    with pytest.raises(Exception, match="broken"):
+        sinks.write_files(bad, str(out), "name", "text", ".txt")
+    assert (out / "a" / "a.txt").read_text() == "one" and not list(out.glob("_staging*"))
+    assert sinks.write_files(rows.limit(1).select("name", F.lit("again").alias("text")), f"file://{out}", "name", "text", ".txt") == 1
+    assert sum((p.read_text() == "again") for p in out.rglob("*.txt")) == 1
+
+
+def test_an_attempt_that_runs_again_moves_nothing_twice(tmp_path):
+    import pyarrow as pa
+    folder, out = tmp_path / "_staging-1", tmp_path
+    folder.mkdir()
+    batch = pa.RecordBatch.from_pydict({"name": ["a"], "text": ["one"]})
+    # Two attempts of a task: the first one's rows are in the table.
+    first, lost = (list(sinks._staged(f"file:{folder}", ".txt", False)([batch]))[0] for _ in range(2))
+    assert len(list(folder.iterdir())) == 2
+    for _ in range(2):
+        list(sinks._published(f"file:{folder}", f"file:{out}")([first]))
+    assert (out / "a.txt").read_text() == "one" and len(list(folder.iterdir())) == 1
 
 
 def test_work_dir_is_never_local_on_a_cluster():
