@@ -400,12 +400,10 @@ def i1_aligned_words(spark, sf_dir):
 def a5_read_prompts(spark, sf_dir):
     """The catalog of the package, written per language of the documents and read back as a user's own."""
     path = work_dir(spark, "prompts")
-    catalog = documents.read_prompts(spark)
-    tasks = [r.task for r in catalog.select("task").orderBy("task").collect()]
+    catalog = {r.task: r.prompt for r in documents.read_prompts(spark).collect()}
     spoken = derived.table(spark, sf_dir, "documents").groupBy("lang").agg(F.count("*").alias("n")).where("lang is not null")
-    rows = spoken.join(F.broadcast(catalog.groupBy().pivot("task", tasks).agg(F.first("prompt"))))
-    rows.select("lang", *[F.concat(t, F.lit(" Language: "), "lang", F.lit(", texts: "), F.col("n").cast("string")).alias(t) for t in tasks]).write.partitionBy(
-        "lang").json(path)
+    spoken.select("lang", *[F.concat(F.lit(prompt), F.lit(" Language: "), "lang", F.lit(", texts: "), F.col("n").cast("string")).alias(task)
+                            for task, prompt in catalog.items()]).write.partitionBy("lang").json(path)
     langs = [r.lang for r in spoken.select("lang").orderBy("lang").collect()]
     return reduce(lambda a, b: a.unionByName(b), [
         documents.read_prompts(spark, f"{path}/lang={lang}").select(F.lit(lang).alias("lang"), "task", "prompt") for lang in langs])

@@ -64,7 +64,10 @@ def test_letters_need_no_shuffle(documents):
 def test_correction_shuffles_hits_by_document_once(spark, documents, conf):
     conf(autoBroadcastJoinThreshold="-1")
     lexicon = spark.createDataFrame([("x", "z")], "wrong string, right string")
-    tree = plan(correct_text(documents.select("doc_id", "text"), lexicon)).split("\n\n")[0]
+    texts = documents.select("doc_id", "text")
+    # A lexicon that fits is looked up inside the row.
+    assert "Exchange" not in plan(correct_text(texts, lexicon))
+    tree = plan(correct_text(texts, lexicon, in_row=0)).split("\n\n")[0]
     # Two sides of the lookup, the hits by document, and the documents.
     assert tree.count("Exchange") == 4
 
