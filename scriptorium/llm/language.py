@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import math
 import random
-import re
 
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark.sql import Window, functions as F
 
@@ -14,14 +14,19 @@ from scriptorium.llm.rows import result_schema, with_text
 
 UNKNOWN = "und"
 DOCUMENTS_PER_LANGUAGE = 400
-MAX_LANGUAGES = 500
+# Bounds of the fit over all languages, which share them: documents that are sampled, bytes of all dictionaries.
+SAMPLE_DOCUMENTS, ALL_DICTIONARIES = 200_000, 24 << 20
+# Of more languages the most frequent are learned.
+MAX_LANGUAGES = 20_000
+SALTS = 64
 DICTIONARY_BYTES = 48 << 10
 PIECE_BYTES = 1500
 RUN_CHARACTERS = 60
 BLOCK_BYTES = 16 << 10
 LEVEL = 6
 MARGIN = 0.01
-_BREAK = re.compile(r"[\W\d_]+")
+# Marks belong to the letters before them: without them Indic and Thai words fall apart.
+_BREAK = regex.compile(r"[^\p{L}\p{M}]+")
 
 
 def letters_only(text):
@@ -43,11 +48,13 @@ def sample_of(text, seed, size=PIECE_BYTES):
     return b" ".join(runs)
 
 
-def _samples(batches):
-    for batch in batches:
-        texts, seeds = batch.column(2), batch.column(1).to_pylist()
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(
-            [sample_of(value.as_py(), seed) for value, seed in zip(texts, seeds)], pa.binary())], ["lang", "h", "piece"])
+def _samples(piece_bytes):
+    def run(batches):
+        for batch in batches:
+            texts, seeds = batch.column(2), batch.column(1).to_pylist()
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(
+                [sample_of(value.as_py(), seed, piece_bytes) for value, seed in zip(texts, seeds)], pa.binary())], ["lang", "h", "piece"])
+    return run
 
 
 def shared_out(pieces, total):
@@ -61,23 +68,31 @@ def shared_out(pieces, total):
 
 
 def learn_dictionaries(training, text="text", lang="lang", key="doc_id", per_language=DOCUMENTS_PER_LANGUAGE,
-                       dictionary_bytes=DICTIONARY_BYTES):
+                       dictionary_bytes=DICTIONARY_BYTES, piece_bytes=PIECE_BYTES, max_languages=MAX_LANGUAGES):
     """{language: bytes}: raw-content dictionaries from a bounded sample of labelled rows.
 
     The sample is the ``per_language`` ids of each language with the smallest hash, one row for each,
-    so reruns agree. Ids are chosen first; texts are read for chosen ids only. Of each, ``PIECE_BYTES``
-    from all over the text leave a task, and all of them share the dictionary. Rows without language,
-    text or key teach nothing. More than ``MAX_LANGUAGES`` languages are an error.
+    so reruns agree. Ids are chosen first; texts are read for chosen ids only. Of each, ``piece_bytes``
+    from all over the text leave a task, and all of them share the dictionary. Many languages have fewer documents and
+    smaller dictionaries each, so that together they stay within ``SAMPLE_DOCUMENTS`` and ``ALL_DICTIONARIES``;
+    of more than ``max_languages`` the most frequent are learned. Rows without language, text or key teach nothing.
     """
     rows = training.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(key).isNotNull()).select(
         F.col(key).alias("key"), F.col(lang).alias("lang"), F.xxhash64(F.col(key)).alias("h"), F.col(text).alias("text"))
-    order = Window.partitionBy("lang").orderBy("h", "key")
-    chosen = rows.select("key", "lang", "h").withColumn("n", F.dense_rank().over(order)).where(F.col("n") <= per_language)
-    if len(rows.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect()) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    table = training.sparkSession.createDataFrame(chosen.select("lang", "key").distinct().collect(), rows.select("lang", "key").schema)
+    names = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages + 1).select("lang").collect()
+    known = rows.select("key", "lang", "h").distinct()
+    if len(names) > max_languages:
+        kept = training.sparkSession.createDataFrame(names[:max_languages], rows.select("lang").schema)
+        known, names = known.join(F.broadcast(kept), "lang", "left_semi"), names[:max_languages]
+    each = max(1, min(per_language, SAMPLE_DOCUMENTS // max(1, len(names))))
+    dictionary_bytes = min(dictionary_bytes, ALL_DICTIONARIES // max(1, len(names)))
+    # A language that most rows have is cut in parts first, so that no task gets what every other one has left of it.
+    chosen = known.withColumn("part", F.pmod(F.xxhash64("key", F.lit(1)), F.lit(SALTS)))
+    for by in (("lang", "part"), ("lang",)):
+        chosen = chosen.withColumn("n", F.row_number().over(Window.partitionBy(*by).orderBy("h", "key"))).where(F.col("n") <= each)
+    table = training.sparkSession.createDataFrame(chosen.select("lang", "key").collect(), rows.select("lang", "key").schema)
     texts = rows.join(F.broadcast(table), ["lang", "key"]).select("lang", "h", "text")
-    pieces = texts.mapInArrow(_samples, "lang string, h bigint, piece binary").groupBy("lang", "h").agg(
+    pieces = texts.mapInArrow(_samples(piece_bytes), "lang string, h bigint, piece binary").groupBy("lang", "h").agg(
         F.min("piece").alias("piece"))
     found = {}
     for r in sorted(pieces.collect(), key=lambda r: (r.lang, r.h, bytes(r.piece))):

@@ -192,7 +192,12 @@ def _search(gaussian, dimension, k, ratio):
             for q, unit, bound, own in zip(queries["class_id"].to_numpy(), units, bounds, rows):
                 found, _ = block.search(unit, unit @ gaussian, k, bound, ratio)
                 # The score itself is the cosine of the vectors as they are given.
-                scores = matrix[found] @ own / (np.linalg.norm(matrix[found], axis=1) * np.linalg.norm(own))
+                with np.errstate(over="ignore", under="ignore", invalid="ignore", divide="ignore"):
+                    size = np.linalg.norm(matrix[found], axis=1) * np.linalg.norm(own)
+                    scores = matrix[found] @ own / size
+                # Squares of very large or small components leave the range of doubles; scaled vectors do not.
+                lost = np.flatnonzero(~((size > 1e-280) & (size < 1e280)))
+                scores[lost] = block.unit[found[lost]] @ unit
                 out[0].append(np.full(len(found), q))
                 out[1].append(ids[found])
                 out[2].append(scores)

@@ -11,7 +11,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from scriptorium.llm import filter_audit, hard_negatives, queries, secrets
+from scriptorium.llm import filter_audit, hard_negatives, language, neighbours, queries, secrets
 from tests.llm.test_plans_and_registry import plan
 from tests.llm.test_text_operators import EDGES, SCHEMA, documents
 
@@ -245,3 +245,32 @@ def test_tree_skips_what_no_window_needs():
 def test_products_beyond_doubles_are_exact():
     a, b = np.array([[2.0 ** 40, 3.0], [2.0 ** 62, 2.0 ** 62]]), np.array([2.0 ** 20, 1.0])
     assert hard_negatives.exact_products(a, b, 2.0 ** 62).tolist() == [2 ** 60 + 3, 2 ** 63 - 1]
+
+
+# Edges of earlier operators ------------------------------------------------------------------------
+
+def test_marks_stay_with_their_letters():
+    assert language.letters_only("हिन्दी में, ภาษาไทยที่ 12 É_x") == "हिन्दी में ภาษาไทยที่ é x"
+
+
+def test_many_languages_share_the_bounds(spark):
+    rows = [(i, f"word{chr(97 + i % 26)} " * 5, f"l{i % 600:03d}") for i in range(1200)] + [(9, None, "x"), (None, "a", "y"), (10, "a b", None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    found = language.learn_dictionaries(docs, per_language=5)
+    assert len(found) == 600 and sum(map(len, found.values())) <= language.ALL_DICTIONARIES
+    assert sorted(language.learn_dictionaries(docs, max_languages=7)) == [f"l{i:03d}" for i in range(7)]
+    hot = spark.createDataFrame([(i, f"text {i}", "en") for i in range(500)] * 2, "doc_id bigint, text string, lang string")
+    assert language.learn_dictionaries(hot, per_language=3)["en"].count(b"text") == 3
+
+
+@pytest.mark.parametrize("scale", [1e200, 1e-200])
+def test_neighbours_of_vectors_beyond_squares(spark, scale):
+    rng = np.random.default_rng(8)
+    plain = rng.normal(size=(120, 6))
+    for name, data in (("plain", plain), ("scaled", plain * scale)):
+        frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(data)], "vec_id bigint, embedding array<double>")
+        got = neighbours.nearest_neighbours(frame, F.col("vec_id") % 50 == 0, k=3).collect()
+        found = {(r.query_id, r["rank"]): (r.vec_id, round(r.score, 9)) for r in got}
+        if name == "plain":
+            expected = found
+    assert found == expected and len(found) == 9
