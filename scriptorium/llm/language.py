@@ -18,7 +18,7 @@ DOCUMENTS_PER_LANGUAGE = 400
 SAMPLE_DOCUMENTS, ALL_DICTIONARIES = 200_000, 24 << 20
 # Of more languages the most frequent are learned.
 MAX_LANGUAGES = 20_000
-SALTS = 64
+SPARE = 4
 DICTIONARY_BYTES = 48 << 10
 PIECE_BYTES = 1500
 RUN_CHARACTERS = 60
@@ -79,17 +79,18 @@ def learn_dictionaries(training, text="text", lang="lang", key="doc_id", per_lan
     """
     rows = training.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(key).isNotNull()).select(
         F.col(key).alias("key"), F.col(lang).alias("lang"), F.xxhash64(F.col(key)).alias("h"), F.col(text).alias("text"))
-    names = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages + 1).select("lang").collect()
-    known = rows.select("key", "lang", "h").distinct()
-    if len(names) > max_languages:
-        kept = training.sparkSession.createDataFrame(names[:max_languages], rows.select("lang").schema)
-        known, names = known.join(F.broadcast(kept), "lang", "left_semi"), names[:max_languages]
+    names = rows.groupBy("lang").agg(F.count("*").alias("n"), F.approx_count_distinct("key").alias("ids")).orderBy(
+        F.desc("n"), "lang").limit(max_languages).select("lang", "ids").collect()
     each = max(1, min(per_language, SAMPLE_DOCUMENTS // max(1, len(names))))
     dictionary_bytes = min(dictionary_bytes, ALL_DICTIONARIES // max(1, len(names)))
-    # A language that most rows have is cut in parts first, so that no task gets what every other one has left of it.
-    chosen = known.withColumn("part", F.pmod(F.xxhash64("key", F.lit(1)), F.lit(SALTS)))
-    for by in (("lang", "part"), ("lang",)):
-        chosen = chosen.withColumn("n", F.row_number().over(Window.partitionBy(*by).orderBy("h", "key"))).where(F.col("n") <= each)
+    # So few rows of a language are ranked that one task can do it, however many it has: those whose hash is
+    # below a share of all hashes that leaves about SPARE times as many ids as are wanted.
+    shares = training.sparkSession.createDataFrame(
+        [(r.lang, min(1.0, SPARE * each / max(1, r.ids))) for r in names], "lang string, share double")
+    place = F.pmod("h", F.lit(1 << 31))
+    few = rows.select("key", "lang", "h").join(F.broadcast(shares), "lang").where(place < F.col("share") * (1 << 31)).select(
+        "key", "lang", place.alias("h")).distinct()
+    chosen = few.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h", "key"))).where(F.col("n") <= each)
     table = training.sparkSession.createDataFrame(chosen.select("lang", "key").collect(), rows.select("lang", "key").schema)
     texts = rows.join(F.broadcast(table), ["lang", "key"]).select("lang", "h", "text")
     pieces = texts.mapInArrow(_samples(piece_bytes), "lang string, h bigint, piece binary").groupBy("lang", "h").agg(
