@@ -22,6 +22,8 @@ _LISTED = "path string, name string, length bigint, modified timestamp, is_folde
 UNCOMMITTED = r"^(_temporary|_delta_log|_spark_metadata|\.spark-staging.*|_staging-.*)$"
 # Bytes of files that one task reads, and of a range of lines.
 TASK_BYTES = 64 << 20
+# Times its size that a packed file counts when tasks are dealt out.
+UNPACKED = 8
 # Content in a row batch that goes to Spark at once.
 BATCH_BYTES = 16 << 20
 _ARROW_SCHEME = {"s3a": "s3", "s3n": "s3"}
@@ -159,8 +161,8 @@ def read_lines(files, range_bytes=TASK_BYTES):
     ranges = F.transform(F.sequence(F.lit(0).cast("bigint"), F.greatest("length", F.lit(1)) - 1, F.lit(range_bytes).cast("bigint")),
                          lambda at: F.struct(at.alias("start"), F.least(at + range_bytes, "length").alias("end")))
     packed = F.array(F.struct(F.lit(0).cast("bigint").alias("start"), F.lit(-1).cast("bigint").alias("end")))
-    parts = files.where("length > 0").select("path", F.explode(F.when(whole, packed).otherwise(ranges)).alias("_r")).select(
-        "path", "_r.*", (F.col("_r.end") - F.col("_r.start")).alias("size"))
+    parts = files.where("length > 0").select("path", F.explode(F.when(whole, packed).otherwise(ranges)).alias("_r"), "length").select(
+        "path", "_r.*", F.when(F.col("_r.end") < 0, F.col("length") * UNPACKED).otherwise(F.col("_r.end") - F.col("_r.start")).alias("size"))
     return _dealt(parts, F.greatest("size", F.lit(1))).select("path", "start", "end").mapInArrow(_range_lines, "_file string, value binary")
 
 

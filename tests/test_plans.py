@@ -108,3 +108,15 @@ def test_no_query_pairs_everything_with_everything(spark, sf_dir, conf, name):
     conf(autoBroadcastJoinThreshold="-1")
     text = plan(QUERIES[name](spark, sf_dir))
     assert not [word for word in FORBIDDEN if word in text]
+
+
+@pytest.mark.parametrize("query", ["a2_read_ocr_pages", "a2_assemble_pages", "a2_incomplete_jobs"])
+def test_response_files_stay_near_the_size_of_the_text(spark, sf_dir, query):
+    from pathlib import Path
+    root = Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+    before = set(root.glob("responses-*"))
+    QUERIES[query](spark, sf_dir).count()
+    new, = set(root.glob("responses-*")) - before
+    written = sum(f.stat().st_size for f in new.rglob("part-*"))
+    text = spark.read.parquet(f"{sf_dir}/documents.parquet").agg(F.sum(F.octet_length("text"))).first()[0]
+    assert written < 4 * text
