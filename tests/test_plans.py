@@ -120,3 +120,10 @@ def test_response_files_stay_near_the_size_of_the_text(spark, sf_dir, query):
     written = sum(f.stat().st_size for f in new.rglob("part-*"))
     text = spark.read.parquet(f"{sf_dir}/documents.parquet").agg(F.sum(F.octet_length("text"))).first()[0]
     assert written < 4 * text
+
+
+def test_probes_of_words_are_not_collected_for_a_broadcast(spark):
+    from scriptorium.operators.correct import corpus_lexicon
+    df = spark.createDataFrame([("these " * 6 + "tbese",)], "text string")
+    assert "Broadcast" not in plan(corpus_lexicon(df))
+    assert [tuple(r) for r in corpus_lexicon(df).collect()] == [("tbese", "these")]
