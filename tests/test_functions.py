@@ -142,3 +142,30 @@ def test_distance_is_brute_force(spark):
     rows = spark.createDataFrame([*pairs[:50], (None, "a")], "a string, b string")
     got = [r.d for r in rows.select(text_distance(F.col("a"), F.col("b")).alias("d")).collect()]
     assert got == [brute_distance(a, b) for a, b in pairs[:50]] + [None]
+
+
+def test_distance_of_long_texts_that_are_near_costs_about_their_length():
+    import time
+    rng = random.Random(11)
+    text = "".join(rng.choice("abcdefghijklmnop") for _ in range(300_000))
+    places = sorted(rng.sample(range(len(text)), 600))
+    more = "".join(text[x:y] + "+" for x, y in zip([0, *places], [*places, len(text)]))
+    other = list(text)
+    for place in places[:40]:
+        other[place] = "-"
+    start = time.process_time()
+    assert levenshtein(text, more) == 601 and levenshtein("".join(other), text) == 40
+    assert time.process_time() - start < 10
+
+
+@pytest.mark.parametrize("size,edits", [(60, 3), (300, 20), (300, 150), (900, 30)])
+def test_distance_of_near_texts_is_that_of_the_matrix(size, edits):
+    rng = random.Random(size + edits)
+    for _ in range(12):
+        a = [rng.choice("abcde") for _ in range(size)]
+        b = list(a)
+        for _ in range(edits):
+            place = rng.randrange(len(b))
+            b[place:place + rng.choice([0, 1, 1])] = rng.choice(["", "x", "ab", "c"])
+        a, b = "".join(a), "".join(b)
+        assert levenshtein(a, b) == brute_distance(a, b) == levenshtein(b, a)
