@@ -531,3 +531,13 @@ def test_run_consistency_is_brute_force(spark):
             sum(a == b for a, b in pairs) / len(pairs) if pairs else 1.0)
         assert row.avg_distance == pytest.approx(sum(distances) / len(texts))
         assert row.max_distance == max(distances)
+
+
+def test_long_runs_of_misread_words_are_aligned():
+    for lead, n in (("", 400), ("Some words first ", 90), ("and and ", 300)):
+        text = lead + " ".join(["thatword"] * n) + " and" * 151 + " ofthat" * n + " and" * 60 + " withthis" * n
+        raw = text.replace("th", "tb").replace(" and ", " and_")
+        pairs, left = alignment.word_pairs(raw, text)
+        assert left <= 1
+        assert dict(pairs)["tbatword"] == "thatword" and ("and_oftbat", "and ofthat") in pairs
+        assert [y for x, y in pairs if x == "witbtbis"] == ["withthis"] * (n - (raw.count("_witb")))
