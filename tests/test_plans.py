@@ -127,3 +127,8 @@ def test_probes_of_words_are_not_collected_for_a_broadcast(spark):
     df = spark.createDataFrame([("these " * 6 + "tbese",)], "text string")
     assert "Broadcast" not in plan(corpus_lexicon(df))
     assert [tuple(r) for r in corpus_lexicon(df).collect()] == [("tbese", "these")]
+
+
+def test_boxes_are_not_shuffled(spark, sf_dir):
+    shown = plan(QUERIES["e2_collect_boxes"](spark, sf_dir))
+    assert len(re.findall(r"^\(\d+\) Exchange", shown, re.M)) == 1
