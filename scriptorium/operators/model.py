@@ -9,7 +9,7 @@ import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from scriptorium.session import cut_lineage, read_or_empty
@@ -157,7 +157,6 @@ def stored_replies(spark, store):
 
 def _keep(store, prefix, number, rows):
     """Write replies as a file of their own, at once, so that they outlast the run."""
-    import pyarrow as pa
     import pyarrow.parquet as pq
     files, root = opened(store)
     files.create_dir(root, recursive=True)
@@ -221,10 +220,9 @@ def apply_model(requests, backend, parallelism=None, attempts=1, known=None, thr
         done = _kept(store, prefix) if store is not None and context.attemptNumber() > 0 else {}
         with ThreadPoolExecutor(threads) as pool:
             for batch in batches:
-                batch = batch.astype(object).where(batch.notna(), None)
-                rows = list(zip(batch["request_id"], batch["task"], batch["system"], batch["user"]))
-                for start in range(0, len(rows), STORE_ROWS):
-                    part = rows[start:start + STORE_ROWS]
+                # Only so many texts at a time are Python's own; the rest of a batch stays in Arrow.
+                for start in range(0, batch.num_rows, STORE_ROWS):
+                    part = list(zip(*(column.to_pylist() for column in batch.slice(start, STORE_ROWS).columns)))
                     new = [r for r in part if r[0] not in done]
                     sent = dict(zip((r[0] for r in new), pool.map(
                         lambda r: send(call, r[1:], attempts, timeout, backoff, pace), new)))
@@ -232,9 +230,11 @@ def apply_model(requests, backend, parallelism=None, attempts=1, known=None, thr
                         _keep(store, prefix, number, [(k, *v) for k, v in sent.items()])
                         number += 1
                     replies = [(r[0], *(sent[r[0]] if r[0] in sent else done[r[0]])) for r in part]
-                    yield pd.DataFrame(replies, columns=["request_id", "response", "error", "attempt"])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([r[i] for r in replies], pa.int32() if i == 3 else pa.string()) for i in range(4)],
+                        ["request_id", "response", "error", "attempt"])
 
-    return todo.mapInPandas(answer, RESPONSE_SCHEMA)
+    return todo.select("request_id", "task", "system", "user").mapInArrow(answer, RESPONSE_SCHEMA)
 
 
 def attach_responses(requests, responses):

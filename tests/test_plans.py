@@ -132,3 +132,10 @@ def test_probes_of_words_are_not_collected_for_a_broadcast(spark):
 def test_boxes_are_not_shuffled(spark, sf_dir):
     shown = plan(QUERIES["e2_collect_boxes"](spark, sf_dir))
     assert len(re.findall(r"^\(\d+\) Exchange", shown, re.M)) == 1
+
+
+def test_requests_stay_in_arrow_until_they_are_sent(spark):
+    from scriptorium.operators.model import apply_model
+    requests = spark.createDataFrame([("a", "correct_text", None, "x")], "request_id string, task string, system string, user string")
+    shown = plan(apply_model(requests, "echo"))
+    assert "MapInArrow" in shown and "MapInPandas" not in shown
