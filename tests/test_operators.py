@@ -271,6 +271,21 @@ def test_words_after_many_inserted_ones_are_found(inserted):
     assert left == inserted and len(pairs) == 200
 
 
+@pytest.mark.parametrize("mark", ["", "_"])
+def test_words_in_step_need_no_subsequence(mark, monkeypatch):
+    monkeypatch.setattr(alignment, "anchors", None)
+    for text in ("an cat and the dog saw and a bird", "the of this and be of", "an and a a ednt the", "one and and two\nthat thing and with and"):
+        raw, known = known_alignment(text, mark)
+        pairs, left = alignment.word_pairs(raw, text)
+        assert left == 0 and Counter(pairs) == Counter(known)
+
+
+def test_equal_lines_with_other_words_are_paired_by_place():
+    assert alignment.paired_words("a  tbe\nx ", "a q the\nx y") == (["a", "x"], [("", "q"), ("tbe", "the"), ("", "y")], 0, 3)
+    # As many words, but in other lines.
+    assert alignment.paired_words("a tbe\nx", "a\nthe x") == (["a", "x"], [("tbe", "the")], 0, 3)
+
+
 def test_anchors_are_a_longest_common_subsequence():
     rng = random.Random(5)
     for _ in range(200):
