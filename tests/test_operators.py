@@ -1,5 +1,6 @@
 import functools
 import itertools
+import math
 import random
 import re
 from collections import Counter, defaultdict
@@ -556,3 +557,44 @@ def test_long_runs_of_misread_words_are_aligned():
         assert left <= 1
         assert dict(pairs)["tbatword"] == "thatword" and ("and_oftbat", "and ofthat") in pairs
         assert [y for x, y in pairs if x == "witbtbis"] == ["withthis"] * (n - (raw.count("_witb")))
+
+
+def test_only_words_with_several_candidates_ask_for_gains():
+    opened = decoding.Looked(decoding._opened({"tbe": [("the", 0.0)], "bere": [("here", -1.0), ("bere", -2.0)], "andof": [("and of", 0.0), ("andof", -1.0)]}))
+    assert decoding.wanted_pairs("a tbe cat  \nis tbe bere, andof x tbe", opened) == sorted(
+        f"{a}\n{b}" for a, b in [("the", "bere"), ("the", "here"), *itertools.product(("bere", "here"), ("and", "andof")), ("of", "x"), ("andof", "x")])
+    assert decoding.decode("Tbe  cat\nis (tbe) bere, andof x", opened, {"the\nbere": 5.0}) == "The  cat\nis (the) bere, and of x"
+    few = decoding.Looked(str.upper, most=2)
+    assert [few[c] for c in "abcab"] == [*"ABCAB"] and len(few) <= 2
+
+
+def test_letters_are_learned_from_what_differs(spark, monkeypatch):
+    words = ["the", "that", "bath", "thth", "this", "cat"]
+    pairs = [(w.replace("th", "tb"), w, k + 1) for k, w in enumerate(words)] + [("the", "the", 4)]
+    rows_ = spark.createDataFrame(pairs, "wrong string, right string, n bigint")
+    letters = decoding.Letters({})
+    for _ in range(2):
+        total = Counter()
+        for seen, true, n in pairs:
+            total[" ", " "] += n
+            for op, value in decoding.expected(seen, true, letters).items():
+                total[op] += n * value
+        letters = decoding.Letters(dict(total))
+    got = decoding.learn_letters(rows_, 2)
+    assert set(got.counts) == set(total) and all(got.counts[op] == pytest.approx(total[op]) for op in total)
+
+
+def test_gains_are_those_of_all_neighbours(spark):
+    texts = ["the cat and a dog, and the cat - cat\nthe dog", "a cat and the end. The cat", None, ""]
+    options = [("andx", "and x", 0.0), ("andx", "andx", -1.0), ("cat", "cat", 0.0), ("cat", "at", -3.0), ("tbe", "the", 0.0)]
+    cores = [[decoding._core(t) for t in (x or "").replace("\n", " ").split(" ") if t] for x in texts]
+    both = Counter((a, b) for c in cores for a, b in zip(c, c[1:]) if a and b)
+    first, second = Counter(), Counter()
+    for (a, b), n in both.items():
+        first[a] += n
+        second[b] += n
+    known = {f"{a}\n{b}": math.log1p(0.5 * n / first[a] / (0.5 * second[b] / sum(both.values())))
+             for (a, b), n in both.items() if b in ("and", "andx", "cat", "at") or a in ("x", "andx", "cat", "at")}
+    got = decoding.gains(spark.createDataFrame([(t,) for t in texts], "corrected string"), spark.createDataFrame(options, "wrong string, right string, score double"))
+    got = {r.pair: r.gain for r in got.collect()}
+    assert set(got) == set(known) and all(got[p] == pytest.approx(known[p]) for p in known)
