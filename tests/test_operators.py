@@ -4,7 +4,10 @@ import math
 import random
 import re
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -598,3 +601,20 @@ def test_gains_are_those_of_all_neighbours(spark):
     got = decoding.gains(spark.createDataFrame([(t,) for t in texts], "corrected string"), spark.createDataFrame(options, "wrong string, right string, score double"))
     got = {r.pair: r.gain for r in got.collect()}
     assert set(got) == set(known) and all(got[p] == pytest.approx(known[p]) for p in known)
+
+
+def test_runs_of_words_keep_few_tokens(monkeypatch):
+    kept = []
+
+    class Few(correct.Looked):
+        def __init__(self, value):
+            super().__init__(value, most=50)
+            kept.append(self)
+    monkeypatch.setattr(gazetteer, "Looked", Few)
+    texts = [f"Dear W{i}, of the W{i} x" for i in range(1000)] + [None]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1001)), pa.array(texts)], ["key", "text"])
+    everything = SimpleNamespace(value=(np.full(1024 // 64, ~np.uint64(0)),) * 2)
+    found = pa.Table.from_batches(gazetteer._runs(everything, 1024)(iter([batch]))).to_pydict()
+    assert len(kept) == 2 and all(0 < len(k) <= 50 for k in kept)
+    # All bits are set, so every run of words counts.
+    assert len(found["phrase"]) == 1000 * 21 and {"w7", "dear w7 of the w7 x"} < {p for k, p in zip(found["_key"], found["phrase"]) if k == 7}
