@@ -145,3 +145,24 @@ def test_events_after_the_deadline_are_ignored(spark, tmp_path):
         [("slow", 4, 720, "SUCCEEDED")],
     ], max_retries=5, deadline_seconds=600, watermark="10 seconds")
     assert [g for g in got if g[0] == "slow"] == [("slow", "TIMED_OUT", 1)]
+
+
+def test_jobs_that_share_a_state_end_by_themselves(spark, tmp_path):
+    rng = random.Random(9)
+    events = [(rng.choice([None, *range(2 ** 60, 2 ** 60 + 30)]), i, rng.randrange(4000), rng.choice(["IN_PROGRESS"] * 5 + ["SUCCEEDED", "FAILED"]))
+              for i in range(200)]
+    rows = spark.createDataFrame(events, "job_id bigint, event_id bigint, second bigint, status string").withColumn(
+        "ts", F.timestamp_seconds(F.col("second") + 1000000)).drop("second")
+    batch = first_terminal_status(rows, max_retries=3, deadline_seconds=900)
+    source, out = str(tmp_path / "events"), str(tmp_path / "out")
+    ends = spark.createDataFrame([(-1, 999)], "job_id bigint, event_id bigint").select(
+        "job_id", "event_id", F.timestamp_seconds(F.lit(1100000)).alias("ts"), F.lit("IN_PROGRESS").alias("status"))
+    for part in (rows.where("event_id % 2 = 0"), rows.where("event_id % 2 = 1"), ends, ends):
+        part.coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    (track_jobs(stream, 3, deadline_seconds=900, watermark="2 hours", buckets=2).writeStream.format("parquet").option("path", out)
+     .option("checkpointLocation", str(tmp_path / "check")).trigger(availableNow=True).start().awaitTermination())
+    got = spark.read.parquet(out)
+    assert got.schema["job_id"].dataType == rows.schema["job_id"].dataType
+    order = lambda found: sorted(map(tuple, found), key=str)
+    assert order(got.where("job_id is null or job_id > 0").collect()) == order(batch.collect())
