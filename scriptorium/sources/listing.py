@@ -152,18 +152,20 @@ def _lines(path, rows):
     return pa.RecordBatch.from_arrays([pa.array([path] * len(texts), pa.string()), pa.array(texts, pa.binary())], ["_file", "value"])
 
 
-def read_lines(files, range_bytes=TASK_BYTES):
+def read_lines(files, range_bytes=TASK_BYTES, further=None, schema="_file string, value binary"):
     """The lines of files as (_file, value as bytes), long files by many tasks: each reads a range of bytes.
 
-    Files whose name ends with ``.gz`` are unpacked and read by one task each.
+    Files whose name ends with ``.gz`` are unpacked and read by one task each. ``further`` takes the row
+    batches on in the same tasks, to rows of ``schema``.
     """
+    read = _range_lines if further is None else lambda batches: further(_range_lines(batches))
     whole = F.col("name").rlike(r"\.gz$")
     ranges = F.transform(F.sequence(F.lit(0).cast("bigint"), F.greatest("length", F.lit(1)) - 1, F.lit(range_bytes).cast("bigint")),
                          lambda at: F.struct(at.alias("start"), F.least(at + range_bytes, "length").alias("end")))
     packed = F.array(F.struct(F.lit(0).cast("bigint").alias("start"), F.lit(-1).cast("bigint").alias("end")))
     parts = files.where("length > 0").select("path", F.explode(F.when(whole, packed).otherwise(ranges)).alias("_r"), "length").select(
         "path", "_r.*", F.when(F.col("_r.end") < 0, F.col("length") * UNPACKED).otherwise(F.col("_r.end") - F.col("_r.start")).alias("size"))
-    return _dealt(parts, F.greatest("size", F.lit(1))).select("path", "start", "end").mapInArrow(_range_lines, "_file string, value binary")
+    return _dealt(parts, F.greatest("size", F.lit(1))).select("path", "start", "end").mapInArrow(read, schema)
 
 
 def below(path, root):

@@ -194,3 +194,59 @@ def test_work_dir_follows_the_session(spark):
     df = spark.range(5).withColumn("r", F.rand())
     copy = cut_lineage(df)
     assert copy.collect() == copy.collect() and copy.dtypes == df.dtypes
+
+
+ODD_LINES = [b'{"job_id":"a","page_ord":1}', b'{"page_ord":"x"}', b'{"page_ord":1.0}', b'{"page_ord":-0}', b'{"job_id":5}', b'{}', b"", b"  ", b"null", b"5",
+             b'{"job_id":"a","job_id":"b"}', b'{"job_id":"two"}{"job_id":"objects"}', b'{"job_id":"a"},{"job_id":"b"}', b'[{"job_id":"l"},{"page_ord":3}]',
+             b'{"job_id":"open"', b',"page_ord":4}', b'{"job_id":"junk"} 1', b'{"job_id":"a"}] [1', b" {\"job_id\":\"blank\"}", b"{'job_id':'single'}",
+             b'{"Blocks":[null,{"Text":"x","Confidence":-0},{"Confidence":-0.0},{"Confidence":7}]}', b'{"Blocks":[{"Confidence":NaN}]}',
+             b'{"Blocks":[{"Confidence":1e400},{"Confidence":1e-400},{"Confidence":12345678901234567890}]}', b'{"Blocks":[{"Confidence":-Infinity}]}',
+             b'{"Blocks":[{"Text":"\\u00e9\\ud83d\\ude00\\t\\"","Id":1}]}', '{"job_id":"é, Infinity, -0, NaN"}'.encode(), b'{"job_id":"\\udc00"}', b'{"job_id":"\xff"}',
+             b'{"job_id":"\x01"}', b'{"Blocks":{"Text":"x"}}', b'{"Blocks":[{"Geometry":{"BoundingBox":{"Left":1}}},{"Geometry":{}}],"JobStatus":null}',
+             b'{"other":{"a":1,"a":2}}', b'{"job_id":"last","page_ord":9223372036854775807}', b'{"page_ord":9223372036854775808}']
+
+
+def test_lines_are_the_same_records_whoever_reads_them(spark, tmp_path, monkeypatch):
+    folders = [tmp_path / f"{n}" for n in range(len(ODD_LINES) + 1)]
+    for folder, lines in zip(folders, [ODD_LINES, *([line] for line in ODD_LINES)]):
+        folder.mkdir()
+        (folder / "part.json").write_bytes(b"\n".join(lines) + b"\n")
+
+    def read():
+        pages = ocr.json_records(ocr.json_files(spark, str(tmp_path)), f"job_id string, page_ord bigint, {ocr.RESPONSE_PAGE}", True)
+        return sorted(map(repr, pages.collect()))
+    found = read()
+    monkeypatch.setattr(ocr, "_is_plain", lambda line: False)
+    assert found == read() and len(found) >= 2 * len(ODD_LINES)
+
+
+def test_plain_lines_are_not_left_to_spark(spark):
+    import pyarrow as pa
+    from pyspark.sql import types as T
+    from pyspark.sql.pandas.types import to_arrow_schema
+    schema = to_arrow_schema(T.StructType.fromDDL(f"job_id string, page_ord bigint, {ocr.RESPONSE_PAGE}"))
+    lines = [json.dumps({"job_id": str(n), "page_ord": n, "Blocks": [{"Text": "é -0 Inf", "Confidence": 9}]}).encode() for n in range(50)]
+    lines[20:21] = [b'{"job_id":"open"', b"{}"]
+    batch = pa.RecordBatch.from_arrays([pa.array(["f"] * len(lines)), pa.array(lines, pa.binary())], ["_file", "value"])
+    out, = ocr._parsed(schema)([batch])
+    assert [n for n, value in enumerate(out.column(1).to_pylist()) if value is not None] == [20, 21]
+    assert [r and r["page_ord"] for r in out.column(2).to_pylist()] == [*range(20), None, None, *range(21, 50)]
+
+
+def test_response_lines_are_response_pages(spark, tmp_path):
+    from scriptorium.sources import derived
+    texts = [(1, "a  bc \n\ud83d".replace("\ud83d", "\U0001F600 \"x\"\\\t") + "\nx\r\ny\rz\nlast line"), (2, ""), (3, None), (None, "no id"), (4, "w\n" * 23)]
+    spark.createDataFrame(texts, "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    layouts = derived.v_layout(spark, str(tmp_path))
+    pages = derived.response_pages(layouts).where("page_ord is null or page_ord <> 1").withColumn("NextToken", F.nullif("page_ord", F.lit(0)).cast("string"))
+    lines = derived.response_lines(layouts, lambda n: {"NextToken": F.nullif(n, F.lit(0)).cast("string")}, lambda n: n.isNull() | (n != 1))
+    shape = f"job_id string, page_ord bigint, {ocr.RESPONSE_PAGE}"
+    read = lambda df, value: sorted(map(repr, df.select(F.from_json(value, shape).alias("r")).select("r.*").collect()))
+    assert read(lines, "value") == read(pages, F.to_json(F.struct("job_id", "page_ord", "JobStatus", "Blocks", "NextToken")))
+
+
+def test_one_parse_tells_json_as_two_do(spark):
+    from scriptorium.functions.replies import is_json, strict_json
+    texts = [line.decode("utf-8", "replace") for line in ODD_LINES] + ['"abc', '"a"', "1,2", "1]", "[1],[2", '1,"x":2', "1}", None, " 1 ", '{"a":', "1] junk", "//", '"~"', "true x"]
+    rows = spark.createDataFrame([(t,) for t in texts], "v string").select("v", is_json(F.col("v")).alias("one"), strict_json(F.col("v")).isNotNull().alias("two"))
+    assert [tuple(r) for r in rows.collect() if r.one != r.two] == []
