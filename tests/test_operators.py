@@ -275,6 +275,15 @@ def test_words_after_many_inserted_ones_are_found(inserted):
     assert left == inserted and len(pairs) == 200
 
 
+@pytest.mark.parametrize("few", [1, 2, 3])
+def test_few_words_are_set_against_many(few):
+    words, many = ["first", "second", "third"][:few], [f"n{i % 89}" for i in range(5000)]
+    for a, b in ((many + words, words), (words, many + words)):
+        spans = alignment._long_gap(a, b, 0, len(a), 0, len(b))
+        assert [(" ".join(a[i:x]), " ".join(b[j:y])) for i, x, j, y in spans if i < x and j < y] == [(w, w) for w in words]
+        assert sum(x - i + y - j for i, x, j, y in spans) == len(a) + len(b)
+
+
 @pytest.mark.parametrize("mark", ["", "_"])
 def test_words_in_step_need_no_subsequence(mark, monkeypatch):
     monkeypatch.setattr(alignment, "anchors", None)
